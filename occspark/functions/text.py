@@ -77,8 +77,16 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def percent_text(c: Column) -> Column:
-    """``70.0%``."""
-    return F.format_string("%.1f%%", c * 100)
+    """``70.0%``, rounded on the number's binary value with ties to even.
+
+    ``format_string`` would round the printed decimal digits up instead (6.25 to 6.3).
+    """
+    percent = c * 100
+    whole = F.floor(percent)
+    tenths = whole * 10 + F.rint((percent - whole) * 10).cast("long")
+    return F.concat(
+        F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%")
+    )
 
 
 def count_text(c: Column) -> Column:
