@@ -1,5 +1,5 @@
 """Queries over the driver's tables, each with SQL that states the expected result."""
 
-from verification import slicing
+from verification import cleaning, slicing
 
-QUERY_MODULES = (slicing,)
+QUERY_MODULES = (slicing, cleaning)
