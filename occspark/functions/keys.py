@@ -7,34 +7,57 @@ from pyspark.sql import functions as F
 
 from occspark.functions.text import col, date_prefix
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
-
-
 def round_coordinate(c: Column | str, decimals: int, half_even: bool = False) -> Column:
     """rounded coordinate; adding zero turns -0.0 into 0.0."""
     rounded = F.bround(col(c), decimals) if half_even else F.round(col(c), decimals)
     return rounded + F.lit(0.0)
 
 
+def json_number(c: Column) -> Column:
+    """A double as JSON text: shortest digits, with an exponent only below 1e-4 and from 1e16."""
+    text = c.cast("string")
+    plain = F.regexp_replace(text.cast("decimal(38,20)").cast("string"), r"0+\z", "")
+    plain = F.regexp_replace(plain, r"\.\z", ".0")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0\z", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(power < 0, "e-").otherwise("e+")
+    scientific = F.concat(mantissa, sign, F.lpad(F.abs(power).cast("string"), 2, "0"))
+    magnitude = F.abs(c)
+    return F.when((magnitude == 0) | ((magnitude >= 1e-4) & (magnitude < 1e16)), plain).otherwise(
+        scientific
+    )
+
+
+def json_string(c: Column) -> Column:
+    """A text as a JSON string."""
+    wrapped = F.to_json(F.array(c))
+    return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+
+
+def json_object(cells: dict[str, Column]) -> Column:
+    """A compact JSON object of rendered cells, keys sorted; null cells are left out."""
+    pairs = [F.concat(F.lit(f'"{name}":'), cells[name]) for name in sorted(cells)]
+    return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+
+
 def hash_json(json_text: Column) -> Column:
-    """SHA-256 of a compact JSON text whose keys are already sorted."""
+    """SHA-256 of a compact JSON text whose keys are sorted."""
     return F.sha2(json_text, 256)
 
 
 def canonical_hash() -> Column:
-    """digest of the identifying fields of a canonical record."""
-    fields = sorted(
-        [
-            "source",
-            "source_jurisdiction",
-            "source_record_id",
-            "scientific_name",
-            "event_date_start",
-            "decimal_latitude",
-            "decimal_longitude",
-        ]
+    """digest of the identifying fields of a canonical record, nulls included."""
+    texts = (
+        "source",
+        "source_jurisdiction",
+        "source_record_id",
+        "scientific_name",
+        "event_date_start",
     )
-    return hash_json(F.to_json(F.struct(*fields), _KEEP_NULLS))
+    numbers = ("decimal_latitude", "decimal_longitude")
+    cells = {c: json_string(F.col(c)) for c in texts} | {c: json_number(F.col(c)) for c in numbers}
+    null = F.lit("null")
+    return hash_json(json_object({c: F.when(F.col(c).isNull(), null).otherwise(v) for c, v in cells.items()}))
 
 
 def _text_or_empty(c: Column) -> Column:

@@ -1,5 +1,5 @@
 """Queries over the driver's tables, each with SQL that states the expected result."""
 
-from verification import cleaning, slicing
+from verification import cleaning, scalars, slicing, spatial
 
-QUERY_MODULES = (slicing, cleaning)
+QUERY_MODULES = (slicing, cleaning, spatial, scalars)
