@@ -132,7 +132,7 @@ def _crosses(x: Column, y: Column, e: Column) -> Column:
 def covers(edges: Column, x: Column, y: Column) -> Column:
     """Is the point inside the polygon or on its boundary?"""
     crossings = F.size(F.filter(edges, lambda e: _crosses(x, y, e)))
-    return F.exists(edges, lambda e: _on_edge(x, y, e)) | (crossings % 2 == 1)
+    return (crossings % 2 == 1) | F.exists(edges, lambda e: _on_edge(x, y, e))
 
 
 def area_cells(boundaries: DataFrame, level: str, cell: float = CELL_DEGREES) -> DataFrame:

@@ -96,58 +96,49 @@ def partition_plan(
     state = state.withColumn("coverage_status", status)
     whole = ~oversized_species | F.col("coverage_status").isin(NO_YEARS, SPLIT_FAILED)
 
-    def level(condition: Column, group: Sequence[str], total: Column) -> DataFrame:
-        label = [F.concat(F.lit(f"{c}="), F.col(c)) for c in group]
-        filters = [filter_text(c, F.col(c)) for c in group]
-        return (
-            state.where(condition)
-            .select(*s, *group, "coverage_status", "species_total", total.alias("total_records"))
-            .distinct()
-            .select(
-                *s,
-                (F.concat_ws(";", *label) if group else F.lit("all")).alias("label"),
-                (F.array(*filters) if group else F.array().cast("array<string>")).alias("filters"),
-                "total_records",
-                "coverage_status",
-                "species_total",
-            )
-        )
-
-    split = ~whole & y
+    # Every calendar day belongs to exactly one partition, or to none when a facet
+    # cannot name it; so one aggregate over the days yields all partitions.
+    depth = (
+        F.when(whole, 0)
+        .when(y & ~oversized_year, 1)
+        .when(oversized_year & m & ~oversized_month, 2)
+        .when(oversized_month & ~by_place & d, 3)
+        .when(by_place, 4)
+    )
+    located = state.withColumn("_depth", depth).where(F.col("_depth").isNotNull())
+    named = ("year", "month", "day")
+    plain = (
+        located.where(F.col("_depth") < 4)
+        .withColumns({c: F.when(F.col("_depth") > i, F.col(c)) for i, c in enumerate(named)})
+        .groupBy(*s, *named, "coverage_status", "species_total")
+        .agg(F.sum("n").alias("n"))
+        .select(*s, *named, F.lit(None).cast("string").alias("lat_long"), "n", "coverage_status", "species_total")
+    )
     spread = (
-        state.where(~whole & by_place)
+        located.where(F.col("_depth") == 4)
         .select(*by_month, "coverage_status", "species_total")
         .distinct()
         .join(places, by_month)
         .select(
-            *s,
-            F.concat_ws(
-                ";",
-                *[F.concat(F.lit(f"{c}="), F.col(c)) for c in ("year", "month")],
-                F.concat(F.lit("lat_long="), F.col(place)),
-            ).alias("label"),
-            F.array(
-                filter_text("year", F.col("year")),
-                filter_text("month", F.col("month")),
-                filter_text("lat_long", F.col(place)),
-            ).alias("filters"),
-            F.col("n").alias("total_records"),
+            *by_month,
+            F.lit(None).cast("string").alias("day"),
+            F.col(place).alias("lat_long"),
+            "n",
             "coverage_status",
             "species_total",
         )
     )
-    plan = (
-        level(whole, [], F.least("species_total", F.lit(window)))
-        .unionByName(level(split & ~oversized_year, ["year"], F.col("year_total")))
-        .unionByName(
-            level(split & oversized_year & m & ~oversized_month, ["year", "month"], F.col("month_total"))
-        )
-        .unionByName(
-            level(split & oversized_month & ~by_place & d, ["year", "month", "day"], F.col("n"))
-        )
-        .unionByName(spread)
+    facets = (*named, "lat_long")
+    label = F.concat_ws(";", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in facets])
+    filters = F.array_compact(F.array(*[filter_text(c, F.col(c)) for c in facets]))
+    return plain.unionByName(spread).select(
+        *s,
+        F.when(label == "", "all").otherwise(label).alias("label"),
+        filters.alias("filters"),
+        F.when(label == "", F.least("n", F.lit(window))).otherwise(F.col("n")).alias("total_records"),
+        "coverage_status",
+        "species_total",
     )
-    return plan
 
 
 def coverage_detail(plan: DataFrame, species: str = "query_species_key") -> DataFrame:

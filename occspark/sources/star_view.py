@@ -11,6 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from occspark.functions.coerce import millis_to_iso
 
 # Market segments read as states.
 SEGMENT_STATES = {
@@ -24,8 +27,30 @@ SEGMENT_STATES = {
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the star schema; its schema is looked up once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+_SPLITS: dict[str, int] = {}
+
+
+def spread_scan(df: DataFrame, name: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has task slots.
+
+    A single small file is one split, and everything up to the first shuffle would run
+    in one task. A large table has far more splits than slots and is left alone.
+    """
+    if name not in _SPLITS:
+        _SPLITS[name] = df.rdd.getNumPartitions()
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if _SPLITS[name] < slots else df
 
 
 def _definitions() -> dict[str, tuple[Column, set[str]]]:
@@ -102,14 +127,12 @@ def occurrences(
     spark: SparkSession, folder: str, columns: Sequence[str] = OCCURRENCE_VIEW_COLUMNS
 ) -> DataFrame:
     """The occurrence view with the wanted columns only."""
-    from occspark.functions.coerce import millis_to_iso
-
     defined = _definitions()
     wanted = dict.fromkeys(columns)
     needs: set[str] = set()
     for name in wanted:
         needs |= defined["eventDate" if name == "eventDate_iso" else name][1]
-    rows = read_table(spark, folder, "lineitem")
+    rows = spread_scan(read_table(spark, folder, "lineitem"), f"{folder}/lineitem")
     joins = {
         "part": ("l_partkey", "p_partkey"),
         "supplier": ("l_suppkey", "s_suppkey"),
