@@ -349,14 +349,14 @@ def simplify_boundaries(boundaries: DataFrame, tolerance: float = SIMPLIFY_TOLER
     others = [c for c in boundaries.columns if c not in ("geometry_geojson", "rings", "edges")]
     rows = boundaries.select(*others, shape.alias("_shape"), polygons.alias("_polygons"))
 
+    def thin_ring(ring: np.ndarray) -> list[list[float]]:
+        return _simplify(np.array([list(point) for point in ring]), tolerance).tolist()
+
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["_polygons"] = [
-                [
-                    [p.tolist() for p in _simplify(np.array([list(q) for q in ring]), tolerance)]
-                    for ring in polygon
-                ]
-                for polygon in batch["_polygons"]
+                [[thin_ring(ring) for ring in polygon] for polygon in polygons]
+                for polygons in batch["_polygons"]
             ]
             yield batch
 
