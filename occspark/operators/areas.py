@@ -15,14 +15,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from occspark.operators.grid import aggregate_cube, mapped_rows, since, with_cube_columns
-from occspark.operators.skew import DEFAULT_SALTS, lookup_join, small_enough
+from occspark.operators.grid import CUBE_DIMENSIONS, aggregate_cube, mapped_rows, since, with_cube_columns
+from occspark.operators.skew import DEFAULT_SALTS, lookup_join
 from occspark.schema import CUBE_CONSERVATION_FIELDS, SINCE_YEAR
 
 AREA_LEVELS = ("SA1", "SA2", "SA3")
 SIMPLIFY_TOLERANCE = 0.005
 CELL_DEGREES = 0.5
-_BROADCAST_EDGES = 2_000_000
+_BROADCAST_CELLS = 200_000
+_BROADCAST_EDGES = 1_000_000
 _MARGIN = 1e-9
 
 _RING = "array<array<array<double>>>"
@@ -186,59 +187,76 @@ def _in_cell(points: DataFrame, cell: float) -> DataFrame:
 
 def _cells_fit(cells: DataFrame) -> bool:
     """Checked size of the broadcast side: few cells and few edges in all."""
-    if not small_enough(cells):
-        return False
-    edges = cells.agg(F.sum(F.size("edges")).alias("n")).first()["n"] or 0
-    return edges <= _BROADCAST_EDGES
+    held = cells.agg(
+        F.count(F.lit(1)).alias("cells"), F.sum(F.greatest(F.size("edges"), F.lit(0))).alias("edges")
+    ).first()
+    return held["cells"] <= _BROADCAST_CELLS and (held["edges"] or 0) <= _BROADCAST_EDGES
 
 
-def place_areas(
-    places: DataFrame,
-    boundaries: DataFrame,
-    level: str,
-    cell: float = CELL_DEGREES,
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
-    """J9 + W2 over distinct coordinates: every covered place with its first area.
+def _inside(area: Column, x: Column, y: Column) -> Column:
+    in_box = x.between(area["min_lon"], area["max_lon"]) & y.between(
+        area["min_lat"], area["max_lat"]
+    )
+    return in_box & (area["whole"] | covers(area["edges"], x, y))
+
+
+def _assign_in_place(points: DataFrame, cells: DataFrame, level: str, cell: float) -> DataFrame:
+    """J9 + W2 without moving a point: its cell's areas, in code order, come to it.
 
-    ``places`` has one row per coordinate pair, so a place shared by a third of all
-    records is tested once. Cells go to all tasks only when their measured size
-    permits; otherwise crowded cells are spread by a hash of the coordinates.
-    The smallest code among the covering areas wins, found by a combining aggregate.
+    Only for cells of checked size. One row per cell holds the cell's few areas, so
+    each point meets one row and takes the first area that covers it.
     """
     code, name = area_columns(level)
-    cells = area_cells(boundaries, level, cell)
-    located = _in_cell(places, cell)
-    if _cells_fit(cells):
-        pairs = located.join(F.broadcast(cells), ["cx", "cy"])
-    else:
-        spread = F.pmod(F.xxhash64("decimalLongitude", "decimalLatitude"), F.lit(salts))
-        salted = located.withColumn("_salt", spread.cast("int"))
-        repeated = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = salted.join(repeated, ["cx", "cy", "_salt"])
-    x, y = F.col("decimalLongitude"), F.col("decimalLatitude")
-    in_box = x.between(F.col("min_lon"), F.col("max_lon")) & y.between(
-        F.col("min_lat"), F.col("max_lat")
+    fields = [c for c in cells.columns if c not in ("cx", "cy")]
+    # Structs sort by their first field, the code.
+    by_cell = cells.groupBy("cx", "cy").agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("_areas")
     )
-    hits = pairs.where(in_box & (F.col("whole") | covers(F.col("edges"), x, y)))
+    x, y = F.col("decimalLongitude"), F.col("decimalLatitude")
+    hit = F.get(F.filter("_areas", lambda a: _inside(a, x, y)), F.lit(0))
+    area = F.struct(hit[code].alias(code), hit[name].alias(name))
     return (
-        hits.groupBy("decimalLongitude", "decimalLatitude")
+        _in_cell(points, cell)
+        .join(F.broadcast(by_cell), ["cx", "cy"])
+        .withColumn("_area", area)
+        .where(F.col(f"_area.{code}").isNotNull())
+        .select(*points.columns, f"_area.{code}", f"_area.{name}")
+    )
+
+
+def _assign_by_place(
+    points: DataFrame, cells: DataFrame, level: str, cell: float, salts: int = DEFAULT_SALTS
+) -> DataFrame:
+    """J9 + W2 for boundaries of any size.
+
+    Each different coordinate pair is tested once, however many records share it, and
+    crowded cells are spread by a hash of the coordinates. The smallest code among the
+    covering areas is found by a combining aggregate, then joined back on the
+    coordinates, which key the result: no row numbers are needed (W6).
+    """
+    code, name = area_columns(level)
+    pair = ["decimalLongitude", "decimalLatitude"]
+    spread = F.pmod(F.xxhash64(*pair), F.lit(salts)).cast("int")
+    places = _in_cell(points.select(*pair).distinct(), cell).withColumn("_salt", spread)
+    repeated = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    area = F.struct(*[c for c in cells.columns if c not in ("cx", "cy")])
+    first = (
+        places.join(repeated, ["cx", "cy", "_salt"])
+        .where(_inside(area, F.col(pair[0]), F.col(pair[1])))
+        .groupBy(*pair)
         .agg(F.min(F.struct(code, name)).alias("_area"))
-        .select("decimalLongitude", "decimalLatitude", f"_area.{code}", f"_area.{name}")
+        .select(*pair, f"_area.{code}", f"_area.{name}")
     )
+    return lookup_join(points, first, pair, "inner").select(*points.columns, code, name)
 
 
 def assign_areas(
     points: DataFrame, boundaries: DataFrame, level: str, cell: float = CELL_DEGREES
 ) -> DataFrame:
-    """J9 + W2 for records: each mapped record inside an area, with that area.
-
-    The coordinates themselves key the result, so no row numbers are needed (W6).
-    """
-    mapped = mapped_rows(points)
-    places = mapped.select("decimalLongitude", "decimalLatitude").distinct()
-    areas = place_areas(places, boundaries, level, cell)
-    return lookup_join(mapped, areas, ["decimalLongitude", "decimalLatitude"], "inner")
+    """J9 + W2: each mapped record inside an area, with the first such area by code."""
+    cells = area_cells(boundaries, level, cell)
+    way = _assign_in_place if _cells_fit(cells) else _assign_by_place
+    return way(mapped_rows(points), cells, level, cell)
 
 
 def area_cube(
@@ -250,24 +268,24 @@ def area_cube(
 ) -> DataFrame:
     """A2: records per area and dimension. Nulls do not count as distinct values here.
 
-    Records are counted per coordinate and dimension before they meet the areas, so
-    neither a popular place nor a popular area is a hot key.
+    When the boundaries are small every record finds its area where it is. Otherwise
+    records are counted per coordinate and dimension first, so that neither a popular
+    place nor a popular area is a hot key.
     """
-    dims = [
-        "decimalLongitude",
-        "decimalLatitude",
-        "family",
-        "genus",
-        "species",
-        "scientificName",
-        "taxonConceptID",
-        "year",
-        "stateProvince",
-        *CUBE_CONSERVATION_FIELDS,
-    ]
     recent = since(mapped_rows(with_cube_columns(df)), year)
-    counted = recent.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
-    assigned = assign_areas(counted, boundaries, level, cell)
+    cells = area_cells(boundaries, level, cell)
+    if _cells_fit(cells):
+        assigned = _assign_in_place(recent, cells, level, cell)
+    else:
+        dims = [
+            "decimalLongitude",
+            "decimalLatitude",
+            *CUBE_DIMENSIONS,
+            "taxonConceptID",
+            *CUBE_CONSERVATION_FIELDS,
+        ]
+        counted = recent.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
+        assigned = _assign_by_place(counted, cells, level, cell)
     return aggregate_cube(assigned, area_columns(level), count_null=False)
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from occspark.functions.text import count_text, duration_text
-from occspark.operators.skew import top_n
+from occspark.operators.skew import lookup_join, top_n
 from occspark.operators.taxonomy import filter_text
 from occspark.schema import PAGE_SIZE, SEARCH_WINDOW
 
 NO_YEARS = "truncated_no_year_facets"
 SPLIT_FAILED = "truncated_partition_split_failed"
 MISMATCH = "partition_total_mismatch"
+ISSUES_IN_TEXT = 10_000
 COMPLETE = "complete"
 
 
@@ -66,10 +67,11 @@ def partition_plan(
     by_place = oversized_month & (F.col("largest_day") > window)
 
     crowded = months.where(by_place).select(*by_month).distinct()
+    placed = df.select(
+        species, *[F.col(c).cast("string").alias(c) for c in ("year", "month")], place
+    ).where(F.col(place).isNotNull())
     places = (
-        df.withColumns({c: F.col(c).cast("string") for c in ("year", "month")})
-        .where(F.col(place).isNotNull())
-        .join(crowded, by_month, "left_semi")
+        lookup_join(placed, crowded, by_month, "left_semi")
         .groupBy(*by_month, place)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -253,23 +255,35 @@ def cap_per_species(
 def species_results(
     validated: DataFrame, plan: DataFrame, species: str = "query_species_key"
 ) -> DataFrame:
-    """One row per species with its page issues, written rows and pages."""
+    """One row per species with its page issues, written rows and pages.
+
+    The joined text names the first ``ISSUES_IN_TEXT`` issues and says how many more
+    there are; the validation table itself lists every issue as a row.
+    """
     bad = F.col("validation_status") != "complete"
-    issue = F.struct("page_index", F.coalesce("validation_detail", "validation_status").alias("text"))
-    # Issues are gathered per species as text; their number is bounded by its pages.
-    issues = F.array_sort(F.collect_list(F.when(bad, issue)))
     pages = validated.groupBy(species).agg(
         F.count_if(bad).alias("page_validation_issue_count"),
-        F.array_join(F.transform(issues, lambda i: i["text"]), " | ").alias("page_validation_detail"),
         F.sum("rows_written").alias("rows_written"),
         F.count(F.lit(1)).alias("pages_written"),
     )
+    first = top_n(validated.where(bad), [species], [F.col("page_index")], ISSUES_IN_TEXT, "_rank")
+    issue = F.struct("_rank", F.coalesce("validation_detail", "validation_status").alias("text"))
+    listed = F.transform(F.array_sort(F.collect_list(issue)), lambda i: i["text"])
+    details = first.groupBy(species).agg(F.array_join(listed, " | ").alias("_detail"))
+    more = F.col("page_validation_issue_count") - ISSUES_IN_TEXT
+    text = F.when(
+        more > 0, F.concat("_detail", F.lit(" | and "), count_text(more), F.lit(" more"))
+    ).otherwise(F.col("_detail"))
+    pages = (
+        pages.join(details, [species], "left")
+        .withColumn("page_validation_detail", text)
+        .drop("_detail")
+    )
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("page_validation_issue_count", "rows_written", "pages_written")}
     return (
         coverage_detail(plan, species)
         .join(pages, [species], "left")
         .withColumns(zero)
-        .withColumn("page_validation_detail", F.nullif(F.col("page_validation_detail"), F.lit("")))
         .withColumnsRenamed(
             {
                 "coverage_status": "partition_coverage_status",

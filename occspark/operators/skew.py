@@ -14,9 +14,13 @@ _SALT = "_salt"
 
 
 def _row_salt(df: DataFrame, salts: int) -> Column:
-    # A hash of the row, not a random number: a recomputed task must salt alike.
+    """A number that spreads rows evenly, copies of one row included.
+
+    The hash spreads different rows, the partition number spreads copies. Both come out
+    the same when a lost task is run again, unlike a random number.
+    """
     atomic = [f"`{n}`" for n, t in df.dtypes if not t.startswith(("map", "variant"))]
-    return F.pmod(F.xxhash64(*atomic), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*atomic) + F.spark_partition_id(), F.lit(salts)).cast("int")
 
 
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occspark.functions.text import is_probable_scientific_name, is_valid_facet_label, safe_key
-from occspark.operators.skew import lookup_join, top_n
+from occspark.operators.skew import lookup_join, reference_join, top_n
 from occspark.schema import FACET_PAGE_SIZE
 
 # Ranks an authority may fill from, and its acceptance rule.
@@ -109,19 +109,29 @@ def authority_rejections(df: DataFrame, authority: DataFrame) -> DataFrame:
     return names.join(accepted_authority(authority), ["scientificName"], "left_anti")
 
 
-def complete_taxonomy(df: DataFrame, authority: DataFrame | None = None) -> DataFrame:
-    """Both fills with one pass over the fact table: the two lookups are merged first."""
+def fill_lookup(df: DataFrame, authority: DataFrame | None = None) -> DataFrame:
+    """Both lookups as one table, one row per name."""
     lookup = exact_lookup(df)
     if authority is None:
-        return apply_exact_fills(df, lookup)
-    both = lookup.join(accepted_authority(authority), ["scientificName"], "full_outer")
-    joined = lookup_join(df, both, ["scientificName"])
+        blank = F.lit(None).cast("string")
+        return lookup.withColumns({"authority_genus": blank, "authority_species": blank})
+    return lookup.join(accepted_authority(authority), ["scientificName"], "full_outer")
+
+
+def complete_taxonomy(df: DataFrame, authority: DataFrame | None = None) -> DataFrame:
+    """Both fills with one pass over the fact table: the two lookups are merged first."""
+    return _fill_both(lookup_join(df, fill_lookup(df, authority), ["scientificName"]), df.columns)
+
+
+def apply_fill_lookup(df: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Both fills from a stored lookup, broadcast when its measured size allows."""
+    return _fill_both(reference_join(df, lookup, ["scientificName"]), df.columns)
+
+
+def _fill_both(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
     return joined.withColumns(
-        {
-            "genus": F.coalesce("genus", "lookup_genus", "authority_genus"),
-            "species": F.coalesce("species", "lookup_species", "authority_species"),
-        }
-    ).select(*df.columns)
+        {c: F.coalesce(c, f"lookup_{c}", f"authority_{c}") for c in ("genus", "species")}
+    ).select(*columns)
 
 
 def completion_counts(df: DataFrame, authority: DataFrame | None = None) -> DataFrame:
@@ -174,18 +184,21 @@ def month_counts(df: DataFrame) -> DataFrame:
 def facet_counts(
     df: DataFrame, field: str, offset: int = 0, limit: int | None = FACET_PAGE_SIZE
 ) -> DataFrame:
-    """Label, count and filter text of a field's values, most frequent first."""
+    """Label, count and filter text of a field's values.
+
+    One page of them, most frequent first; without ``limit`` all of them, unordered.
+    """
     label = F.col(field).cast("string")
     counts = (
         df.where(F.col(field).isNotNull())
         .groupBy(label.alias("label"))
         .agg(F.count(F.lit(1)).alias("count"))
         .withColumn("fq", filter_text(field, F.col("label")))
-        .orderBy(F.col("count").desc(), F.col("label"))
     )
-    if offset:
-        counts = counts.offset(offset)
-    return counts if limit is None else counts.limit(limit)
+    if limit is None:
+        return counts
+    page = counts.orderBy(F.col("count").desc(), F.col("label"))
+    return page.offset(offset).limit(limit) if offset else page.limit(limit)
 
 
 def filter_text(field: str, value: Column) -> Column:

@@ -94,7 +94,12 @@ def complete_taxonomy_table(
     tables.check_inputs(spark, [source])
     tables.check_outputs(spark, [output], overwrite)
     rows = tables.read_table(spark, source)
-    tables.write_table(taxonomy.complete_taxonomy(rows, authority), output, overwrite)
+    # The lookup is stored first: its size is then known, and when it is small the
+    # fact table is filled without being shuffled.
+    lookup_path = f"{reports}/taxonomy_lookup"
+    tables.write_table(taxonomy.fill_lookup(rows, authority), lookup_path, overwrite)
+    lookup = tables.read_table(spark, lookup_path)
+    tables.write_table(taxonomy.apply_fill_lookup(rows, lookup), output, overwrite)
     done = tables.read_table(spark, output)
     counts = taxonomy.completion_counts(rows, authority)
     tables.write_json(counts, f"{reports}/taxonomy_fill", overwrite)
