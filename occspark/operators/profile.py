@@ -1,7 +1,7 @@
 """Data-quality profile of a table, or of every group of a table.
 
 Everything that needs distinct values comes from one value-count table: the rows
-``(column, value, n)`` of all columns, built by one ``explode`` and one aggregate
+``(column, value, n)`` of all columns, built by one ``unpivot`` and one aggregate
 that combines on the map side. A wide ``count(DISTINCT ...)`` over 42 columns would
 copy each row 42 times as well, but could not yield the top values from the same pass.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occspark.operators.skew import top_n
+from occspark.operators.skew import lookup_join, top_n
 
 TOP_VALUES = 10
 MAX_CATEGORIES = 1_000
@@ -34,15 +34,9 @@ class QualityProfile:
 def value_counts(df: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] = ()) -> DataFrame:
     """How often each value of each column occurs, values as text, null included."""
     chosen = list(columns) or [c for c in df.columns if c not in keys]
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
-            for c in chosen
-        ]
-    )
+    texts = df.select(*keys, *[F.col(f"`{c}`").cast("string").alias(c) for c in chosen])
     return (
-        df.select(*keys, F.explode(pairs).alias("p"))
-        .select(*keys, "p.column", "p.value")
+        texts.unpivot(list(keys), [F.col(f"`{c}`") for c in chosen], "column", "value")
         .groupBy(*keys, "column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -113,7 +107,12 @@ def top_values(
         .select(*keys, "column")
     )
     order = [F.col("n").desc(), F.col("value").asc_nulls_last()]
-    ranked = top_n(counts.join(few, [*keys, "column"], "left_semi"), [*keys, "column"], order, n)
+    if keys:
+        kept = lookup_join(counts, few, [*keys, "column"], "left_semi")
+    else:
+        # At most one row per column of the schema.
+        kept = counts.join(F.broadcast(few), ["column"], "left_semi")
+    ranked = top_n(kept, [*keys, "column"], order, n)
     return ranked.select(*keys, "column", "rank", "value", F.col("n").alias("count"))
 
 

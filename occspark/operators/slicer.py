@@ -135,8 +135,14 @@ def _identifier(name: str) -> str:
 def _filtered(
     cube: DataFrame, state: SlicerState, color_by: str, place: Sequence[str], decimals: int | None
 ) -> DataFrame:
-    """The cube rows of a selection as place, colour value and count."""
+    """The placed cube rows of a selection, with their colour value.
+
+    The joins further on drop rows without a place anyway. Saying so here keeps every
+    branch of such a query alike, so that Spark computes their common part once.
+    """
     source = rebin(cube, decimals).where(predicate(state))
+    for column in place:
+        source = source.where(F.col(column).isNotNull())
     return source.withColumn("color_value", null_label(color_by))
 
 
