@@ -7,7 +7,23 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "occspark", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(input_bytes: int, low: int = 200, high: int = 50_000) -> int:
+    """Partitions that keep a full shuffle of the input at a size tasks hold in memory.
+
+    Adaptive execution merges partitions that turn out small, so this errs upwards.
+    """
+    return max(low, min(high, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
+
+
+def build_session(
+    app_name: str = "occspark",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the settings every job here assumes.
 
     On a cluster the master and resources come from spark-submit; only
@@ -22,8 +38,10 @@ def build_session(app_name: str = "occspark", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.showConsoleProgress": "false",
-        **conf,
     }
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    settings |= conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.functions import coerce, keys, status, text
 from occspark.schema import CANONICAL_SCHEMA, conform
+from occspark.session import checkpoint_dir
 from occspark.sources import pages
 from occspark.sources.star_view import LINE_KEY, occurrences, read_table
+from occspark.streaming import ingest
 from verification.inputs import with_occ
 from verification.registry import query
 
@@ -330,6 +334,29 @@ def s5_p1_f2_normalised_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LANDED_KEY = """CASE WHEN uuid <> '' THEN uuid ELSE "scientificName" || '|' ||
+  coalesce(CAST("decimalLatitude" AS VARCHAR), '') || '|' || coalesce(CAST("decimalLongitude" AS VARCHAR), '')
+  || '|' || "eventDate" || '|' || l_orderkey END"""
+
+
+@query(
+    "t1_incremental_ingest",
+    with_occ(
+        f"""SELECT uuid, "eventDate", "eventDate_iso" FROM (SELECT *, row_number() OVER (PARTITION BY {_LANDED_KEY}
+          ORDER BY "eventDate" NULLS LAST, uuid NULLS LAST) AS r FROM occ) WHERE r = 1"""
+    ),
+)
+def t1_incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Land all records as page files, ingest them as a stream, read the table."""
+    base = f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    _landed(spark, folder).select("page").write.text(f"{base}/pages")
+    stream = ingest.ingest_stream(
+        spark, f"{base}/pages", f"{base}/table", f"{base}/checkpoint", per_line=True
+    )
+    stream.awaitTermination()
+    return ingest.current_table(spark, f"{base}/table").select("uuid", "eventDate", "eventDate_iso")
+
+
 @query(
     "f10_suspect_targets",
     with_occ(

@@ -174,16 +174,56 @@ def x13_hidden_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("x14_simplified_boundaries")
+def _geometry_sql(number: str, head: str, tail: str) -> str:
+    """The GeoJSON text of a box, with its coordinates printed as ``number``."""
+
+    def ring(*points: str) -> str:
+        texts = []
+        for point in [*points, points[0]]:
+            px, py = (f"CAST({c} AS {number})" for c in point.split(","))
+            texts.append(f"'[' || {px} || ',' || {py} || ']'")
+        return "'[' || " + " || ',' || ".join(texts) + " || ']'"
+
+    hole = ring("x + 1,y + 1", "x + 2,y + 1", "x + 2,y + 2", "x + 1,y + 2")
+    outer = ring("x,y", "r,y", "r,t", "x,t")
+    return f"""'{head}' || CASE WHEN triangle THEN {ring('x,y', 'r,y', 'r,t')} ELSE {outer} END
+      || CASE WHEN holed THEN ',' || {hole} ELSE '' END || '{tail}'"""
+
+
+# Every corner of these shapes is farther from its neighbours' line than the tolerance,
+# so thinning keeps all of them.
+_PLAIN = _geometry_sql("DOUBLE", '{"type":"Polygon","coordinates":[', "]}")
+_SORTED = _geometry_sql("BIGINT", '{"coordinates":[', '],"type":"Polygon"}')
+
+
+@query(
+    "x14_simplified_boundaries",
+    with_occ(
+        f"""SELECT sa3_code_2021, sa3_name_2021, area_albers_sqkm, geometry_geojson FROM (SELECT *,
+          (r - x) * (t - y) AS area_albers_sqkm, {_PLAIN} AS geometry_geojson FROM box)
+        WHERE sa3_code_2021 IN (SELECT sa3_code_2021 FROM area_cube)""",
+        AREAS,
+    ),
+)
 def x14_simplified_boundaries(spark: SparkSession, folder: str) -> DataFrame:
     rows = boundaries(spark, folder)
     occupied = areas.occupied_boundaries(rows, _cube(spark, folder), AREA_LEVEL)
-    return areas.simplify_boundaries(occupied)
+    return areas.simplify_boundaries(occupied).select(
+        _CODE, _NAME, "area_albers_sqkm", "geometry_geojson"
+    )
 
 
-@query("s17_area_features")
+@query(
+    "s17_area_features",
+    with_occ(
+        f"""SELECT '{{"type":"Feature","geometry":' || {_SORTED} || ',"properties":{{"sa3_code_2021":"' || sa3_code_2021
+          || '","record_count":' || n || '}}}}' AS feature
+        FROM box JOIN (SELECT sa3_code_2021, CAST(sum(record_count) AS BIGINT) AS n FROM area_cube GROUP BY 1)
+          USING (sa3_code_2021)""",
+        AREAS,
+    ),
+)
 def s17_area_features(spark: SparkSession, folder: str) -> DataFrame:
-    shapes = slicer.area_compositions(
-        _cube(spark, folder), boundaries(spark, folder), SlicerState(), AREA_LEVEL
-    )
-    return areas.geojson_features(shapes)
+    totals = _cube(spark, folder).groupBy(_CODE).agg(F.sum("record_count").alias("record_count"))
+    shapes = boundaries(spark, folder).select(_CODE, "geometry_geojson")
+    return areas.geojson_features(totals.join(shapes, [_CODE]))
