@@ -9,10 +9,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from occspark.functions.keys import round_coordinate
 from occspark.functions.text import count_text, null_label, percent_text, share, year_range
 from occspark.operators.areas import area_columns
-from occspark.operators.grid import TAXON_DIMENSIONS, rebin
+from occspark.operators.grid import TAXON_DIMENSIONS
 from occspark.operators.skew import top_n
+from occspark.schema import CUBE_CONSERVATION_FIELDS, ensure_columns
 
 GRID_LIMIT = 250_000
 OPTION_LIMIT = 5_000
@@ -132,6 +134,18 @@ def _identifier(name: str) -> str:
     return name
 
 
+def _at_precision(cube: DataFrame, decimals: int | None) -> DataFrame:
+    """The cube with its coordinates rounded, ready to be grouped.
+
+    All queries below add up counts, or take minima and maxima. Grouping rounded rows
+    once gives what grouping a re-binned cube gives, without its wide shuffle.
+    """
+    full = ensure_columns(cube, CUBE_CONSERVATION_FIELDS)
+    if decimals is None:
+        return full
+    return full.withColumns({c: round_coordinate(c, max(int(decimals), 0)) for c in CELL})
+
+
 def _filtered(
     cube: DataFrame, state: SlicerState, color_by: str, place: Sequence[str], decimals: int | None
 ) -> DataFrame:
@@ -140,7 +154,7 @@ def _filtered(
     The joins further on drop rows without a place anyway. Saying so here keeps every
     branch of such a query alike, so that Spark computes their common part once.
     """
-    source = rebin(cube, decimals).where(predicate(state))
+    source = _at_precision(cube, decimals).where(predicate(state))
     for column in place:
         source = source.where(F.col(column).isNotNull())
     return source.withColumn("color_value", null_label(color_by))
@@ -163,7 +177,7 @@ def grid_bins(
     group = [*CELL, *shown, "stateProvince"]
     measures = ("record_count", "distinct_scientific_names", "distinct_taxon_concepts")
     totals = (
-        rebin(cube, decimals)
+        _at_precision(cube, decimals)
         .where(predicate(state))
         .groupBy(*group)
         .agg(
