@@ -1,6 +1,6 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine, found in block-max inverted indexes.
 
-Terms are words of the lower-cased text and the first five bytes of longer words. The vocabulary holds
+Terms are words of the lower-cased text and the first five and seven bytes of longer words. The vocabulary holds
 the terms that the labels say most about (chi-square of ``CHI_SQUARE`` or more, ``TERMS`` at most),
 their document frequencies come from all documents. Examples are a sample of about ``SAMPLE_ROWS``
 labelled documents, balanced over the labels and chosen by a hash.
@@ -33,26 +33,24 @@ from occspark.llm.words import PUNCTUATION, Words, blocks, words
 
 SAMPLE_ROWS = 4_000
 TERMS = 8_192
-CHI_SQUARE = 16.0
+CHI_SQUARE = 30.0
+LEAST_EXAMPLES = 5
 NEAREST = 15
 BLOCK = 64
 EVIDENCE = 3
-PREFIX = 5
+PREFIXES = (5, 7)
 
 _PREFIXED = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
 def terms_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all terms of a block and the word that each comes from."""
-    full = w.hashes()
-    long = np.flatnonzero(w.ends - w.starts > PREFIX + 1)
-    if not len(long):
-        return full, np.arange(len(full))
-    cut = w.data[(w.starts[long][:, None] + np.arange(PREFIX)).ravel()].reshape(-1, PREFIX)
-    padded = np.concatenate([cut, np.full((len(cut), 1), 32, dtype=np.uint8)], axis=1).ravel()
-    starts = np.arange(len(long)) * (PREFIX + 1)
-    head = Words(padded, starts, starts + PREFIX, np.array([0, len(long)])).hashes() ^ _PREFIXED
-    return np.concatenate((full, head)), np.concatenate((np.arange(len(full)), long))
+    hashes, origin = [w.hashes()], [np.arange(len(w.starts))]
+    for size in PREFIXES:
+        long = np.flatnonzero(w.ends - w.starts > size)
+        hashes.append(w.prefix_hashes(long, size) ^ (_PREFIXED * np.uint64(size)))
+        origin.append(long)
+    return np.concatenate(hashes), np.concatenate(origin)
 
 
 def term_counts(texts: pa.Array, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,7 +90,7 @@ def chosen_terms(docs: np.ndarray, terms: np.ndarray, toxic: np.ndarray) -> np.n
     d = total - ones - b
     below = np.maximum(n * (total - n) * ones * (total - ones), 1e-9)
     chi = total * (a * d - b * c) ** 2 / below
-    kept = np.flatnonzero((chi >= CHI_SQUARE) & (n >= 3))
+    kept = np.flatnonzero((chi >= CHI_SQUARE) & (n >= LEAST_EXAMPLES))
     kept = kept[np.argsort(-chi[kept], kind="stable")[:TERMS]]
     return np.sort(names[kept])
 
