@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from occspark.llm.langid import fresh
 from occspark.llm.words import PUNCTUATION, Words, blocks, combined, utf8, words
@@ -175,6 +176,7 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
     """(doc_id, item_id, containment) of every item in every document of (doc_id, text)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kinds = {"doc_id": docs.schema["doc_id"].dataType, "item_id": items.schema["item_id"].dataType}
+    item_type = to_arrow_type(kinds["item_id"])
     schema = ", ".join(f"{n} {t.simpleString()}" for n, t in kinds.items()) + ", containment double"
     result = None
     for block in item_blocks(items):
@@ -188,7 +190,7 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(rows),
-                        pa.array([index.ids[i] for _, i, _ in hits]),
+                        pa.array([index.ids[i] for _, i, _ in hits], item_type),
                         pa.array([s for _, _, s in hits], pa.float64()),
                     ],
                     ["doc_id", "item_id", "containment"],
