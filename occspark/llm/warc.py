@@ -29,7 +29,7 @@ from occspark.llm.store import shared_folder, stored
 
 REVISIT_BYTES = 1_000
 ARCHIVE_BYTES = 1 << 28
-READ_BYTES = 1 << 23
+READ_BYTES = 1 << 21
 GAP_BYTES = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 
@@ -154,10 +154,13 @@ def ranges(offsets: np.ndarray, lengths: np.ndarray, gap: int, most: int) -> lis
 def read(index: DataFrame, folder: str, read_bytes: int = READ_BYTES, gap_bytes: int = GAP_BYTES) -> DataFrame:
     """The records of the given index rows. Files are cut into stretches, so one large file is read by many tasks."""
     stretch = F.floor(F.col("offset") / (4 * read_bytes))
+    # Rows are tiny but name much to read: a given number of tasks, which adaptive execution doesn't merge.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // (4 * read_bytes)))
     dealt = (
         index.select("file", "offset", "length")
         .withColumn("stretch", stretch)
-        .repartition("file", "stretch")
+        .repartition(tasks, "file", "stretch")
         .sortWithinPartitions("file", "stretch", "offset")
     )
 
