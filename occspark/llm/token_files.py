@@ -35,6 +35,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END = 50_256
 BLOCK_TOKENS = 1 << 21
+TASK_BLOCKS = 8
 FILE_TOKENS = 1 << 27
 _WIDTH = 2
 
@@ -119,7 +120,9 @@ def separators(blocks: DataFrame, folder: str, end: int = END) -> DataFrame:
         finally:
             reader.close()
 
-    dealt = blocks.repartition("file", "block")
+    # Rows are tiny but name much to read: a given number of tasks, which adaptive execution doesn't merge.
+    tasks = max(1, -(-blocks.count() // TASK_BLOCKS))
+    dealt = blocks.repartition(tasks, "file", "block")
     return dealt.mapInPandas(search, "file string, block long, first long, tokens long, ends array<long>")
 
 
