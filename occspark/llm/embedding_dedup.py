@@ -175,7 +175,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
                 yield part.assign(keys=list(keys))
 
     schema = f"node long, copies long, embedding {node.schema['embedding'].dataType.simpleString()}, keys array<int>"
-    probed = node.select("node", "copies", "embedding").mapInPandas(hashed, schema)
+    # Stored, as the buckets are counted before they are compared.
+    probed = stored(node.select("node", "copies", "embedding").mapInPandas(hashed, schema))
     # Vectors of different length never share a bucket.
     bucket = F.size("embedding").cast("long") * (1 << 32) + F.col("key")
     probed = probed.select("*", F.explode("keys").alias("key")).withColumn("bucket", bucket).drop("key")
