@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from occspark.llm.store import stored
+from occspark.llm.store import bound_batches, stored
 
 START, END, LEARNT = "<|im_start|>", "<|im_end|>", "assistant"
 
@@ -78,6 +78,7 @@ TURNS = (
 
 def keyed_turns(turns: DataFrame, measure: Callable[[str], int] = len) -> DataFrame:
     """Formatted turns with their node keys; the last turn of a conversation has its path."""
+    bound_batches(turns.sparkSession)
     ordered = (
         turns.select(
             F.col("conv_id").cast("long").alias("conv_id"),

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from occspark.llm.langid import fresh
+from occspark.llm.store import bound_batches
 from occspark.llm.words import PUNCTUATION, Words, blocks, combined, utf8, words
 
 SHINGLE = 5
@@ -163,6 +164,7 @@ def contained(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, float]]
 
 def item_blocks(items: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Iterator[list[tuple]]:
     """Items in blocks of bounded size: the number of blocks follows the benchmark's word count."""
+    bound_batches(items.sparkSession)
     items = items.select("item_id", F.col("text").cast("string").alias("text"))
     size = F.coalesce(F.size(F.split("text", r"\s+")), F.lit(0))
     total = items.agg(F.sum(size)).first()[0] or 0

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from occspark.llm.store import bound_batches
+
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 SAMPLE_ROWS = 2_400
@@ -130,6 +132,7 @@ def document_frequencies(rows: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
 def fit(rows: DataFrame, text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from all rows with a label. ``sample_rows`` bounds the rows of the gradient steps."""
+    bound_batches(rows.sparkSession)
     rows = rows.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label")).where("label is not null")
     counts = {
         r["label"]: r["n"]

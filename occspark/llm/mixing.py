@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from occspark.llm.decontaminate import lowered
 from occspark.llm.langid import fresh
-from occspark.llm.store import cut, stored
+from occspark.llm.store import bound_batches, cut, stored
 from occspark.llm.words import PUNCTUATION, SPACES, blocks, utf8, words
 
 TEMPER = 0.7
@@ -116,6 +116,7 @@ def probabilities(
 
     ``rate`` scales the probabilities down (1 draws as many tokens as the targets allow).
     """
+    bound_batches(docs.sparkSession)
     raw = [F.concat(F.lit("v"), F.col(m).cast("string")) for m in margins]
     base = docs.select(
         "doc_id",

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occspark.llm.langid import fresh
+from occspark.llm.store import bound_batches
 from occspark.llm.words import utf8
 
 # The kinds in their order, each with its rule over ASCII bytes.
@@ -344,6 +345,7 @@ def listed(spans: list[tuple[int, int, int]], kinds: int = len(KINDS)) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Counts per base kind, digest of the base spans, and all spans, for every row of (doc_id, text)."""
+    bound_batches(docs.sparkSession)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,6 +390,7 @@ def _replaced(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """All documents with their secrets redacted and ``n_chars`` counted anew where a text changed."""
+    bound_batches(docs.sparkSession)
     name = fresh(docs, "_redacted")
     found = docs.withColumn(name, redacted(F.col("text").cast("string")))
     changed = ~F.col("text").eqNullSafe(F.col(name))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from occspark.llm.buckets import bucketed, runs, windows
 from occspark.llm.graph import components, forest
 from occspark.llm.langid import fresh
-from occspark.llm.store import stored
+from occspark.llm.store import bound_batches, stored
 from occspark.llm.words import ASCII_LOWER, SPACES, blocks, utf8, words
 
 SHINGLE = 3
@@ -101,6 +101,7 @@ def fingerprints_of(texts: pa.Array) -> np.ndarray:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) for every row of (doc_id, text)."""
+    bound_batches(docs.sparkSession)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

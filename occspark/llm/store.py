@@ -35,3 +35,19 @@ def cut(frame: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint(eager=True)
+
+
+#: Rows and bytes of text that Python workers take at once.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_ROWS_BY_DEFAULT = "10000"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have texts passed to Python in batches of bounded size, unless the session says otherwise.
+
+    The default of 10,000 rows means tens of MB of text per batch and several times that in a worker.
+    """
+    rows, size = BATCH
+    if spark.conf.get(rows, _ROWS_BY_DEFAULT) == _ROWS_BY_DEFAULT:
+        for name in (rows, size):
+            spark.conf.set(name, BATCH[name])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from occspark.llm.files import Reader, Upload, make_folder, opened
-from occspark.llm.store import shared_folder, stored
+from occspark.llm.store import bound_batches, shared_folder, stored
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the split pattern that belongs to the vocabulary.
@@ -52,6 +52,7 @@ def encoding(path: str):
 def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Write token files of (doc_id, text) to ``folder``; returns the stored names: (doc_id, file, ordinal)."""
     make_folder(folder)
+    bound_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = encoding(tokenizer)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from occspark.llm.decontaminate import lowered, present, sieve
 from occspark.llm.langid import held_out
+from occspark.llm.store import bound_batches
 from occspark.llm.words import PUNCTUATION, Words, blocks, words
 
 SAMPLE_ROWS = 4_000
@@ -199,6 +200,7 @@ def _calibrate(index: Index, row: np.ndarray, term: np.ndarray, weight: np.ndarr
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Index | None:
     """Learn from labelled documents outside the held-out fold; None if they aren't of both kinds."""
+    bound_batches(docs.sparkSession)
     known = (
         labels.where("doc_id is not null and toxic is not null")
         .where(~held_out(F.col("doc_id"), 5, 0))

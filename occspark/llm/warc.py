@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occspark.llm.files import Reader, Upload, make_folder
-from occspark.llm.store import shared_folder, stored
+from occspark.llm.store import bound_batches, shared_folder, stored
 
 REVISIT_BYTES = 1_000
 ARCHIVE_BYTES = 1 << 28
@@ -108,6 +108,7 @@ def parsed(data: bytes) -> dict:
 def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write archives to ``folder`` and return their index, a stored table."""
     make_folder(folder)
+    bound_batches(pages.sparkSession)
 
     def archive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         upload, index = None, []
