@@ -13,15 +13,20 @@ _TRUE_WORDS = ("true", "t", "1", "yes", "y")
 _FALSE_WORDS = ("false", "f", "0", "no", "n")
 _FIRST_MILLIS = -62_135_596_800_000
 _LAST_MILLIS = 253_402_300_799_999
-_NESTED_LISTS = 2
+#: Levels of lists within lists; what lies deeper stays JSON text.
+_NESTED_LISTS = 8
 
 
 def _joined_list(text: Column, depth: int) -> Column:
-    items = F.from_json(text, "array<string>")
-    if depth:
-        items = F.transform(
-            items, lambda x: F.when(x.startswith("["), _joined_list(x, depth - 1)).otherwise(x)
-        )
+    def item(text: Column, cell: Column) -> Column:
+        kind = F.schema_of_variant(cell)
+        shown = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+        if not depth:
+            return shown
+        # A text that merely begins with a bracket is no list.
+        return F.when(kind.startswith("ARRAY"), _joined_list(text, depth - 1)).otherwise(shown)
+
+    items = F.zip_with(F.from_json(text, "array<string>"), F.from_json(text, "array<variant>"), item)
     return F.array_join(F.filter(items, lambda x: x.isNotNull() & (x != "")), " | ")
 
 
@@ -43,7 +48,9 @@ def cell_text(text: Column, kind: Column) -> Column:
 
 def to_double(c: Column | str) -> Column:
     """number, or null for empty and malformed text."""
-    return strip(c).try_cast("double")
+    text = strip(c)
+    # A trailing d or f is a number suffix to the JVM only.
+    return F.when(~text.rlike(r"[0-9.][dDfF]\z"), text.try_cast("double"))
 
 
 def to_long(c: Column | str) -> Column:

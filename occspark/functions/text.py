@@ -81,12 +81,14 @@ def percent_text(c: Column) -> Column:
 
     ``format_string`` would round the printed decimal digits up instead (6.25 to 6.3).
     """
-    percent = c * 100
-    whole = F.floor(percent)
-    tenths = whole * 10 + F.rint((percent - whole) * 10).cast("long")
-    return F.concat(
-        F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%")
-    )
+    return F.concat(_tenths_text(c * 100), F.lit("%"))
+
+
+def _tenths_text(c: Column) -> Column:
+    """One decimal of a number that isn't negative, ties to even."""
+    whole = F.floor(c)
+    tenths = whole * 10 + F.rint((c - whole) * 10).cast("long")
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
 
 
 def count_text(c: Column) -> Column:
@@ -106,9 +108,9 @@ def duration_text(c: Column | str) -> Column:
     minutes = F.floor(F.pmod(seconds, F.lit(3600.0)) / 60)
     rest = F.pmod(seconds, F.lit(60.0))
     return (
-        F.when(hours > 0, F.format_string("%dh %dm %.1fs", hours, minutes, rest))
-        .when(minutes > 0, F.format_string("%dm %.1fs", minutes, rest))
-        .otherwise(F.format_string("%.1fs", rest))
+        F.when(hours > 0, F.format_string("%dh %dm %ss", hours, minutes, _tenths_text(rest)))
+        .when(minutes > 0, F.format_string("%dm %ss", minutes, _tenths_text(rest)))
+        .otherwise(F.concat(_tenths_text(rest), F.lit("s")))
     )
 
 

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from occspark.operators.skew import lookup_join, top_n
 
 TOP_VALUES = 10
-MAX_CATEGORIES = 1_000
 HIGH_NULL_PERCENT = 90.0
 SPECIES_COLUMNS = ("scientificName", "species", "query_scientific_name")
 
@@ -91,8 +90,12 @@ def top_values(
     counts: DataFrame | None = None,
     keys: Sequence[str] = (),
     n: int = TOP_VALUES,
+    max_categories: int | None = None,
 ) -> DataFrame:
-    """The most frequent values of every text or boolean column of few values."""
+    """The most frequent values of every text or boolean column.
+
+    With ``max_categories`` only of columns with that many different values at most.
+    """
     categorical = [
         f.name
         for f in df.schema.fields
@@ -100,12 +103,9 @@ def top_values(
     ]
     counts = value_counts(df, keys, categorical) if counts is None else counts
     counts = counts.where(F.col("column").isin(*categorical))
-    few = (
-        counts.groupBy(*keys, "column")
-        .agg(F.count(F.lit(1)).alias("distinct_count"))
-        .where(F.col("distinct_count") <= MAX_CATEGORIES)
-        .select(*keys, "column")
-    )
+    few = counts.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("distinct_count"))
+    few = few.where(F.col("distinct_count") <= max_categories) if max_categories is not None else few
+    few = few.select(*keys, "column")
     order = [F.col("n").desc(), F.col("value").asc_nulls_last()]
     if keys:
         kept = lookup_join(counts, few, [*keys, "column"], "left_semi")

@@ -33,17 +33,15 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Join a fact table to a lookup whose keys are unique.
 
     No side is broadcast by decree: adaptive execution turns the join into a
-    broadcast when the lookup's measured size allows it. Otherwise the rows of a
-    hot key are spread over ``salts`` tasks, and the lookup is repeated per salt.
+    broadcast when the lookup's measured size allows it, and else splits the fact rows
+    of a hot key over tasks (inner, left, semi and anti joins). The lookup, which may
+    be as large as the facts, is never copied.
     """
-    salted = facts.withColumn(_SALT, _row_salt(facts, salts))
-    repeated = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
+    return facts.join(lookup, list(on), how)
 
 
 def reference_join(
@@ -61,16 +59,17 @@ def top_n(
     order: Sequence[Column],
     n: int,
     rank: str = "rank",
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their rank.
 
     A hot group is never sorted whole by one task. Up to ``GROUP_LIMIT`` Spark itself
     cuts every map task's share of a group to ``n`` rows before the shuffle (window
     group limit). Beyond that the group is first ranked in salted parts, and only the
-    parts' first ``n`` rows are ranked together.
+    parts' first ``n`` rows are ranked together. The number of parts follows the shuffle partitions.
     """
     if n > GROUP_LIMIT:
+        salts = salts or max(DEFAULT_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
         part = Window.partitionBy(*keys, _SALT).orderBy(*order)
         df = (
             df.withColumn(_SALT, _row_salt(df, salts))

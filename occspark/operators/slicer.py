@@ -16,13 +16,11 @@ from occspark.operators.grid import TAXON_DIMENSIONS
 from occspark.operators.skew import top_n
 from occspark.schema import CUBE_CONSERVATION_FIELDS, ensure_columns
 
-GRID_LIMIT = 250_000
-OPTION_LIMIT = 5_000
 OTHER = "Other"
 CELL = ("lat_bin", "lon_bin")
 DISPLAY_COLUMNS = (*TAXON_DIMENSIONS, "stateProvince")
 
-# Polygon caps per area level, state presets.
+# Polygon caps per area level that a display may pass as limits, state presets.
 AREA_LIMITS = {"SA1": 8_000, "SA2": 3_000, "SA3": 500}
 STATE_PRESETS = {
     "East coast": ["Victoria", "New South Wales", "Australian Capital Territory", "Queensland"],
@@ -160,6 +158,11 @@ def _filtered(
     return source.withColumn("color_value", null_label(color_by))
 
 
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, unless the caller asks for a limit."""
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def _text(value: Column, count: Column) -> Column:
     return F.concat(value, F.lit(": "), count_text(count))
 
@@ -167,7 +170,7 @@ def _text(value: Column, count: Column) -> Column:
 def grid_bins(
     cube: DataFrame,
     state: SlicerState,
-    limit: int = GRID_LIMIT,
+    limit: int | None = None,
     locked: str | None = None,
     decimals: int | None = None,
 ) -> DataFrame:
@@ -189,9 +192,8 @@ def grid_bins(
     displayed = [
         F.col(c) if c in group else F.lit(None).cast("string").alias(c) for c in DISPLAY_COLUMNS
     ]
-    ranked = totals.orderBy(
-        F.col("record_count").desc(), *[F.col(c).asc_nulls_last() for c in group]
-    ).limit(limit)
+    order = [F.col("record_count").desc(), *[F.col(c).asc_nulls_last() for c in group]]
+    ranked = _first(totals.orderBy(*order), limit)
     return ranked.select(
         *CELL,
         *displayed,
@@ -205,12 +207,12 @@ def grid_bins(
 
 
 def color_options(
-    cube: DataFrame, state: SlicerState, limit: int = OPTION_LIMIT, locked: str | None = None
+    cube: DataFrame, state: SlicerState, limit: int | None = None, locked: str | None = None
 ) -> DataFrame:
     """The colour values of a selection with their totals, largest first."""
     value = null_label(color_dimension(state, locked)).alias("value")
     totals = cube.where(predicate(state)).groupBy(value).agg(F.sum("record_count").alias("record_count"))
-    return totals.orderBy(F.col("record_count").desc(), "value").limit(limit)
+    return _first(totals.orderBy(F.col("record_count").desc(), "value"), limit)
 
 
 def _one_or_multiple(column: str, focus: Column) -> Column:
@@ -226,7 +228,7 @@ def share_bins(
     cube: DataFrame,
     state: SlicerState,
     focus_value: str,
-    limit: int = GRID_LIMIT,
+    limit: int | None = None,
     locked: str | None = None,
     decimals: int | None = None,
     top_competitors: int = 5,
@@ -253,9 +255,9 @@ def share_bins(
             F.count_if(focus).alias("_focus_rows"),
         )
         .where((F.col("_focus_rows") > 0) & F.lit(bool(focus_value)))
-        .orderBy(F.col("record_count").desc(), *CELL)
-        .limit(limit)
     )
+    if limit is not None:
+        cells = cells.orderBy(F.col("record_count").desc(), *CELL).limit(limit)
     texts = composition_text(rows, cells.select(*CELL), top_competitors)
     return cells.join(texts, list(CELL), "left").select(
         *CELL,
@@ -288,12 +290,12 @@ def _lines(items: Column) -> Column:
 def all_share_bins(
     cube: DataFrame,
     state: SlicerState,
-    limit_per_category: int = 50_000,
+    limit_per_category: int | None = None,
     locked: str | None = None,
     decimals: int | None = None,
-    max_categories: int = 12,
+    max_categories: int | None = None,
 ) -> DataFrame:
-    """Shares per cell of the largest categories, each capped at its top cells.
+    """Shares per cell and category; limits keep the largest categories and each one's top cells.
 
     The cube is aggregated once per (cell, category); cell totals, category totals and
     the ranking all start from that.
@@ -308,13 +310,14 @@ def all_share_bins(
     categories = (
         counts.groupBy("color_value")
         .agg(F.sum("record_count").alias("category_total_records"))
-        .orderBy(F.col("category_total_records").desc(), "color_value")
-        .limit(max(int(max_categories), 1))
     )
-    # At most max_categories rows, by its own limit.
-    leading = counts.join(F.broadcast(categories), ["color_value"])
-    order = [F.col("record_count").desc(), *[F.col(c) for c in CELL]]
-    ranked = top_n(leading, ["color_value"], order, max(int(limit_per_category), 1), "point_rank")
+    if max_categories is not None:
+        largest = categories.orderBy(F.col("category_total_records").desc(), "color_value")
+        categories = largest.limit(max(int(max_categories), 1))
+    ranked = counts.join(categories, ["color_value"])
+    if limit_per_category is not None:
+        order = [F.col("record_count").desc(), *[F.col(c) for c in CELL]]
+        ranked = top_n(ranked, ["color_value"], order, max(int(limit_per_category), 1), "point_rank")
     shared = ranked.join(cells, list(CELL)).withColumn(
         "share", share(F.col("record_count"), F.col("total_cell_records"))
     )
@@ -343,7 +346,7 @@ def all_share_bins(
 
 
 def _composition_rows(
-    rows: DataFrame, place: Sequence[str], limit: int, top: int | None
+    rows: DataFrame, place: Sequence[str], limit: int | None, top: int | None
 ) -> DataFrame:
     """O3 + O4: category rows of the largest places, the tail gathered as ``Other``.
 
@@ -354,9 +357,9 @@ def _composition_rows(
     places = (
         counts.groupBy(*place)
         .agg(F.sum("record_count").alias("total_record_count"), F.count(F.lit(1)).alias("_categories"))
-        .orderBy(F.col("total_record_count").desc(), *place)
-        .limit(limit)
     )
+    if limit is not None:
+        places = places.orderBy(F.col("total_record_count").desc(), *place).limit(limit)
     chosen = counts.join(places, list(place))
     if top is None:
         # Full mode lists every category anyway, in descending order of its count.
@@ -389,7 +392,7 @@ def _composition_rows(
 def composition_rows(
     cube: DataFrame,
     state: SlicerState,
-    limit: int = GRID_LIMIT,
+    limit: int | None = None,
     locked: str | None = None,
     decimals: int | None = None,
     top: int = 8,
@@ -472,7 +475,7 @@ def area_composition_rows(
     code, name = _identifier(code_column or code), _identifier(name_column or name)
     rows = _filtered(cube, state, color_by, (code,), None)
     rows = rows.select(F.col(code).alias("area_code_2021"), "color_value", "record_count")
-    flat = _composition_rows(rows, ("area_code_2021",), limit or AREA_LIMITS[level.upper()], top)
+    flat = _composition_rows(rows, ("area_code_2021",), limit, top)
     shapes = boundaries.select(
         F.col(code).alias("area_code_2021"), F.col(name).alias("area_name_2021"), "geometry_geojson"
     )
@@ -584,9 +587,11 @@ def hidden_records(
     shown = (
         rows.groupBy(code)
         .agg(F.sum("record_count").alias("n"))
-        .orderBy(F.col("n").desc(), code)
-        .limit(limit or AREA_LIMITS[level.upper()])
-        .join(boundaries.select(code), [code], "left_semi")
+    )
+    if limit is not None:
+        shown = shown.orderBy(F.col("n").desc(), code).limit(limit)
+    shown = (
+        shown.join(boundaries.select(code), [code], "left_semi")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("visible_records"))
     )
     both = shown.unionByName(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from occspark.functions.text import is_probable_scientific_name, is_valid_facet_label, safe_key
 from occspark.operators.skew import lookup_join, reference_join, top_n
-from occspark.schema import FACET_PAGE_SIZE
 
 # Ranks an authority may fill from, and its acceptance rule.
 SPECIES_RANKS = ("species", "subspecies")
@@ -182,7 +181,7 @@ def month_counts(df: DataFrame) -> DataFrame:
 
 
 def facet_counts(
-    df: DataFrame, field: str, offset: int = 0, limit: int | None = FACET_PAGE_SIZE
+    df: DataFrame, field: str, offset: int = 0, limit: int | None = None
 ) -> DataFrame:
     """Label, count and filter text of a field's values.
 

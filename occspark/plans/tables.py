@@ -146,10 +146,13 @@ def source_impact(
     if found:
         try:
             existing = tables.read_table(spark, base)
-            existing.limit(1).count()
+            # The summary reads all that it needs of the table; it is one row.
+            read = impact.impact_summary(rows, existing, families, found, None)
+            summary = spark.createDataFrame(read.collect(), read.schema)
         except Exception as problem:  # any read error makes the table unreadable
             existing, error = None, str(problem).split("\n", 1)[0]
-    summary = impact.impact_summary(rows, existing, families, found, error)
+    if existing is None:
+        summary = impact.impact_summary(rows, None, families, found, error)
     counts = impact.impact_family_counts(rows, existing, families)
     if report:
         tables.write_json(summary, f"{report}/summary", overwrite)

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 SHUFFLE_PARTITION_BYTES = 128 * 1024**2
 
 
-def shuffle_partitions(input_bytes: int, low: int = 200, high: int = 50_000) -> int:
+def shuffle_partitions(input_bytes: int, low: int = 200) -> int:
     """Partitions that keep a full shuffle of the input at a size tasks hold in memory.
 
     Adaptive execution merges partitions that turn out small, so this errs upwards.
     """
-    return max(low, min(high, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
+    return max(low, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(

@@ -68,13 +68,20 @@ def check_targets(targets: DataFrame) -> DataFrame:
         raise ValueError("The target list is empty.")
     if counts["invalid"]:
         raise ValueError(f"{counts['invalid']} targets lack a scientific_name or key.")
-    repeated = targets.groupBy("key").count().where("count > 1").orderBy("key").limit(20)
-    names = [r["key"] for r in repeated.select("key").toLocalIterator()]
-    if names:
-        raise ValueError("Duplicate species target keys: " + ", ".join(names))
+    repeated = repeated_targets(targets)
+    count = repeated.count()
+    if count:
+        # An error message names a few; ``repeated_targets`` returns all of them.
+        names = [r["key"] for r in repeated.orderBy("key").limit(20).collect()]
+        raise ValueError(f"Duplicate species target keys ({count} in all): " + ", ".join(names))
     return targets
 
 
+def repeated_targets(targets: DataFrame) -> DataFrame:
+    """(key, count) of every key that is listed more than once."""
+    return targets.groupBy("key").count().where("count > 1")
+
+
 def query_columns(targets: DataFrame) -> DataFrame:
     """A target's values under the query column names of the occurrence table."""
     return targets.select(

@@ -186,3 +186,22 @@ def test_labels(spark):
     assert column(spark, [0.25, -0.25, 0.35], lambda c: keys.round_coordinate(c, 1), "double") == [0.3, -0.3, 0.4]
     even = column(spark, [0.25, -0.25, 0.35], lambda c: keys.round_coordinate(c, 1, True), "double")
     assert even == [0.2, -0.2, 0.4]
+
+
+def test_list_items_keep_their_kind(spark):
+    given = ['["[sic]","x"]', "[true,false,1]", '[[[["d"]]],"e"]', '[[true,"[f]"],null,""]']
+    frame = spark.createDataFrame([(g,) for g in given], "t string")
+    shown = coerce.cell_text(F.col("t"), F.schema_of_variant(F.parse_json("t")))
+    assert [r[0] for r in frame.select(shown).collect()] == ["[sic] | x", "True | False | 1", "d | e", "True | [f]"]
+
+
+def test_number_suffixes_are_no_numbers(spark):
+    frame = spark.createDataFrame([("12d",), ("12f",), ("1.D",), ("12",), ("1e3",), ("inf",)], "t string")
+    got = [r[0] for r in frame.select(coerce.to_double("t")).collect()]
+    assert got == [None, None, None, 12.0, 1000.0, float("inf")]
+
+
+def test_durations_round_ties_to_even(spark):
+    frame = spark.createDataFrame([(0.25,), (0.75,), (59.97,), (3600.25,)], "s double")
+    got = [r[0] for r in frame.select(text.duration_text("s")).collect()]
+    assert got == ["0.2s", "0.8s", "60.0s", "1h 0m 0.2s"]

@@ -11,7 +11,7 @@ from occspark.streaming.ingest import first_seen
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(1024**4) == 8192
-    assert shuffle_partitions(100 * 1024**4) == 50_000
+    assert shuffle_partitions(100 * 1024**4) == 819_200
 
 
 def test_lineage_is_cut_in_the_shared_folder(spark):

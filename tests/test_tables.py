@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from conftest import records
@@ -538,7 +539,8 @@ def test_incremental_ingest(spark, tmp_path):
     got = {(r["uuid"], r["eventDate"], r["query_species_key"]) for r in records(current)}
     assert got == {("a", 1000, "testus"), ("b", None, "testus"), ("c", 5, "testus")}
     # Replaying a batch changes nothing.
-    batch = spark.read.schema(OCCURRENCE_SCHEMA).parquet(f"{table}/batch_id=1").cache()
+    (stored,) = Path(table).glob("stream_id=*/batch_id=1")
+    batch = spark.read.schema(OCCURRENCE_SCHEMA).parquet(str(stored)).cache()
     assert batch.count() == 2
-    ingest.write_batch(batch, 1, table)
+    ingest.write_batch(batch, 1, table, stored.parent.name.removeprefix("stream_id="))
     assert ingest.current_table(spark, table).count() == 3

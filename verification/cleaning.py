@@ -450,6 +450,23 @@ _TEXT_COLUMNS = [
     ),
 )
 def a12_top_values(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.top_values(_profile_input(spark, folder), max_categories=1_000)
+
+
+@query(
+    "a12_all_top_values",
+    with_occ(
+        """SELECT "column", rank, value, count FROM (SELECT *, row_number() OVER (PARTITION BY "column"
+          ORDER BY count DESC, value NULLS LAST) AS rank FROM vc) WHERE rank <= 10""",
+        "vc AS ("
+        + " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", "{c}" AS value, count(*) AS count FROM occ GROUP BY "{c}" """
+            for c in _TEXT_COLUMNS
+        )
+        + ")",
+    ),
+)
+def a12_all_top_values(spark: SparkSession, folder: str) -> DataFrame:
     return profile.top_values(_profile_input(spark, folder))
 
 
