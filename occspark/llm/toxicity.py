@@ -41,7 +41,7 @@ BLOCK = 64
 EVIDENCE = 3
 PREFIXES = (5, 7)
 
-_PREFIXED = np.uint64(0xA5A5A5A5A5A5A5A5)
+_PREFIXED = 0xA5A5A5A5A5A5A5A5
 
 
 def terms_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +49,7 @@ def terms_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
     hashes, origin = [w.hashes()], [np.arange(len(w.starts))]
     for size in PREFIXES:
         long = np.flatnonzero(w.ends - w.starts > size)
-        hashes.append(w.prefix_hashes(long, size) ^ (_PREFIXED * np.uint64(size)))
+        hashes.append(w.prefix_hashes(long, size) ^ np.uint64(_PREFIXED * size % (1 << 64)))
         origin.append(long)
     return np.concatenate(hashes), np.concatenate(origin)
 
