@@ -448,8 +448,8 @@ def f27_durations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "f27_fraction_durations",
-    """SELECT event_id, CASE WHEN s >= 3600 THEN (s // 3600)::BIGINT || 'h ' || (s % 3600 // 60)::BIGINT || 'm '
-        WHEN s >= 60 THEN (s // 60)::BIGINT || 'm ' ELSE '' END || format('{:.1f}s', s % 60) AS duration
+    """SELECT event_id, CASE WHEN s >= 3600 THEN floor(s / 3600)::BIGINT || 'h ' || floor(s % 3600 / 60)::BIGINT || 'm '
+        WHEN s >= 60 THEN floor(s / 60)::BIGINT || 'm ' ELSE '' END || format('{:.1f}s', s % 60) AS duration
       FROM (SELECT event_id, (event_id % 40000)::DOUBLE / 8 AS s FROM events)""",
 )
 def f27_fraction_durations(spark: SparkSession, folder: str) -> DataFrame:
