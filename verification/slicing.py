@@ -299,16 +299,13 @@ def j7_focus_cells_limited(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "o6_w4_j6_all_share_bins",
-    f"""WITH {CUBE}, f AS (SELECT lat_bin, lon_bin, coalesce(genus, 'not supplied') AS v, record_count FROM cube
-      WHERE family IN ('ASIA', 'EUROPE')),
-    cats AS (SELECT v, CAST(sum(record_count) AS BIGINT) AS category_total_records FROM f GROUP BY v
-      ORDER BY category_total_records DESC, v LIMIT 6),
-    cells AS (SELECT lat_bin, lon_bin, CAST(sum(record_count) AS BIGINT) AS total_cell_records FROM f GROUP BY ALL),
-    cc AS (SELECT lat_bin, lon_bin, v, CAST(sum(record_count) AS BIGINT) AS record_count FROM f JOIN cats USING (v)
-      GROUP BY ALL),
-    rk AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY record_count DESC, lat_bin, lon_bin) AS r
-      FROM cc JOIN cells USING (lat_bin, lon_bin) JOIN cats USING (v)),
-    s AS (SELECT *, record_count::DOUBLE / total_cell_records AS share FROM rk WHERE r <= 50)
+    f"""WITH {CUBE}, per AS (SELECT lat_bin, lon_bin, coalesce(genus, 'not supplied') AS v,
+        CAST(sum(record_count) AS BIGINT) AS record_count FROM cube WHERE family IN ('ASIA', 'EUROPE') GROUP BY ALL),
+    whole AS (SELECT *, CAST(sum(record_count) OVER (PARTITION BY lat_bin, lon_bin) AS BIGINT) AS total_cell_records,
+        CAST(sum(record_count) OVER (PARTITION BY v) AS BIGINT) AS category_total_records FROM per),
+    s AS (SELECT *, record_count::DOUBLE / total_cell_records AS share FROM whole
+        QUALIFY dense_rank() OVER (ORDER BY category_total_records DESC, v) <= 6
+        AND row_number() OVER (PARTITION BY v ORDER BY record_count DESC, lat_bin, lon_bin) <= 50)
     SELECT lat_bin, lon_bin, record_count, total_cell_records, category_total_records, share,
       'genus' AS color_level, v AS color_value, format('{{:.1f}}%', share * 100) AS share_percent,
       v || ': ' || format('{{:,}}', record_count) || ' / ' || format('{{:,}}', total_cell_records)
@@ -323,15 +320,18 @@ def o6_w4_j6_all_share_bins(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_MARKER_CTES = f"""{CUBE}, f AS (SELECT round(lat_bin, 0) + 0.0 AS lat_bin, round(lon_bin, 0) + 0.0 AS lon_bin,
-      coalesce(genus, 'not supplied') AS v, record_count FROM cube WHERE family IN ('ASIA', 'EUROPE', 'AFRICA')),
-    cells AS (SELECT lat_bin, lon_bin, CAST(sum(record_count) AS BIGINT) AS total_record_count FROM f GROUP BY ALL
-      ORDER BY total_record_count DESC, lat_bin, lon_bin LIMIT 300),
-    cc AS (SELECT lat_bin, lon_bin, v, total_record_count, CAST(sum(record_count) AS BIGINT) AS n
-      FROM f JOIN cells USING (lat_bin, lon_bin) GROUP BY ALL),
-    rk AS (SELECT *, row_number() OVER (PARTITION BY lat_bin, lon_bin ORDER BY n DESC, v) AS r FROM cc),
-    flat AS (SELECT lat_bin, lon_bin, total_record_count, CASE WHEN r <= 2 THEN v ELSE 'Other' END AS color_value,
-      CAST(sum(n) AS BIGINT) AS record_count, min(least(r, 3)) AS category_order FROM rk GROUP BY ALL)"""
+# The tail of a cell is what its two leading values leave of the cell's total.
+_MARKER_CTES = f"""{CUBE}, per AS (SELECT round(lat_bin, 0) + 0.0 AS lat_bin, round(lon_bin, 0) + 0.0 AS lon_bin,
+        coalesce(genus, 'not supplied') AS color_value, CAST(sum(record_count) AS BIGINT) AS record_count
+        FROM cube WHERE family IN ('ASIA', 'EUROPE', 'AFRICA') GROUP BY ALL),
+    whole AS (SELECT *, CAST(sum(record_count) OVER (PARTITION BY lat_bin, lon_bin) AS BIGINT) AS total_record_count,
+        row_number() OVER (PARTITION BY lat_bin, lon_bin ORDER BY record_count DESC, color_value) AS category_order FROM per),
+    leading_two AS (SELECT * FROM whole WHERE category_order <= 2
+        QUALIFY dense_rank() OVER (ORDER BY total_record_count DESC, lat_bin, lon_bin) <= 300),
+    flat AS (SELECT lat_bin, lon_bin, total_record_count, color_value, record_count, category_order FROM leading_two
+        UNION ALL SELECT lat_bin, lon_bin, any_value(total_record_count), 'Other',
+        CAST(any_value(total_record_count) - sum(record_count) AS BIGINT), 3 FROM leading_two
+        GROUP BY lat_bin, lon_bin HAVING any_value(total_record_count) > sum(record_count))"""
 
 
 @query(

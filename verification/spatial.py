@@ -101,13 +101,11 @@ def a20_area_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _composition_sql(level: str, where: str, limit: int) -> str:
-    return f"""f AS (SELECT sa3_code_2021 AS code, coalesce({level}, 'not supplied') AS v, record_count
-      FROM area_cube WHERE {where}),
-    tot AS (SELECT code, CAST(sum(record_count) AS BIGINT) AS total_record_count FROM f GROUP BY code
-      ORDER BY total_record_count DESC, code LIMIT {limit}),
-    cc AS (SELECT code, v, total_record_count, CAST(sum(record_count) AS BIGINT) AS n FROM f JOIN tot USING (code)
-      GROUP BY ALL),
-    rk AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY n DESC, v) AS rn FROM cc)"""
+    return f"""per AS (SELECT sa3_code_2021 AS code, coalesce({level}, 'not supplied') AS v,
+        CAST(sum(record_count) AS BIGINT) AS n FROM area_cube WHERE {where} GROUP BY ALL),
+    whole AS (SELECT *, CAST(sum(n) OVER (PARTITION BY code) AS BIGINT) AS total_record_count,
+        row_number() OVER (PARTITION BY code ORDER BY n DESC, v) AS rn FROM per),
+    rk AS (SELECT * FROM whole QUALIFY dense_rank() OVER (ORDER BY total_record_count DESC, code) <= {limit})"""
 
 
 @query(
