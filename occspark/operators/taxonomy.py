@@ -240,10 +240,10 @@ def name_facets(
         .select("order", "family", "p.*")
         .where(F.col("scientific_name").isNotNull())
         .groupBy("order", "family", "facet_field", "scientific_name")
-        .agg(F.count(F.lit(1)).alias("ala_occurrence_count"))
+        .agg(F.count(F.lit(1)).alias("occurrence_count"))
         .where(is_probable_scientific_name("scientific_name", strict=strict))
         .withColumn(
-            "ala_facet_fq",
+            "facet_fq",
             F.concat(
                 F.col("facet_field"),
                 F.lit(':"'),
@@ -265,12 +265,12 @@ def merge_taxa(facets: DataFrame, by_family: bool = False) -> DataFrame:
         return F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(c), F.lit("")))), " | ")
 
     key = safe_key("scientific_name")
-    sets = [joined("facet_field"), joined("ala_facet_fq")]
-    total = F.sum("ala_occurrence_count").alias("ala_occurrence_count")
+    sets = [joined("facet_field"), joined("facet_fq")]
+    total = F.sum("occurrence_count").alias("occurrence_count")
     if by_family:
         place = [F.min(F.struct("order", "family")).alias("_place")]
         grouped = facets.groupBy("scientific_name").agg(
-            *place, sets[0].alias("facet_fields"), total, sets[1].alias("ala_facet_fq")
+            *place, sets[0].alias("facet_fields"), total, sets[1].alias("facet_fq")
         )
         return grouped.select(
             key.alias("key"),
@@ -278,15 +278,15 @@ def merge_taxa(facets: DataFrame, by_family: bool = False) -> DataFrame:
             F.col("_place.order").alias("order"),
             F.col("_place.family").alias("family"),
             "facet_fields",
-            "ala_occurrence_count",
-            "ala_facet_fq",
+            "occurrence_count",
+            "facet_fq",
         ).orderBy("family", "scientific_name", "key")
     grouped = facets.groupBy("scientific_name").agg(
         joined("order").alias("order"),
         joined("family").alias("family"),
         sets[0].alias("facet_fields"),
         total,
-        sets[1].alias("ala_facet_fq"),
+        sets[1].alias("facet_fq"),
     )
     return grouped.select(key.alias("species_key"), *grouped.columns).orderBy(
         "order", "scientific_name", "species_key"

@@ -9,7 +9,8 @@ from occspark.functions.text import clean_text, safe_key
 from occspark.operators.areas import boundary_table, published_columns
 from occspark.operators.conservation import clean_reference
 
-_FACETS = "ala_facet_fq"
+# The filter column, and the name it has in older target lists.
+_FACETS = ("facet_fq", "ala_facet_fq")
 
 
 def read_conservation_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -39,9 +40,10 @@ def coerce_targets(raw: DataFrame) -> DataFrame:
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
     filters = F.array().cast("array<string>")
-    if _FACETS in present:
-        given = F.col(_FACETS)
-        if raw.schema[_FACETS].dataType.typeName() != "array":
+    facets = next((c for c in _FACETS if c in present), None)
+    if facets:
+        given = F.col(facets)
+        if raw.schema[facets].dataType.typeName() != "array":
             given = F.split(given.cast("string"), r" \| ")
         cleaned = F.filter(F.transform(given, clean_text), lambda x: x.isNotNull())
         filters = F.coalesce(cleaned, filters)

@@ -252,13 +252,13 @@ def test_merge_taxa(spark):
     ]
     schema = (
         "order string, family string, facet_field string, scientific_name string, "
-        "ala_occurrence_count long, ala_facet_fq string"
+        "occurrence_count long, facet_fq string"
     )
     merged = records(taxonomy.merge_taxa(spark.createDataFrame(rows, schema)))
     assert [r["species_key"] for r in merged] == ["aporia_agathon", "delias_harpalyce"]
     assert merged[1]["facet_fields"] == "species | subspecies"
-    assert merged[1]["ala_occurrence_count"] == 7
-    assert (merged[1]["family"], merged[1]["ala_facet_fq"]) == ("Pieridae", 'species:"Delias harpalyce"')
+    assert merged[1]["occurrence_count"] == 7
+    assert (merged[1]["family"], merged[1]["facet_fq"]) == ("Pieridae", 'species:"Delias harpalyce"')
 
 
 def test_facet_labels_keep_the_first_of_a_key(occurrences):
@@ -502,14 +502,14 @@ def test_second_source_in_catalogue_order(spark, tmp_path):
 def test_targets(spark, tmp_path):
     path = tmp_path / "targets.json"
     given = [
-        {"scientific_name": " Delias harpalyce ", "ala_facet_fq": 'species:"a" | subspecies:"b"', "order": "L"},
+        {"scientific_name": " Delias harpalyce ", "facet_fq": 'species:"a" | subspecies:"b"', "order": "L"},
         {"scientific_name": "Delias nigrina", "key": "nig", "taxon_class": "Insecta"},
     ]
     path.write_text(json.dumps(given))
     got = {r["key"]: r for r in records(reference.read_targets(spark, str(path)))}
     assert got["delias_harpalyce"]["facet_fq_filters"] == ['species:"a"', 'subspecies:"b"']
     assert got["nig"]["source_class"] == "Insecta" and got["nig"]["facet_fq_filters"] == []
-    path.write_text(json.dumps([{"scientific_name": "A b", "ala_facet_fq": ["x", " "]}]))
+    path.write_text(json.dumps([{"scientific_name": "A b", "facet_fq": ["x", " "]}]))
     assert records(reference.read_targets(spark, str(path)))[0]["facet_fq_filters"] == ["x"]
     for bad in ([given[1], given[1]], [], [{"scientific_name": " "}], [{"key": "x"}]):
         path.write_text(json.dumps(bad))

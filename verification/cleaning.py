@@ -316,8 +316,8 @@ named_ok AS (SELECT * FROM fc WHERE regexp_matches(n, '^[A-Z][a-zA-Z-]+( [a-z][a
         """SELECT regexp_replace(lower(n), '[^a-z0-9]+', '_', 'g') AS species_key, n AS scientific_name,
         string_agg(DISTINCT "order", ' | ' ORDER BY "order") AS "order",
         string_agg(DISTINCT family, ' | ' ORDER BY family) AS family,
-        string_agg(DISTINCT f, ' | ' ORDER BY f) AS facet_fields, CAST(sum(c) AS BIGINT) AS ala_occurrence_count,
-        string_agg(DISTINCT f || ':"' || n || '"', ' | ' ORDER BY f || ':"' || n || '"') AS ala_facet_fq
+        string_agg(DISTINCT f, ' | ' ORDER BY f) AS facet_fields, CAST(sum(c) AS BIGINT) AS occurrence_count,
+        string_agg(DISTINCT f || ':"' || n || '"', ' | ' ORDER BY f || ':"' || n || '"') AS facet_fq
         FROM named_ok GROUP BY n""",
         _NAMED,
         _TAXA,
@@ -332,8 +332,8 @@ def a5_merge_taxa(spark: SparkSession, folder: str) -> DataFrame:
     with_occ(
         """SELECT regexp_replace(lower(n), '[^a-z0-9]+', '_', 'g') AS key, n AS scientific_name,
         min("order") AS "order", min(family) AS family, string_agg(DISTINCT f, ' | ' ORDER BY f) AS facet_fields,
-        CAST(sum(c) AS BIGINT) AS ala_occurrence_count,
-        string_agg(DISTINCT f || ':"' || n || '"', ' | ' ORDER BY f || ':"' || n || '"') AS ala_facet_fq
+        CAST(sum(c) AS BIGINT) AS occurrence_count,
+        string_agg(DISTINCT f || ':"' || n || '"', ' | ' ORDER BY f || ':"' || n || '"') AS facet_fq
         FROM fc WHERE "order" = 'Order SMALL' AND family = 'EUROPE' GROUP BY n""",
         _NAMED,
         _TAXA,
