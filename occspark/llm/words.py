@@ -109,13 +109,6 @@ class Words:
         place = (np.arange(len(self.data)) - np.repeat(self.starts, lengths)) & 255
         return mixed(np.add.reduceat(_BYTE[self.data] * _PLACE[place], self.starts))
 
-    def prefix_hashes(self, which: np.ndarray, size: int) -> np.ndarray:
-        """Hashes of the first ``size`` bytes of some words, none of them shorter."""
-        total = np.zeros(len(which), dtype=np.uint64)
-        for place in range(size):
-            total += _BYTE[self.data[self.starts[which] + place]] * _PLACE[place]
-        return mixed(total)
-
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first word of each run of ``size`` words inside one text, and the text's index."""
         counts = np.maximum(np.diff(self.first) - (size - 1), 0)
