@@ -154,12 +154,13 @@ def x2_join_families(spark: SparkSession, folder: str) -> DataFrame:
     tables.write_table(rows.where("year % 2 = 1").drop("month"), f"{base}/odd")
     jobs.join_families(spark, [f"{base}/even", f"{base}/odd"], f"{base}/joined", f"{base}/reports")
     part = F.regexp_extract("source_file", "/(even|odd)/", 1)
-    profiled = spark.read.json(f"{base}/reports/quality_summary").select(F.col("row_count").alias("profiled_rows"))
+    # The summary of a whole table is one row.
+    profiled = spark.read.json(f"{base}/reports/quality_summary").first()["row_count"]
     return (
         spark.read.json(f"{base}/reports/join_metadata")
         .groupBy(part.alias("part"), "total_input_rows", "total_output_rows", "total_dropped_rows")
         .agg(F.sum("input_rows").alias("input_rows"))
-        .join(profiled)
+        .withColumn("profiled_rows", F.lit(profiled))
     )
 
 
