@@ -149,6 +149,42 @@ def test_block_max_search_equals_brute_force():
         assert np.allclose(np.sort(brute[order])[::-1], cosines) and len(best) == min(15, (brute > 0).sum())
 
 
+def test_toxic_near_copies_are_found_by_words_no_label_depends_on(spark):
+    rows = [(i, " ".join(f"r{i}x{k}" for k in range(40)) + " the", "en", "s") for i in range(200)]
+    rows += [(1_000 + i, rows[i][1].replace("x3 ", "y3 "), "en", "s") for i in range(200)]
+    rows += [(2_000, "the", "en", "s"), (2_001, "never seen", "en", "s")]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    found = toxicity.score(documents(spark, rows), labels).toPandas().set_index("doc_id")
+    learnt = [i for i in range(200) if not found.held_out[i]]
+    assert learnt
+    for i in learnt:
+        first = found.evidence[1_000 + i][0]
+        assert first["doc_id"] == i and first["toxic"] == int(i % 4 == 0) and 0.9 < first["cosine"] < 1
+    assert len(found.evidence[2_000]) == 3 and len(found.evidence[2_001]) == 0
+
+
+def test_search_over_rare_and_common_words_equals_brute_force():
+    draw = np.random.default_rng(14)
+    examples, terms = 400, 900
+    dense = draw.integers(1, 4, (examples, terms)) * (draw.random((examples, terms)) < draw.choice([0.005, 0.03, 0.3], terms))
+    dense[7] = dense[3]
+    row, term = np.nonzero(dense)
+    index = toxicity.build(
+        np.arange(terms, dtype=np.uint64), draw.integers(1, 50, terms).astype(float), 1_000,
+        row, term, dense[row, term], np.arange(examples), draw.integers(0, 2, examples), 0.5,
+    )
+    assert 0 < len(index.dense) < terms and len(index.examples)
+    weights = np.zeros((examples, terms))
+    weights[row, term] = index.vectors(row, term, dense[row, term], examples)
+    for at in range(0, examples, 7):
+        t = np.flatnonzero(weights[at])
+        best, cosines = index.nearest(t, weights[at, t], without=at)
+        brute = np.round(weights @ weights[at], 12)
+        brute[at] = 0
+        order = np.lexsort((np.arange(examples), -brute))[: toxicity.NEAREST]
+        assert np.allclose(brute[order], cosines) and (np.diff(best)[np.diff(cosines) == 0] > 0).all()
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark, [(1, "a b", None, None)])
     labels = spark.createDataFrame([], "doc_id long, toxic int")
