@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from occspark.llm.buckets import bucketed, runs, windows
@@ -184,17 +184,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group: the one with the group's smallest ``doc_id``; columns unchanged.
 
-    Rows that repeat this ``doc_id`` are reduced to one as well. Groups with null identifiers only keep one row.
+    Documents are told apart by identifier and fingerprint, so one identifier may lead several groups. Of a group's rows
+    with its smallest identifier the one with the smallest fingerprint and then the smallest text is kept; a group with
+    null identifiers only is treated likewise.
     """
-    found = groups(docs)
-    key, fp = fresh(docs, "_id"), fresh(docs, "_fp")
-    leaders = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    base = docs.withColumn(key, F.col("doc_id").cast("long"))
-    named = base.join(leaders, key, "left_semi").dropDuplicates([key])
-    nameless = found.where("component_id is null").groupBy("fp").agg(F.min("root").alias("root"))
-    nameless = nameless.groupBy("root").agg(F.min("fp").alias(fp)).select(fp)
-    texts = base.where(F.col(key).isNull()).withColumn(fp, fingerprints_column(F.col("text")))
-    return named.unionByName(texts.join(nameless, fp, "left_semi").dropDuplicates([fp]).drop(fp)).drop(key)
+    key, fp, root = (fresh(docs, name) for name in ("_id", "_fp", "_root"))
+    # Nulls come last; every group has one leader.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp")
+    leaders = groups(docs).groupBy("root").agg(F.min(order).alias("_first"))
+    leaders = leaders.select(F.col("root").alias(root), F.col("_first.doc_id").alias(f"{key}l"), F.col("_first.fp").alias(f"{fp}l"))
+    base = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(fp, fingerprints_column(F.col("text")))
+    found = base.join(leaders, (F.col(fp) == F.col(f"{fp}l")) & F.col(key).eqNullSafe(F.col(f"{key}l")))
+    # Rows equal in identifier and fingerprint are left to choose from.
+    total = ["text", *[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]]
+    place = Window.partitionBy(root).orderBy(*total)
+    return found.withColumn(key, F.row_number().over(place)).where(F.col(key) == 1).drop(key, fp, root, f"{key}l", f"{fp}l")
 
 
 def fingerprints_column(text):

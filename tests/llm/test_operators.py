@@ -271,6 +271,15 @@ def test_simhash_groups_equal_brute_force(spark):
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == sorted([-1, *least.values()])
 
 
+def test_one_row_of_each_group_stays_if_identifiers_name_different_texts(spark):
+    x, y, z = (prose(100 + k, 300) for k in range(3))
+    # Identifier 5 leads Y's group and is a follower in X's, which 3 leads; 6 leads nothing; null and 7 lead by themselves.
+    rows = [(5, x), (3, x), (5, y), (6, y), (5, z), (5, z), (7, "alone"), (7, "other one"), (None, "no name"), (None, "no name")]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
+    kept = sorted(((-1 if r["doc_id"] is None else r["doc_id"]), r["text"]) for r in simhash.keep_one(docs).collect())
+    assert kept == sorted([(3, x), (5, y), (5, z), (7, "alone"), (7, "other one"), (-1, "no name")])
+
+
 def test_pivot_filter_loses_no_pair():
     draw = np.random.default_rng(5)
     base = draw.integers(0, 1 << 63, 40, dtype=np.uint64)
