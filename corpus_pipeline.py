@@ -29,8 +29,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents so that tokens meet the tempered source, language and topic margins."""
-    return mixing.sample(docs)
+    """Draws as many tokens as there are so that they meet the tempered source, language and topic margins.
+
+    Documents of rare cells come repeatedly.
+    """
+    return mixing.sample(docs, budget=1.0)
 
 
 STAGES = [

@@ -7,6 +7,10 @@ document's weight is its cell's fitted tokens over the cell's tokens, and its pr
 weight over the largest one, so the expected sample meets every margin exactly. A document is drawn
 if a hash of its identifier and text falls below its probability: repeatable, and equal for equal rows.
 
+With a budget (tokens of the sample over tokens of the input) a document is expected weight * budget times: the whole
+part of that, and once more if the hash falls below the fraction. Margins are met in expectation and the sample's size
+is the budget's, however rare a cell is: its documents are repeated and no others are dropped for it.
+
 Targets default to tempered shares, tokens ** ``TEMPER``, per margin. A value that a given target doesn't list
 gets no weight. Cells with no tokens keep weight 1 of 1, so empty texts are drawn like their cell's others.
 
@@ -110,11 +114,16 @@ def rake(
 
 
 def probabilities(
-    docs: DataFrame, margins: tuple[str, ...] = ("source", "lang"), rate: float = 1.0, targets: dict | None = None
+    docs: DataFrame,
+    margins: tuple[str, ...] = ("source", "lang"),
+    rate: float = 1.0,
+    targets: dict | None = None,
+    budget: float | None = None,
 ) -> DataFrame:
     """(doc_id, source.., topic, tokens, weight, probability, kept) for every row of documents.
 
-    ``rate`` scales the probabilities down (1 draws as many tokens as the targets allow).
+    ``rate`` scales the probabilities down (1 draws as many tokens as the targets allow). With ``budget`` there is
+    ``draws`` as well, ``kept`` means one draw or more, and ``probability`` is that of being kept.
     """
     bound_batches(docs.sparkSession)
     raw = [F.concat(F.lit("v"), F.col(m).cast("string")) for m in margins]
@@ -131,7 +140,10 @@ def probabilities(
     weight = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0)
     fitted = cut(fitted.select(*keys, weight.alias("weight")))
     most = fitted.agg(F.max("weight")).first()[0] or 1.0
-    found = base.join(fitted, keys).withColumn("probability", F.least(F.lit(1.0), F.col("weight") * (rate / most)))
+    times = F.col("weight") * (rate / most if budget is None else rate * budget)
+    found = base.join(fitted, keys).withColumn("probability", F.least(F.lit(1.0), times))
+    draws = (F.floor(times) + (F.col("_draw") < times - F.floor(times)).cast("long")).alias("draws")
+    kept = (F.col("_draw") < F.col("probability")).alias("kept")
     return found.select(
         "doc_id",
         *[F.expr(f"if(`_{m}` = 'n', null, substr(`_{m}`, 2))").alias(m) for m in margins],
@@ -139,23 +151,29 @@ def probabilities(
         "tokens",
         "weight",
         "probability",
-        (F.col("_draw") < F.col("probability")).alias("kept"),
+        kept,
+        *([] if budget is None else [draws]),
         "_draw",
     )
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    return probabilities(docs).drop("_draw")
+def mix(docs: DataFrame, budget: float | None = None) -> DataFrame:
+    return probabilities(docs, budget=budget).drop("_draw")
 
 
-def sample(docs: DataFrame, rate: float = 1.0) -> DataFrame:
-    """The drawn documents; columns unchanged. Equal (doc_id, text) are drawn or left together."""
-    drawn = probabilities(docs, rate=rate).where("kept")
-    key, draw = fresh(docs, "_key"), fresh(docs, "_draw")
-    chosen = drawn.select(F.col("doc_id").alias(key), F.col("_draw").alias(draw)).distinct()
+def sample(docs: DataFrame, rate: float = 1.0, budget: float | None = None) -> DataFrame:
+    """The drawn documents, with ``budget`` once per draw; columns unchanged. Equal rows are drawn or left together."""
+    drawn = probabilities(docs, rate=rate, budget=budget).where("kept")
+    names = {n: fresh(docs, f"_{n}") for n in ("doc_id", "source", "lang", "_draw", "draws")}
+    copies = F.lit(1).cast("long") if budget is None else F.col("draws")
+    chosen = drawn.withColumn("draws", copies).select(*[F.col(n).alias(f"{m}c") for n, m in names.items()]).distinct()
+    draw = names["_draw"]
     own = F.pmod(F.xxhash64("doc_id", F.col("text").cast("string")), F.lit(1 << 50)) / float(1 << 50)
-    return (
-        docs.withColumn(draw, own)
-        .join(chosen.withColumnRenamed(draw, f"{draw}_c"), (F.col("doc_id").eqNullSafe(F.col(key))) & (F.col(draw) == F.col(f"{draw}_c")), "left_semi")
-        .drop(draw)
-    )
+    same = F.col(draw) == F.col(f"{draw}c")
+    same = same & F.col("doc_id").eqNullSafe(F.col(f"{names['doc_id']}c"))
+    for n in ("source", "lang"):
+        same = same & F.col(n).cast("string").eqNullSafe(F.col(f"{names[n]}c"))
+    found = docs.withColumn(draw, own).join(chosen, same)
+    if budget is not None:
+        found = found.withColumn(names["draws"], F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{names['draws']}c"))))
+    return found.drop(draw, names["draws"], *[f"{m}c" for m in names.values()])

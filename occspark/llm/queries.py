@@ -48,7 +48,7 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source", "lang"))
+    return mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source", "lang"), budget=1.0)
 
 
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:

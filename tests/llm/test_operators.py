@@ -405,6 +405,25 @@ def test_fitted_weights_equal_a_plain_loop(spark):
     assert np.allclose(got, table.ravel(), rtol=1e-5)
 
 
+def test_one_stray_document_drops_no_others(spark):
+    # One topic each, so that only the language's margin is uneven.
+    rows = [(i, f"plain words number {i % 7}", "en" if i % 5 else "de", "s") for i in range(1_000)] + [(5_000, "plain words number 3", "xx", "s")]
+    docs = documents(spark, rows)
+    found = mixing.mix(docs, budget=1.0).toPandas()
+    tokens = found.tokens.sum()
+    # A hash decides about fractions: within five standard deviations of the draw.
+    assert abs((found.tokens * found.draws).sum() - tokens) < 5 * found.tokens.max() * len(found) ** 0.5 / 2
+    share = found.groupby("lang").tokens.sum() ** 0.7
+    got = (found.tokens * found.weight).groupby(found.lang).sum() / tokens
+    assert np.allclose(share / share.sum(), got, atol=1e-5)
+    assert found.draws[found.doc_id == 5_000].item() > 1 and (found.kept == (found.draws > 0)).all()
+    drawn = mixing.sample(docs, budget=1.0)
+    want = found.doc_id.repeat(found.draws)
+    assert drawn.columns == docs.columns and sorted(r["doc_id"] for r in drawn.collect()) == sorted(want)
+    # Without a budget, the stray document sets the size of the whole sample.
+    assert mixing.mix(docs).where("kept").count() < 300 < (found.draws > 0).sum()
+
+
 def test_mixing_nothing(spark):
     assert mixing.sample(documents(spark, [])).count() == 0
 
