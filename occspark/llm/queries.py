@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from occspark.llm import (
+    align,
+    bpe,
     chat_tree,
     decontaminate,
     embedding_dedup,
+    filter_audit,
     langid,
     mixing,
     secrets,
@@ -67,6 +70,18 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.alignments(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -78,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -126,6 +144,33 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, s.item_id, count(*)::DOUBLE / any_value(total) AS containment
         FROM d JOIN s ON d.k = s.k AND d.g = s.g JOIN t ON s.n = t.n
         GROUP BY d.r, d.doc_id, s.n, s.item_id HAVING count(*)::DOUBLE / any_value(total) >= 0.8""",
+    "op11_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+        l AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic
+            FROM labels GROUP BY doc_id),
+        f AS (SELECT w.doc_id, part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, [
+                len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws),
+                100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * len(t),
+                regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > first, FALSE)] AS x
+            FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+        n AS (SELECT part, x, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM f GROUP BY part, x),
+        c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        o AS (SELECT [c1.c, c2.c, c3.c, c4.c, c5.c] AS o FROM c AS c1, c AS c2, c AS c3, c AS c4, c AS c5
+            WHERE len(list_distinct([c1.c, c2.c, c3.c, c4.c, c5.c])) = 5),
+        s AS (SELECT array_to_string(o, '') AS filter_order, step::INT AS step, o[step] AS own, o[1:step - 1] AS earlier
+            FROM o, (SELECT unnest(range(1, 6)) AS step)),
+        y AS (SELECT n.*, filter_order, step, own, x[instr('ABCDE', own)] AS fails, len(list_filter(x, lambda v: v)) AS failed,
+                len(list_filter(earlier, lambda e: x[instr('ABCDE', e)])) > 0 AS gone FROM n, s),
+        r AS (SELECT part, filter_order, step, own,
+                coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+                coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+                coalesce(sum(n) FILTER (fails AND failed = 1), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+                coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+            FROM y GROUP BY part, filter_order, step, own)
+        SELECT * EXCLUDE own, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r""",
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
