@@ -208,7 +208,7 @@ def row_statistics(csr: DataFrame) -> DataFrame:
 
 
 def failures(rows: DataFrame) -> DataFrame:
-    """(doc_id, part, fails) of every document; bit i of ``fails`` is set if it fails filter i."""
+    """(doc_id, part, fails) of every document; ``fails`` has the letters of the filters it fails."""
     rows = stored(rows)
     repeated = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = repeated.where("n > 1").select("digest", "first")
@@ -221,8 +221,8 @@ def failures(rows: DataFrame) -> DataFrame:
         F.col("symbols"),
         F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)),
     )
-    bits = [F.when(c, 1 << i).otherwise(0) for i, c in enumerate(conditions)]
-    return found.select("doc_id", "part", sum(bits[1:], bits[0]).alias("fails"))
+    letters = [F.when(c, f).otherwise("") for f, c in zip(FILTERS, conditions, strict=True)]
+    return found.select("doc_id", "part", F.concat(*letters).alias("fails"))
 
 
 def counted(failed: DataFrame, labels: DataFrame) -> DataFrame:
@@ -237,19 +237,15 @@ def counted(failed: DataFrame, labels: DataFrame) -> DataFrame:
 
 def every_order(counts: DataFrame) -> DataFrame:
     """The audit's rows from the counts: each of the 120 orders, applied from left to right."""
-    steps = [
-        F.struct(
-            F.lit("".join(order)).alias("filter_order"),
-            F.lit(step + 1).alias("step"),
-            F.lit(1 << FILTERS.index(letter)).alias("own"),
-            F.lit(sum(1 << FILTERS.index(f) for f in order[:step])).alias("earlier"),
-        )
-        for order in permutations(FILTERS)
-        for step, letter in enumerate(order)
-    ]
-    rows = counts.select("*", F.explode(F.array(*steps)).alias("s")).select("*", "s.*")
-    fails_own = F.col("fails").bitwiseAND(F.col("own")) != 0
-    before = F.col("fails").bitwiseAND(F.col("earlier")) != 0
+    orders = " ".join("".join(o) for o in permutations(FILTERS))
+    rows = (
+        counts.withColumn("filter_order", F.explode(F.split(F.lit(orders), " ")))
+        .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))))
+        .withColumn("own", F.substring("filter_order", F.col("step"), F.lit(1)))
+        .withColumn("earlier", F.substring("filter_order", F.lit(1), F.col("step") - 1))
+    )
+    fails_own = F.contains("fails", "own")
+    before = F.expr("translate(fails, earlier, '')") != F.col("fails")
     removed = fails_own & ~before
 
     def total(condition, value: str = "n"):
