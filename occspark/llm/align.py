@@ -23,12 +23,13 @@ strings of special tokens are ordinary text; other columns are ignored; an empty
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
+import uuid
 from array import array
-from collections import Counter
-from collections.abc import Callable, Iterator
-from itertools import product
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from occspark.llm.bpe import tokenizer_path
-from occspark.llm.shards import SHARD_ROWS, first_shard, gathered, joined, one_list
+from occspark.llm.bpe import default_pattern, tokenizer_path
+from occspark.llm.shards import SHARD_BYTES, SHARD_ROWS, first_shard, gathered, joined, one_list
 from occspark.llm.store import bound_batches, stored
 
-SHARD_BYTES = 1 << 23
-#: Code points that are tokenised at once; a tokenizer holds about 200 bytes for each.
+#: Code points that are tokenised at once.
 STRETCH = 1 << 18
+#: Documents whose windows are found at once.
+TOGETHER = 64
 _MARK = "▁"
 _CUT = re.compile(r"(?<=\S) ")
+_COMMA, _BAR, _SEMICOLON = b",|;"
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -54,35 +57,61 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def taken(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices first[i], first[i] + 1, ... (sizes[i] of them) of every i, in sequence."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class Strings:
+    """Many byte strings in one array."""
+
+    def __init__(self, values: list[bytes]) -> None:
+        self.sizes = np.array([len(v) for v in values], dtype=np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(values), dtype=np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return self.data[taken(self.first[ids], self.sizes[ids])].tobytes()
+
+
 class Side:
     """A tokenizer: ids of texts, and each id's bytes."""
 
-    def __init__(self, tokens: list[bytes], encode: Callable[[list[str]], list[list[int]]]) -> None:
+    def __init__(self, tokens: list[bytes], encode: Callable[[list[str]], list[np.ndarray]]) -> None:
         if any(_CUT.search(t.decode(errors="replace")) for t in tokens):
             raise ValueError("A token reaches across a space, so texts can't be cut there.")
-        self.tokens, self.encode = tokens, encode
-        self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.encode, self.tokens = encode, Strings(tokens)
+        self.sizes = self.tokens.sizes
         self.marked = np.array([t[:1] == b" " for t in tokens])
 
-    def bytes_of(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
 
+def byte_level_side(path: str, pattern: str | None = None) -> Side:
+    """A byte-level BPE vocabulary of the ``tokenizers`` format; texts come with their space.
 
-def byte_level_side(path: str) -> Side:
-    """A tokenizer of the ``tokenizers`` library with a byte-level vocabulary; texts come with their space."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    coder = Tokenizer.from_file(path)
-    coder.encode_special_tokens = True
-    letters = byte_of_letter()
-    tokens = [b""] * (max(coder.get_vocab().values()) + 1)
-    special = {i for i, t in coder.get_added_tokens_decoder().items() if t.special}
-    for token, i in coder.get_vocab().items():
-        tokens[i] = token.encode() if i in special else bytes(letters[c] for c in token)
+    Its merges are in the order of the ids they make, so ids are ranks and the faster ``tiktoken``
+    encoder gives the same ids; another order is refused.
+    """
+    import tiktoken
+
+    with open(path) as file:
+        held = json.load(file)
+    letters, vocab = byte_of_letter(), held["model"]["vocab"]
+    special = {t["content"] for t in held["added_tokens"]}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in held["model"]["merges"]]
+    made = [vocab["".join(m)] for m in merges]
+    ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+    if made != sorted(set(made)) or len(made) + 256 != len(ranks):
+        raise ValueError("The vocabulary's ids don't follow its merges.")
+    tokens = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        tokens[i] = token.encode() if token in special else bytes(letters[c] for c in token)
+    coder = tiktoken.Encoding(
+        f"side-{uuid.uuid4().hex}", pat_str=pattern or default_pattern(), mergeable_ranks=ranks, special_tokens={}
+    )
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in coder.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        return [coder.encode_to_numpy(t, disallowed_special=()).astype(np.int32) for t in texts]
 
     return Side(tokens, encode)
 
@@ -98,9 +127,10 @@ def piece_side(path: str) -> Side:
         byte = re.fullmatch(r"<0x([0-9A-F]{2})>", piece) if coder.is_byte(i) else None
         tokens.append(bytes([int(byte[1], 16)]) if byte else piece.replace(_MARK, " ").encode())
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[np.ndarray]:
         # Of an empty text it makes no token, though a lone space is one.
-        return [ids or [coder.piece_to_id(_MARK)] for ids in coder.encode([t[1:] for t in texts], num_threads=1)]
+        found = coder.encode([t[1:] for t in texts], num_threads=1)
+        return [np.array(ids or [coder.piece_to_id(_MARK)], dtype=np.int32) for ids in found]
 
     return Side(tokens, encode)
 
@@ -117,39 +147,38 @@ def stretches(text: str, size: int = STRETCH) -> list[str]:
     return [*parts, text[first:]]
 
 
-def tokenised(texts: list[str | None], a: Side, b: Side, size: int = STRETCH) -> Iterator[tuple[list[int], list[int]] | None]:
+Ids = tuple[np.ndarray, np.ndarray]
+
+
+def tokenised(texts: Iterable[str | None], a: Side, b: Side, size: int = STRETCH) -> Iterator[Ids | None]:
     """The ids of each text by both sides; None where there are none by definition."""
+
+    def checked(parts: list[str], ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> Ids | None:
+        whole_a, whole_b = np.concatenate(ids_a), np.concatenate(ids_b)
+        plain = "".join(parts).encode()
+        return (whole_a, whole_b) if a.tokens.joined(whole_a) == plain == b.tokens.joined(whole_b) else None
+
     waiting: list[list[str]] = []
     held = 0
-
-    def ready() -> Iterator[tuple[list[int], list[int]] | None]:
-        parts = [p for w in waiting for p in w]
-        ids_a, ids_b = a.encode(parts), b.encode(parts)
-        at = 0
-        for own in waiting:
-            found_a = [i for ids in ids_a[at : at + len(own)] for i in ids]
-            found_b = [i for ids in ids_b[at : at + len(own)] for i in ids]
-            at += len(own)
-            plain = "".join(own).encode()
-            yield (found_a, found_b) if own and a.bytes_of(found_a) == plain == b.bytes_of(found_b) else None
-
-    for text in texts:
-        if text and len(text) > size:
-            yield from ready()
+    for text in (*texts, ...):
+        if text is ... or held + len(text or "") > size:
+            parts = [p for w in waiting for p in w]
+            ids_a, ids_b = (a.encode(parts), b.encode(parts)) if parts else ([], [])
+            at = 0
+            for own in waiting:
+                to = at + len(own)
+                yield checked(own, ids_a[at:to], ids_b[at:to]) if own else None
+                at = to
             waiting, held = [], 0
+        if text is ...:
+            return
+        if text and len(text) > size:
             # A long text by itself, a stretch at a time.
-            done = [(a.encode([p])[0], b.encode([p])[0], p.encode()) for p in stretches(f" {text}", size)]
-            if all(a.bytes_of(x) == plain == b.bytes_of(y) for x, y, plain in done):
-                yield [i for x, _, _ in done for i in x], [i for _, y, _ in done for i in y]
-            else:
-                yield None
-            continue
-        waiting.append([f" {text}"] if text else [])
-        held += len(text or "")
-        if held >= size:
-            yield from ready()
-            waiting, held = [], 0
-    yield from ready()
+            parts = stretches(f" {text}", size)
+            yield checked(parts, [a.encode([p])[0] for p in parts], [b.encode([p])[0] for p in parts])
+        else:
+            waiting.append([f" {text}"] if text else [])
+            held += len(text or "")
 
 
 def cuts(ids_a: np.ndarray, ids_b: np.ndarray, a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
@@ -161,80 +190,88 @@ def cuts(ids_a: np.ndarray, ids_b: np.ndarray, a: Side, b: Side) -> tuple[np.nda
     return marked_a[at_a], marked_b[at_b]
 
 
-def window_groups(ids_a: list[int], ids_b: list[int], a: Side, b: Side) -> list[tuple[list[int], list[int]]]:
-    """The groups of a window: runs of ids of both sides between shared ends."""
-    groups, at = [], 0
-    own_a: list[int] = []
-    own_b: list[int] = []
-    size_a = size_b = 0
-    for token in ids_a:
-        own_a.append(token)
-        size_a += len(a.tokens[token])
-        while size_b < size_a:
-            own_b.append(ids_b[at])
-            size_b += len(b.tokens[ids_b[at]])
-            at += 1
-        if size_a == size_b:
-            groups.append((own_a, own_b))
-            own_a, own_b = [], []
-    return groups
-
-
-def tally(ids: list[int]) -> list[tuple[int, int]]:
-    """Different ids and how often each occurs."""
-    return list(Counter(ids).items()) if len(ids) > 1 else [(ids[0], 1)]
-
-
 class Windows:
     """The windows of a shard: their numbers by ids, and what follows from the ids alone."""
 
     def __init__(self, a: Side, b: Side) -> None:
         self.a, self.b = a, b
-        self.numbers: dict[bytes, int] = {}
-        self.texts: list[str] = []
+        self.digits = Strings([str(i).encode() for i in range(max(len(a.sizes), len(b.sizes)))])
+        #: Each key that is new gets the next number.
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.texts: list[bytes] = []
         self.groups, self.links = array("q"), array("q")
-        self.pairs: dict[int, int] = {}
-        self.starts, self.linked, self.times = array("q", [0]), array("i"), array("q")
-
-    def add(self, key: bytes, ids_a: bytes, ids_b: bytes) -> int:
-        groups = window_groups(array("i", ids_a).tolist(), array("i", ids_b).tolist(), self.a, self.b)
-        number = len(self.texts)
-        self.numbers[key] = number
-        self.texts.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.groups.append(len(groups))
-        self.links.append(sum(len(x) * len(y) for x, y in groups))
-        known, times = self.pairs, {}
-        for x, y in groups:
-            for (i, n), (j, m) in product(tally(x), tally(y)):
-                pair = known.setdefault(i << 32 | j, len(known))
-                times[pair] = times.get(pair, 0) + n * m
-        self.linked.extend(times)
-        self.times.extend(times.values())
-        self.starts.append(len(self.linked))
-        return number
-
-    def summary(self, own: list[int]) -> tuple[int, int, str]:
+        #: Per window its pairs (one side's id above the other's) and how often it links each.
+        self.starts, self.pairs, self.times = array("q", [0]), array("q"), array("q")
+
+    def of(self, documents: list[Ids]) -> list[np.ndarray]:
+        """The numbers of each document's windows, in order."""
+        ids_a, ids_b = (np.concatenate([d[i] for d in documents]) for i in (0, 1))
+        first_a, first_b = cuts(ids_a, ids_b, self.a, self.b)
+        past_a, past_b = np.append(first_a[1:], len(ids_a)), np.append(first_b[1:], len(ids_b))
+        data_a, data_b = ids_a.tobytes(), ids_b.tobytes()
+        spans = ((x * 4).tolist() for x in (first_a, past_a, first_b, past_b))
+        # No id has the number in between, so a key tells where one side's ids stop.
+        keys = [data_a[s:e] + b"\xff\xff\xff\xff" + data_b[t:f] for s, e, t, f in zip(*spans, strict=True)]
+        known = len(self.numbers)
+        found = np.array(list(map(self.numbers.__getitem__, keys)), dtype=np.int64)
+        if len(self.numbers) > known:
+            later = np.flatnonzero(found >= known)
+            new = later[np.unique(found[later], return_index=True)[1]]
+            self._add(ids_a, ids_b, first_a[new], past_a[new] - first_a[new], first_b[new], past_b[new] - first_b[new])
+        # Every document starts with a space, so a window begins with it.
+        begins = np.cumsum([0, *(len(d[0]) for d in documents)])
+        return np.split(found, np.searchsorted(first_a, begins[1:-1]))
+
+    def _add(self, ids_a, ids_b, first_a, count_a, first_b, count_b) -> None:
+        """Align new windows, all at once: both sides of each have the same bytes, so offsets run on over them."""
+        x, y = ids_a[taken(first_a, count_a)].astype(np.int64), ids_b[taken(first_b, count_b)].astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.a.sizes[x]), np.cumsum(self.b.sizes[y])
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        size_a, size_b = np.bincount(group_a, minlength=len(shared)), np.bincount(group_b, minlength=len(shared))
+        window = np.repeat(np.arange(len(count_a)), count_a)[np.cumsum(size_a) - 1]
+        per_window = np.bincount(window, minlength=len(count_a))
+        self.groups.extend(per_window.tolist())
+        self.links.extend(np.bincount(window, weights=size_a * size_b, minlength=len(count_a)).astype(np.int64).tolist())
+        # Pairs: every token of one side with every token of its group on the other.
+        begin_b = np.cumsum(size_b) - size_b
+        partners = size_b[group_a]
+        pair = np.repeat(x, partners) << 32 | y[taken(begin_b[group_a], partners)]
+        owner = np.repeat(window[group_a], partners)
+        order = np.lexsort((pair, owner))
+        pair, owner = pair[order], owner[order]
+        head = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])))
+        base = self.starts[-1]
+        self.pairs.frombytes(pair[head].tobytes())
+        self.times.frombytes(np.diff(np.append(head, len(pair))).astype(np.int64).tobytes())
+        self.starts.extend((base + np.cumsum(np.bincount(owner[head], minlength=len(count_a)))).tolist())
+        # Text form: ids of a group, one side before the other, each with the sign behind it.
+        sign_a = np.where(np.append(group_a[1:] != group_a[:-1], True), _BAR, _COMMA)
+        sign_b = np.where(np.append(group_b[1:] != group_b[:-1], True), _SEMICOLON, _COMMA)
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+        ids, signs = np.concatenate((x, y))[order], np.concatenate((sign_a, sign_b))[order]
+        sizes = self.digits.sizes[ids] + 1
+        behind = np.cumsum(sizes)
+        text = np.empty(int(behind[-1]), dtype=np.uint8)
+        digit = np.ones(len(text), dtype=bool)
+        digit[behind - 1] = False
+        text[behind - 1] = signs
+        text[digit] = self.digits.data[taken(self.digits.first[ids], sizes - 1)]
+        last = behind[np.cumsum(count_a + count_b) - 1].tolist()
+        data = text.tobytes()
+        self.texts += [data[s : e - 1] for s, e in zip([0, *last], last, strict=False)]
+
+    def different_pairs(self, own: np.ndarray) -> np.ndarray:
+        """The different pairs of a document with these windows."""
+        starts, pairs = np.frombuffer(self.starts, dtype=np.int64), np.frombuffer(self.pairs, dtype=np.int64)
+        own = np.unique(own)
+        return np.unique(pairs[taken(starts[own], starts[own + 1] - starts[own])])
+
+    def summary(self, own: np.ndarray) -> tuple[int, int, str]:
         """Groups, links and the digest of the text form of a document with these windows."""
-        if not own:
-            return 0, 0, ""
-        text = ";".join([self.texts[w] for w in own])
-        groups, links = self.groups, self.links
-        return sum([groups[w] for w in own]), sum([links[w] for w in own]), hashlib.sha256(text.encode()).hexdigest()
-
-    def of(self, ids_a: list[int], ids_b: list[int]) -> list[int]:
-        """The numbers of a document's windows, in order."""
-        array_a, array_b = np.array(ids_a, dtype=np.int32), np.array(ids_b, dtype=np.int32)
-        first_a, first_b = cuts(array_a, array_b, self.a, self.b)
-        data_a, data_b = array_a.tobytes(), array_b.tobytes()
-        ends_a, ends_b = np.append(first_a[1:], len(ids_a)) * 4, np.append(first_b[1:], len(ids_b)) * 4
-        found, get = [], self.numbers.get
-        for s, e, t, f in zip((first_a * 4).tolist(), ends_a.tolist(), (first_b * 4).tolist(), ends_b.tolist(), strict=True):
-            own_a, own_b = data_a[s:e], data_b[t:f]
-            # No id has this number, so the key tells where one side's ids stop.
-            key = own_a + b"\xff\xff\xff\xff" + own_b
-            number = get(key)
-            found.append(self.add(key, own_a, own_b) if number is None else number)
-        return found
+        groups, links = np.frombuffer(self.groups, dtype=np.int64), np.frombuffer(self.links, dtype=np.int64)
+        text = b";".join(map(self.texts.__getitem__, own.tolist()))
+        return int(groups[own].sum()), int(links[own].sum()), hashlib.sha256(text).hexdigest()
 
 
 _DOC = {"doc_id": None, "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string"}
@@ -264,22 +301,29 @@ def aligned_shards(
         for slices in gathered(batches, shard_bytes, shard_rows):
             seen = Windows(a, b)
             rows: list[tuple] = []
-            runs, windows, held_by = array("q", [0]), array("i"), array("q")
-            texts = (t for s in slices for t in s.column("text").to_pylist())
-            for ids in tokenised(texts, a, b):
-                own = seen.of(*ids) if ids else []
-                windows.extend(own)
-                runs.append(len(windows))
-                rows.append((*map(len, ids or ((), ())), *seen.summary(own)))
-                held_by.extend([0] * (len(seen.pairs) - len(held_by)))
-                for pair in {p for w in set(own) for p in seen.linked[seen.starts[w] : seen.starts[w + 1]]}:
-                    held_by[pair] += 1
-            values = dict(zip(list(_DOC)[1:], map(list, zip(*rows, strict=True)), strict=True))
-            pairs = np.array(list(seen.pairs), dtype=np.int64)
-            values |= {"doc_id": joined(slices, "doc_id"), "runs": runs, "windows": windows, "starts": seen.starts}
-            values |= {"linked": seen.linked, "times": seen.times, "held_by": held_by}
-            values |= {"id_a": pairs >> 32, "id_b": pairs & 0xFFFFFFFF}
-            lists = [one_list(_plain(values[c]), k) for c, k in kinds.items()]
+            windows: list[np.ndarray] = []
+            pairs: list[np.ndarray] = []
+            ids = tokenised((t for s in slices for t in s.column("text").to_pylist()), a, b)
+            while together := list(islice(ids, TOGETHER)):
+                found = iter(seen.of([d for d in together if d]) if any(together) else ())
+                for document in together:
+                    own = next(found) if document else np.zeros(0, dtype=np.int64)
+                    rows.append((*map(len, document), *seen.summary(own)) if document else (0, 0, 0, 0, ""))
+                    windows.append(own)
+                    pairs.append(seen.different_pairs(own))
+            pair, held_by = np.unique(np.concatenate(pairs), return_counts=True)
+            values = dict(zip(list(_DOC)[1:], map(list, zip(*rows, strict=True)), strict=True)) | {
+                "doc_id": joined(slices, "doc_id"),
+                "runs": np.cumsum([0, *map(len, windows)]),
+                "windows": np.concatenate(windows),
+                "starts": np.array(seen.starts),
+                "linked": np.searchsorted(pair, np.array(seen.pairs, dtype=np.int64)),
+                "times": np.array(seen.times, dtype=np.int64),
+                "id_a": pair >> 32,
+                "id_b": pair & 0xFFFFFFFF,
+                "held_by": held_by,
+            }
+            lists = [one_list(values[c], k) for c, k in kinds.items()]
             yield pa.RecordBatch.from_arrays([pa.array([shard]), *lists], ["shard", *kinds])
             shard += 1
 
@@ -288,10 +332,6 @@ def aligned_shards(
     return stored(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(align, schema))
 
 
-def _plain(values):
-    return np.array(values) if isinstance(values, array) else values
-
-
 def pair_counts(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id_a, id_b, documents, best) of the corpus, and (shard, pair, id_a, id_b) of every shard's pairs.
 
