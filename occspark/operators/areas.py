@@ -1,9 +1,7 @@
 """Assignment of points to areas and the area cube.
 
-Boundaries are cut into cells of a fixed size. A point only meets the areas of its
-own cell, so the polygon join is an equi-join on the cell. Inside a cell an area
-keeps just the edges that matter there; a cell that lies wholly inside an area needs
-no geometry at all.
+Boundaries are cut into quadtree cells (``operators/cells.py``). A point only meets the
+areas of its own cell, so the polygon join is an equi-join on the cell.
 """
 
 from __future__ import annotations
@@ -15,16 +13,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from occspark.operators.cells import CELL_DEGREES, KEY, Held, area_cells, corner_of, covers, located
 from occspark.operators.grid import CUBE_DIMENSIONS, aggregate_cube, mapped_rows, since, with_cube_columns
 from occspark.operators.skew import DEFAULT_SALTS, lookup_join
 from occspark.schema import CUBE_CONSERVATION_FIELDS, SINCE_YEAR
 
 AREA_LEVELS = ("SA1", "SA2", "SA3")
 SIMPLIFY_TOLERANCE = 0.005
-CELL_DEGREES = 0.5
 _BROADCAST_CELLS = 200_000
 _BROADCAST_EDGES = 1_000_000
-_MARGIN = 1e-9
 
 _RING = "array<array<array<double>>>"
 _RINGS = f"array<{_RING}>"
@@ -115,134 +112,49 @@ def boundary_table(features: DataFrame, level: str) -> DataFrame:
     )
 
 
-def _on_edge(x: Column, y: Column, e: Column) -> Column:
-    cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    return (
-        (cross == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    )
-
-
-def _crosses(x: Column, y: Column, e: Column) -> Column:
-    """Does the ray from the point to the east cross the edge?"""
-    at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-    return F.when((e["y1"] > y) != (e["y2"] > y), x < at).otherwise(F.lit(False))
-
-
-def covers(edges: Column, x: Column, y: Column) -> Column:
-    """Is the point inside the polygon or on its boundary?"""
-    crossings = F.size(F.filter(edges, lambda e: _crosses(x, y, e)))
-    return (crossings % 2 == 1) | F.exists(edges, lambda e: _on_edge(x, y, e))
-
-
-def area_cells(boundaries: DataFrame, level: str, cell: float = CELL_DEGREES) -> DataFrame:
-    """Cells of every area: cell indices, bounding box, ``whole`` flag, local edges.
-
-    First a row per cell row (its edges are those that reach into the row), then per
-    cell. East of a cell all edges of the row count, west of it none, because the
-    crossing ray runs east. A cell no edge reaches is all inside or all outside, so its
-    centre decides; outside cells are dropped.
-    """
-    code, name = area_columns(level)
-
-    def index(c: str) -> Column:
-        return F.floor(F.col(c) / cell).cast("int")
-
-    def low(i: str) -> Column:
-        return F.col(i) * F.lit(cell) - _MARGIN
-
-    def high(i: str) -> Column:
-        return (F.col(i) + 1) * F.lit(cell) + _MARGIN
-
-    def reaches(e: Column, axis: str, i: str) -> Column:
-        a, b = e[f"{axis}1"], e[f"{axis}2"]
-        return (F.least(a, b) <= high(i)) & (F.greatest(a, b) >= low(i))
-
-    box = ["min_lon", "max_lon", "min_lat", "max_lat"]
-    rows = boundaries.select(
-        code, name, *box, "edges", F.explode(F.sequence(index("min_lat"), index("max_lat"))).alias("cy")
-    ).withColumn("edges", F.filter("edges", lambda e: reaches(e, "y", "cy")))
-    cells = rows.withColumn("cx", F.explode(F.sequence(index("min_lon"), index("max_lon"))))
-    touched = F.exists("edges", lambda e: reaches(e, "x", "cx"))
-    middle_x, middle_y = (F.col("cx") + 0.5) * F.lit(cell), (F.col("cy") + 0.5) * F.lit(cell)
-    east = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= low("cx"))
-    cells = cells.withColumn("whole", ~touched).withColumn("edges", east)
-    inside = F.col("whole") & covers(F.col("edges"), middle_x, middle_y)
-    return (
-        cells.where(~F.col("whole") | inside)
-        .withColumn("edges", F.when(~F.col("whole"), F.col("edges")))
-        .select("cx", "cy", code, name, *box, "whole", "edges")
-    )
-
-
-def _in_cell(points: DataFrame, cell: float) -> DataFrame:
-    return points.withColumns(
-        {
-            "cx": F.floor(F.col("decimalLongitude") / cell).cast("int"),
-            "cy": F.floor(F.col("decimalLatitude") / cell).cast("int"),
-        }
-    )
-
-
-def _cells_fit(cells: DataFrame) -> bool:
+def _fits(held: Held) -> bool:
     """Checked size of the broadcast side: few cells and few edges in all."""
-    held = cells.agg(
-        F.count(F.lit(1)).alias("cells"), F.sum(F.greatest(F.size("edges"), F.lit(0))).alias("edges")
-    ).first()
-    return held["cells"] <= _BROADCAST_CELLS and (held["edges"] or 0) <= _BROADCAST_EDGES
-
-
-def _inside(area: Column, x: Column, y: Column) -> Column:
-    in_box = x.between(area["min_lon"], area["max_lon"]) & y.between(
-        area["min_lat"], area["max_lat"]
-    )
-    return in_box & (area["whole"] | covers(area["edges"], x, y))
+    return held.rows <= _BROADCAST_CELLS and held.edges <= _BROADCAST_EDGES
 
 
-def _assign_in_place(points: DataFrame, cells: DataFrame, level: str, cell: float) -> DataFrame:
+def _assign_in_place(points: DataFrame, held: Held, level: str, cell: float) -> DataFrame:
     """J9 + W2 without moving a point: its cell's areas, in code order, come to it.
 
     Only for cells of checked size. One row per cell holds the cell's few areas, so
     each point meets one row and takes the first area that covers it.
     """
     code, name = area_columns(level)
-    fields = [c for c in cells.columns if c not in ("cx", "cy")]
     # Structs sort by their first field, the code.
-    by_cell = cells.groupBy("cx", "cy").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_areas")
-    )
+    area = F.struct(code, name, "corner", "edges")
+    by_cell = held.cells.groupBy(*KEY).agg(F.array_sort(F.collect_list(area)).alias("_areas"))
     x, y = F.col("decimalLongitude"), F.col("decimalLatitude")
-    hit = F.get(F.filter("_areas", lambda a: _inside(a, x, y)), F.lit(0))
-    area = F.struct(hit[code].alias(code), hit[name].alias(name))
-    return (
-        _in_cell(points, cell)
-        .join(F.broadcast(by_cell), ["cx", "cy"])
-        .withColumn("_area", area)
-        .where(F.col(f"_area.{code}").isNotNull())
-        .select(*points.columns, f"_area.{code}", f"_area.{name}")
-    )
+    right, top = corner_of(cell)
+    hit = F.slice(F.filter("_areas", lambda a: covers(a, right, top, x, y)), 1, 1)
+    named = F.transform(hit, lambda a: F.struct(a[code].alias(code), a[name].alias(name)))
+    keyed = located(points, held.depths, cell, "decimalLongitude", "decimalLatitude")
+    return keyed.join(F.broadcast(by_cell), list(KEY)).select(*points.columns, F.inline(named))
 
 
 def _assign_by_place(
-    points: DataFrame, cells: DataFrame, level: str, cell: float, salts: int = DEFAULT_SALTS
+    points: DataFrame, held: Held, level: str, cell: float, salts: int = DEFAULT_SALTS
 ) -> DataFrame:
     """J9 + W2 for boundaries of any size.
 
     Each different coordinate pair is tested once, however many records share it, and
     crowded cells are spread by a hash of the coordinates. The smallest code among the
     covering areas is found by a combining aggregate, then joined back on the
-    coordinates, which key the result: no row numbers are needed (W6).
+    coordinates, which key the result: no row numbers are needed.
     """
     code, name = area_columns(level)
     pair = ["decimalLongitude", "decimalLatitude"]
     spread = F.pmod(F.xxhash64(*pair), F.lit(salts)).cast("int")
-    places = _in_cell(points.select(*pair).distinct(), cell).withColumn("_salt", spread)
-    repeated = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    area = F.struct(*[c for c in cells.columns if c not in ("cx", "cy")])
+    places = located(points.select(*pair).distinct(), held.depths, cell, *pair).withColumn("_salt", spread)
+    repeated = held.cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right, top = corner_of(cell)
+    inside = covers(F.struct("corner", "edges"), right, top, F.col(pair[0]), F.col(pair[1]))
     first = (
-        places.join(repeated, ["cx", "cy", "_salt"])
-        .where(_inside(area, F.col(pair[0]), F.col(pair[1])))
+        places.join(repeated, [*KEY, "_salt"])
+        .where(inside)
         .groupBy(*pair)
         .agg(F.min(F.struct(code, name)).alias("_area"))
         .select(*pair, f"_area.{code}", f"_area.{name}")
@@ -251,12 +163,19 @@ def _assign_by_place(
 
 
 def assign_areas(
-    points: DataFrame, boundaries: DataFrame, level: str, cell: float = CELL_DEGREES
+    points: DataFrame,
+    boundaries: DataFrame,
+    level: str,
+    cell: float = CELL_DEGREES,
+    in_place: bool | None = None,
 ) -> DataFrame:
-    """J9 + W2: each mapped record inside an area, with the first such area by code."""
-    cells = area_cells(boundaries, level, cell)
-    way = _assign_in_place if _cells_fit(cells) else _assign_by_place
-    return way(mapped_rows(points), cells, level, cell)
+    """J9 + W2: each mapped record inside an area, with the first such area by code.
+
+    Unless ``in_place`` says so, the counted size of the cells decides whether they come to the points.
+    """
+    held = area_cells(boundaries, *area_columns(level), cell)
+    way = _assign_in_place if (_fits(held) if in_place is None else in_place) else _assign_by_place
+    return way(mapped_rows(points), held, level, cell)
 
 
 def area_cube(
@@ -265,6 +184,7 @@ def area_cube(
     level: str,
     year: int = SINCE_YEAR,
     cell: float = CELL_DEGREES,
+    in_place: bool | None = None,
 ) -> DataFrame:
     """A2: records per area and dimension. Nulls do not count as distinct values here.
 
@@ -273,9 +193,9 @@ def area_cube(
     place nor a popular area is a hot key.
     """
     recent = since(mapped_rows(with_cube_columns(df)), year)
-    cells = area_cells(boundaries, level, cell)
-    if _cells_fit(cells):
-        assigned = _assign_in_place(recent, cells, level, cell)
+    held = area_cells(boundaries, *area_columns(level), cell)
+    if _fits(held) if in_place is None else in_place:
+        assigned = _assign_in_place(recent, held, level, cell)
     else:
         dims = [
             "decimalLongitude",
@@ -285,7 +205,7 @@ def area_cube(
             *CUBE_CONSERVATION_FIELDS,
         ]
         counted = recent.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
-        assigned = _assign_by_place(counted, cells, level, cell)
+        assigned = _assign_by_place(counted, held, level, cell)
     return aggregate_cube(assigned, area_columns(level), count_null=False)
 
 

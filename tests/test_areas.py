@@ -9,7 +9,7 @@ import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
-from occspark.operators import areas, slicer
+from occspark.operators import areas, cells, slicer
 from occspark.operators.slicer import SlicerState
 from occspark.plans import cubes
 from occspark.sources import tables
@@ -88,10 +88,10 @@ def test_points_in_holes_on_edges_and_in_overlaps(spark, cell):
     assert 1 not in found and found[3] == "C1" and found[2] == "C2"  # hole, shared edge, hole's edge
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_polygon_join_against_brute_force(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(areas, "_cells_fit", lambda cells: False)
+@pytest.mark.parametrize("in_place", [True, False])
+@pytest.mark.parametrize("most", [4, 64])
+def test_polygon_join_against_brute_force(spark, monkeypatch, in_place, most):
+    monkeypatch.setattr(cells.area_cells, "__defaults__", (cells.CELL_DEGREES, most))
     draw = random.Random(11)
     shapes = {
         f"P{i:02d}": {"type": "Polygon", "coordinates": [star(draw.uniform(-4, 4), draw.uniform(-4, 4), 9, draw)]}
@@ -99,7 +99,7 @@ def test_polygon_join_against_brute_force(spark, monkeypatch, broadcast):
     }
     points = [(draw.randint(-600, 600) / 100, draw.randint(-600, 600) / 100) for _ in range(800)]
     points += [(0.25, 0.25)] * 400  # one place holds a third of the rows
-    got = areas.assign_areas(point_frame(spark, points), boundary_rows(spark, shapes), "SA2")
+    got = areas.assign_areas(point_frame(spark, points), boundary_rows(spark, shapes), "SA2", in_place=in_place)
     found = {r["id"]: r["sa2_code_2021"] for r in records(got)}
     wanted = {}
     for i, (x, y) in enumerate(points):
@@ -111,10 +111,44 @@ def test_polygon_join_against_brute_force(spark, monkeypatch, broadcast):
 
 def test_inner_cells_carry_no_edges(spark):
     big = {"B": {"type": "Polygon", "coordinates": [square(0, 0, 10, 10)]}}
-    cells = areas.area_cells(boundary_rows(spark, big), "SA2", 1.0)
-    whole = cells.where("whole")
-    assert whole.count() == 64 and whole.where("edges IS NOT NULL").count() == 0
-    assert cells.count() == 121 - 0  # cells along the far edges hold boundary points
+    held = cells.area_cells(boundary_rows(spark, big), "sa2_code_2021", "sa2_name_2021", 1.0)
+    inner = held.cells.where("edges IS NULL")
+    assert inner.count() == 81 and inner.where("NOT corner").count() == 0
+    assert held.edges == 44 and held.depths == [0]  # 11 cells along each side, corners have two edges
+
+
+def test_edges_held_follow_the_boundary_not_the_width(spark):
+    """East of a wiggly western coast a cell needs none of the coast's edges."""
+    coast = [[-(i % 2) / 100, i / 100] for i in range(1_001)]
+    wide = {"W": {"type": "Polygon", "coordinates": [[*coast, [60, 10], [60, 0], coast[0]]]}}
+    held = cells.area_cells(boundary_rows(spark, wide), "sa2_code_2021", "sa2_name_2021", 1.0, 20)
+    assert held.edges < 2 * 1_001 + 400 and len(held.depths) > 1
+    crowded = held.cells.where(F.size("edges") > 20).count()
+    assert crowded == 0
+
+
+def test_cells_and_their_parts_are_disjoint(spark):
+    draw = random.Random(5)
+    shapes = {f"P{i}": {"type": "Polygon", "coordinates": [star(0, 0, 80, draw)]} for i in range(3)}
+    held = cells.area_cells(boundary_rows(spark, shapes), "sa2_code_2021", "sa2_name_2021", 2.0, 12)
+    keys = {(r["depth"], r["ix"], r["iy"]) for r in held.cells.select(*cells.KEY).distinct().collect()}
+    assert len({d for d, _, _ in keys}) > 1
+    for depth, ix, iy in keys:
+        assert not any((d, ix >> (depth - d), iy >> (depth - d)) in keys for d in range(depth))
+
+
+def test_same_shape_twice_and_same_code_on_two_shapes(spark):
+    rows = boundary_rows(spark, {"A": {"type": "Polygon", "coordinates": [square(0, 0, 4, 4)]}})
+    other = boundary_rows(spark, {"A": {"type": "Polygon", "coordinates": [square(2, 2, 6, 6)]}})
+    points = point_frame(spark, [(1, 1), (3, 3), (5, 5), (7, 7), (float("nan"), 1)])
+    got = areas.assign_areas(points, rows.union(rows).union(other), "SA2")
+    assert sorted(r["id"] for r in records(got)) == [0, 1, 2]
+
+
+def test_no_boundaries(spark):
+    empty = boundary_rows(spark).limit(0)
+    for in_place in (True, False):
+        assert areas.assign_areas(point_frame(spark, POINTS), empty, "SA2", in_place=in_place).count() == 0
 
 
 def test_unknown_level():

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.operators import areas, slicer
-from occspark.operators.grid import CUBE_CONSERVATION_FIELDS
+from occspark.operators.grid import CUBE_CONSERVATION_FIELDS, CUBE_DIMENSIONS
 from occspark.operators.slicer import SlicerState
-from occspark.sources.star_view import LINE_KEY, occurrences
+from occspark.sources.star_view import LINE_KEY, occurrences, read_table
 from verification.inputs import (
     AREA_LEVEL,
     AREAS,
     CUBE_COLUMNS,
+    ENRICHED,
     OCC,
+    REFERENCE,
     boundaries,
+    enriched,
     with_occ,
 )
 from verification.registry import query
@@ -69,6 +72,104 @@ def a2_x7_area_cube(spark: SparkSession, folder: str) -> DataFrame:
     return _cube(spark, folder).drop(*CUBE_CONSERVATION_FIELDS)
 
 
+def _combs(spark: SparkSession, folder: str) -> DataFrame:
+    """A polygon per customer: a base line and teeth above it, some of them wide. Overlaps are common."""
+    k = F.col("c_custkey")
+    x, y, teeth, step = 113 + k * 7 % 340 / 10, -44 + k * 11 % 260 / 10, 2 + k % 5, 1 + k % 7
+    tooth = F.transform(
+        F.sequence(F.lit(0).cast("long"), 2 * teeth),
+        lambda i: F.struct(
+            (x + (2 * teeth - i) * step / 10).alias("x"), (y + F.when(i % 2 == 0, 0.2).otherwise(1.5)).alias("y")
+        ),
+    )
+    corner = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    right = x + 2 * teeth * step / 10
+    ring = F.concat(F.array(corner(x, y), corner(right, y)), tooth, F.array(corner(x, y)))
+    texts = F.transform(ring, lambda p: F.concat(F.lit("["), p["x"].cast("string"), F.lit(","), p["y"].cast("string"), F.lit("]")))
+    geometry = F.concat(F.lit('{"type":"Polygon","coordinates":[['), F.array_join(texts, ","), F.lit("]]}"))
+    features = read_table(spark, folder, "customer").select(
+        F.lpad(k.cast("string"), 9, "0").alias("SA1_CODE21"), geometry.alias("geometry")
+    )
+    return areas.boundary_table(features, "SA1")
+
+
+_COMBS = """comb AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS code, 2 + c_custkey % 5 AS teeth, 1 + c_custkey % 7 AS step,
+    113 + c_custkey * 7 % 340 / 10.0::DOUBLE AS x, -44 + c_custkey * 11 % 260 / 10.0::DOUBLE AS y FROM customer),
+tip AS (SELECT code, x, y, i, x + (2 * teeth - i) * step / 10.0::DOUBLE AS tx,
+    y + CASE WHEN i % 2 = 0 THEN 0.2::DOUBLE ELSE 1.5::DOUBLE END AS ty, x + 2 * teeth * step / 10.0::DOUBLE AS r
+  FROM (SELECT *, unnest(range(0, 2 * teeth + 1)) AS i FROM comb)),
+comb_edge AS (
+  SELECT code, x AS x1, y AS y1, r AS x2, y AS y2 FROM tip WHERE i = 0
+  UNION ALL SELECT code, r, y, tx, ty FROM tip WHERE i = 0
+  UNION ALL SELECT a.code, a.tx, a.ty, b.tx, b.ty FROM tip a JOIN tip b ON a.code = b.code AND b.i = a.i + 1
+  UNION ALL SELECT code, arg_max(tx, i), arg_max(ty, i), any_value(x), any_value(y) FROM tip GROUP BY code),
+comb_box AS (SELECT code, min(least(x1, x2)) AS l, max(greatest(x1, x2)) AS r, min(least(y1, y2)) AS b, max(greatest(y1, y2)) AS t
+  FROM comb_edge GROUP BY code),
+spot AS (SELECT DISTINCT "decimalLongitude" AS px, "decimalLatitude" AS py FROM occ
+  WHERE "decimalLatitude" IS NOT NULL AND "decimalLongitude" IS NOT NULL),
+close AS (SELECT px, py, code FROM spot JOIN comb_box ON px BETWEEN l AND r AND py BETWEEN b AND t),
+hit AS (SELECT px, py, code FROM close JOIN comb_edge USING (code) GROUP BY px, py, code
+  HAVING count(*) FILTER ((y1 > py) <> (y2 > py) AND px < x1 + (py - y1) * (x2 - x1) / (y2 - y1)) % 2 = 1
+    OR bool_or((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1) = 0 AND px BETWEEN least(x1, x2) AND greatest(x1, x2)
+      AND py BETWEEN least(y1, y2) AND greatest(y1, y2))),
+comb_of AS (SELECT px, py, min(code) AS sa1_code_2021 FROM hit GROUP BY px, py)"""
+
+
+def _assign_combs(spark: SparkSession, folder: str, in_place: bool) -> DataFrame:
+    points = occurrences(spark, folder, [*_KEYS, "decimalLatitude", "decimalLongitude"])
+    assigned = areas.assign_areas(points, _combs(spark, folder), "SA1", in_place=in_place)
+    return assigned.select(*_KEYS, "sa1_code_2021")
+
+
+_COMB_SQL = with_occ(
+    f"""SELECT {', '.join(_KEYS)}, sa1_code_2021 FROM occ
+    JOIN comb_of ON "decimalLongitude" = px AND "decimalLatitude" = py""",
+    _COMBS,
+)
+
+
+@query("j9_by_place", _COMB_SQL)
+def j9_by_place(spark: SparkSession, folder: str) -> DataFrame:
+    return _assign_combs(spark, folder, in_place=False)
+
+
+@query("j9_in_place_crowded", _COMB_SQL)
+def j9_in_place_crowded(spark: SparkSession, folder: str) -> DataFrame:
+    return _assign_combs(spark, folder, in_place=True)
+
+
+def _comb_cube(spark: SparkSession, folder: str, level: str) -> DataFrame:
+    """The enriched rows over the customers' polygons, as boundaries of any size are joined."""
+    code, name = areas.area_columns(level)
+    shapes = _combs(spark, folder).withColumnsRenamed({"sa1_code_2021": code, "sa1_name_2021": name})
+    return areas.area_cube(enriched(spark, folder), shapes, level, in_place=False)
+
+
+def _comb_cube_sql(level: str) -> str:
+    code, name = areas.area_columns(level)
+    # The reference of these queries lists no addresses.
+    dims = ", ".join(
+        f'CAST(NULL AS VARCHAR) AS "{c}"' if c.endswith("_url") else f'"{c}"'
+        for c in (*CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS)
+    )
+    return f"""WITH {OCC},\n{REFERENCE},\n{ENRICHED},\n{_COMBS}
+    SELECT sa1_code_2021 AS {code}, sa1_code_2021 AS {name}, {dims}, count(*) AS record_count,
+      count(DISTINCT "scientificName") AS distinct_scientific_names,
+      count(DISTINCT "taxonConceptID") AS distinct_taxon_concepts, min(year) AS min_year, max(year) AS max_year
+    FROM enriched JOIN comb_of ON "decimalLongitude" = px AND "decimalLatitude" = py
+    WHERE year >= 1950 GROUP BY ALL"""
+
+
+@query("a2_by_place", _comb_cube_sql("SA1"))
+def a2_by_place(spark: SparkSession, folder: str) -> DataFrame:
+    return _comb_cube(spark, folder, "SA1")
+
+
+@query("a2_x7_enriched_sa2", _comb_cube_sql("SA2"))
+def a2_x7_enriched_sa2(spark: SparkSession, folder: str) -> DataFrame:
+    return _comb_cube(spark, folder, "SA2")
+
+
 @query(
     "j7_occupied_boundaries",
     with_occ(
