@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.operators import conservation, impact, profile, taxonomy
 from occspark.operators.dedupe import observed_dedupe
 from occspark.schema import BUTTERFLY_FAMILIES, OCCURRENCE_SCHEMA
 from occspark.sources import reference as references
-from occspark.sources import tables
+from occspark.sources import merged, tables
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,23 @@ def merge_tables(
     return counts
 
 
+def merge_into(
+    spark: SparkSession, inputs: Sequence[str], table: str, stream: str, batch: int, buckets: int = merged.BUCKETS
+) -> MergeCounts:
+    """X1 for a table that stays: merge new shards into what is there, touching only their buckets.
+
+    ``stream`` and ``batch`` name the step; a step that is run again changes nothing and counts nothing.
+    """
+    tables.check_inputs(spark, inputs)
+    rows = Observation("rows_merged")
+    batch_rows = tables.read_files(spark, inputs).observe(rows, F.count(F.lit(1)).alias("rows"))
+    held = merged.current(spark, table, buckets)
+    before = merged.read_merged(spark, table).count()
+    done = merged.merge_batch(batch_rows, table, stream, batch, buckets)
+    added = rows.get["rows"] if done.version > held.version else 0
+    return MergeCounts(before + added, merged.read_merged(spark, table).count())
+
+
 def write_profile(report: profile.QualityProfile, folder: str, overwrite: bool) -> None:
     """The profile's four tables as files."""
     tables.write_json(report.summary, f"{folder}/quality_summary", overwrite)

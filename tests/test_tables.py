@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -23,7 +24,7 @@ from occspark.schema import (
     occurrence_schema,
     project_fields,
 )
-from occspark.sources import pages, reference, tables
+from occspark.sources import merged, pages, reference, tables
 from occspark.streaming import ingest
 
 # --- schema ------------------------------------------------------------------------
@@ -538,9 +539,81 @@ def test_incremental_ingest(spark, tmp_path):
     assert current.columns == OCCURRENCE_SCHEMA.fieldNames()
     got = {(r["uuid"], r["eventDate"], r["query_species_key"]) for r in records(current)}
     assert got == {("a", 1000, "testus"), ("b", None, "testus"), ("c", 5, "testus")}
-    # Replaying a batch changes nothing.
-    (stored,) = Path(table).glob("stream_id=*/batch_id=1")
-    batch = spark.read.schema(OCCURRENCE_SCHEMA).parquet(str(stored)).cache()
-    assert batch.count() == 2
-    ingest.write_batch(batch, 1, table, stored.parent.name.removeprefix("stream_id="))
-    assert ingest.current_table(spark, table).count() == 3
+    # Replaying a batch changes nothing, whatever it holds.
+    held = merged.current(spark, table)
+    ((stream, last),) = held.merged.items()
+    assert ingest.write_batch(current.limit(1), last, table, stream).version == held.version
+    assert merged.current(spark, table) == held
+
+
+def _event(uuid, date, name="x"):
+    return {"uuid": uuid, "eventDate": date, "scientificName": name}
+
+
+def test_merge_equals_a_dedupe_of_the_whole_history(spark, occurrences, tmp_path):
+    draw = random.Random(4)
+    root, history = str(tmp_path / "t"), []
+    for batch in range(6):
+        rows = [_event(f"u{draw.randrange(60)}", draw.choice([None, *range(50)]), f"n{draw.randrange(4)}") for _ in range(25)]
+        rows.append(_event(None, None, f"n{batch % 2}"))
+        history += rows
+        done = merged.merge_batch(occurrences(*rows), root, "s", batch, buckets=8, parts=3)
+        assert done.version == batch + 1
+        whole = {(r["uuid"], r["eventDate"]) for r in records(dedupe(occurrences(*history)))}
+        found = records(merged.read_merged(spark, root))
+        assert {(r["uuid"], r["eventDate"]) for r in found} == whole
+        assert len({(r["uuid"], r["scientificName"]) if r["uuid"] is None else r["uuid"] for r in found}) == len(found)
+    held = merged.current(spark, root)
+    assert held.merged == {"s": 5} and max(map(len, held.parts.values())) <= 3
+
+
+def test_a_merge_writes_only_what_it_touches(spark, occurrences, tmp_path):
+    root = str(tmp_path / "t")
+    first = merged.merge_batch(occurrences(*[_event(f"u{i}", 10) for i in range(200)]), root, "s", 0, buckets=16)
+    assert len(first.added) == 16 and not first.rewritten
+    before = merged.current(spark, root)
+    later = merged.merge_batch(occurrences(_event("u3", 99), _event("u3", 12)), root, "s", 1, buckets=16)
+    assert (later.added, later.rewritten) == ([], [])  # both lose
+    new = merged.merge_batch(occurrences(_event("new", 1)), root, "other", 0, buckets=16)
+    assert len(new.added) == 1 and not new.rewritten
+    early = merged.merge_batch(occurrences(_event("u7", 1)), root, "s", 2, buckets=16)
+    assert not early.added and len(early.rewritten) == 1
+    after = merged.current(spark, root)
+    changed = {b for b in before.parts if before.parts[b] != after.parts[b]}
+    assert changed == {*new.added, *early.rewritten}
+    assert merged.read_merged(spark, root).where("uuid = 'u7'").first()["eventDate"] == 1
+
+
+def test_of_two_writers_the_second_merges_upon_the_first(spark, occurrences, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    merged.merge_batch(occurrences(_event("a", 5)), root, "s", 0, buckets=2)
+    publish, met = merged._Files.publish, []
+
+    def late(files, name, text):
+        if not met:
+            met.append(name)
+            merged.merge_batch(occurrences(_event("a", 1), _event("b", 1)), root, "other", 0, buckets=2)
+        return publish(files, name, text)
+
+    monkeypatch.setattr(merged._Files, "publish", late)
+    assert merged.merge_batch(occurrences(_event("a", 3), _event("c", 3)), root, "s", 1, buckets=2).version == 3
+    got = {(r["uuid"], r["eventDate"]) for r in records(merged.read_merged(spark, root))}
+    assert got == {("a", 1), ("b", 1), ("c", 3)}
+    assert merged.current(spark, root).merged == {"s": 1, "other": 0}
+
+
+def test_merge_of_an_empty_batch_and_reading_nothing(spark, occurrences, tmp_path):
+    root = str(tmp_path / "t")
+    assert merged.read_merged(spark, root).count() == 0
+    assert merged.merge_batch(occurrences(_event("a", 5)).limit(0), root, "s", 0).version == 1
+    assert merged.read_merged(spark, root).columns == OCCURRENCE_SCHEMA.fieldNames()
+
+
+def test_merge_into_counts(spark, occurrences, tmp_path):
+    shards = [str(tmp_path / n) for n in ("one", "two")]
+    occurrences(_event("a", 5), _event("b", 5)).write.parquet(shards[0])
+    occurrences(_event("a", 1), _event("c", 5)).write.parquet(shards[1])
+    root = str(tmp_path / "t")
+    assert jobs.merge_into(spark, shards[:1], root, "s", 0) == jobs.MergeCounts(2, 2)
+    assert jobs.merge_into(spark, shards[1:], root, "s", 1) == jobs.MergeCounts(4, 3)
+    assert jobs.merge_into(spark, shards[1:], root, "s", 1) == jobs.MergeCounts(3, 3)

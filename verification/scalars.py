@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from occspark.functions import coerce, keys, status, text
 from occspark.schema import CANONICAL_SCHEMA, conform
 from occspark.session import checkpoint_dir
-from occspark.sources import pages
+from occspark.sources import merged, pages
 from occspark.sources.star_view import LINE_KEY, occurrences, read_table
 from occspark.streaming import ingest
 from verification.inputs import with_occ
@@ -291,13 +291,13 @@ def f22_sensitivity_flags(spark: SparkSession, folder: str) -> DataFrame:
 # --- records as landed JSON ------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, folder: str) -> DataFrame:
+def _landed(spark: SparkSession, folder: str, where: str = "TRUE", earlier: int = 0) -> DataFrame:
     """Each occurrence as a landed page of one JSON record: odd types, lists, extra fields."""
     names = (
         "uuid scientificName family genus species stateProvince decimalLatitude decimalLongitude year eventDate month "
         "vernacularName"
     ).split()
-    rows = occurrences(spark, folder, [*LINE_KEY, *names, "query_species_key", "query_scientific_name"])
+    rows = occurrences(spark, folder, [*LINE_KEY, *names, "query_species_key", "query_scientific_name"]).where(where)
     record = F.struct(
         F.col("l_orderkey").cast("string").alias("recordNumber"),
         F.struct(*[F.col(k) for k in reversed(LINE_KEY)]).alias("assertions"),
@@ -305,7 +305,7 @@ def _landed(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("year") > 1998, "yes").otherwise("0").alias("spatiallyValid"),
         F.lit("dropped").alias("unusedExtraField"),
         *[F.col(n) for n in names if n not in ("eventDate", "year", "decimalLatitude")],
-        F.col("eventDate").cast("string").alias("eventDate"),
+        (F.col("eventDate") - earlier).cast("string").alias("eventDate"),
         (F.col("year") + 0.5).alias("year"),
         F.col("decimalLatitude").cast("string").alias("decimalLatitude"),
     )
@@ -351,12 +351,49 @@ def t1_incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     base = f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
     _landed(spark, folder).select("page").write.text(f"{base}/pages")
     stream = ingest.ingest_stream(
-        spark, f"{base}/pages", f"{base}/table", f"{base}/checkpoint", per_line=True
+        spark, f"{base}/pages", f"{base}/table", f"{base}/checkpoint", per_line=True, buckets=8
     )
     stream.awaitTermination()
     return ingest.current_table(spark, f"{base}/table").select("uuid", "eventDate", "eventDate_iso")
 
 
+# Of the lines, which stream brings them; the late ones are two days earlier than what is stored of their order.
+_STREAMED = """streamed AS (SELECT uuid, "scientificName", l_orderkey, l_linenumber, "decimalLatitude", "decimalLongitude", "eventDate" FROM occ
+  UNION ALL SELECT uuid, "scientificName", l_orderkey, l_linenumber, "decimalLatitude", "decimalLongitude", "eventDate" - 172800000
+  FROM occ WHERE l_linenumber = 1 AND l_orderkey % 97 = 0)"""
+
+
+@query(
+    "t1_merged_streams",
+    with_occ(
+        f"""SELECT uuid, "eventDate", l_orderkey % 2 AS half, count(*) AS n FROM (SELECT *, row_number() OVER (
+          PARTITION BY {_LANDED_KEY} ORDER BY "eventDate" NULLS LAST) AS r FROM streamed) WHERE r = 1 GROUP BY ALL""",
+        _STREAMED,
+    ),
+)
+def t1_merged_streams(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams of pages into one merged table, a replayed batch, and earlier events that come late."""
+    base = f"{checkpoint_dir(spark)}/merge-{uuid.uuid4().hex}"
+    def ingested(name: str, rows: DataFrame) -> None:
+        rows.select("page").write.text(f"{base}/{name}/pages")
+        stream = ingest.ingest_stream(spark, f"{base}/{name}/pages", f"{base}/table", f"{base}/{name}/checkpoint", per_line=True, buckets=8)
+        stream.awaitTermination()
+        if stream.exception():
+            raise stream.exception()
+
+    ingested("even", _landed(spark, folder, "l_orderkey % 2 = 0"))
+    ingested("odd", _landed(spark, folder, "l_orderkey % 2 = 1"))
+    ingested("late", _landed(spark, folder, "l_linenumber = 1 AND l_orderkey % 97 = 0", 2 * 86_400_000))
+    held = merged.current(spark, f"{base}/table")
+    for stream, batch in held.merged.items():
+        again = ingest.write_batch(ingest.current_table(spark, f"{base}/table"), batch, f"{base}/table", stream)
+        if again.version != held.version:
+            raise AssertionError("A replayed batch was merged again.")
+    rows = ingest.current_table(spark, f"{base}/table")
+    half = (F.col("recordNumber").cast("long") % 2).alias("half")
+    return rows.groupBy("uuid", "eventDate", half).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "f10_suspect_targets",
     with_occ(
