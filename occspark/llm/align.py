@@ -38,9 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from occspark.llm.bpe import default_pattern, tokenizer_path
-from occspark.llm.shards import SHARD_BYTES, SHARD_ROWS, first_shard, gathered, joined, one_list
+from occspark.llm.shards import SHARD_ROWS, first_shard, gathered, joined, one_list
 from occspark.llm.store import bound_batches, stored
 
+#: A worker holds some 300 bytes per different window of a shard: 4 MB of text have about 150,000.
+SHARD_BYTES = 1 << 22
 #: Code points that are tokenised at once.
 STRETCH = 1 << 18
 #: Documents whose windows are found at once.
@@ -276,7 +278,7 @@ class Windows:
 
 _DOC = {"doc_id": None, "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string"}
 _REST = {
-    **{"runs": "long", "windows": "int", "starts": "long", "linked": "int", "times": "long"},
+    **{"runs": "long", "windows": "int", "starts": "long", "linked": "int", "times": "int"},
     **{"id_a": "int", "id_b": "int", "held_by": "long"},
 }
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
