@@ -96,6 +96,10 @@ def grid_cube(df: DataFrame, decimals: int = DEFAULT_GRID_DECIMALS) -> DataFrame
     return aggregate_cube(mapped_rows(with_cube_columns(df)), place, count_null=True)
 
 
+#: O1: the stored order of a grid cube, nulls last.
+CUBE_ORDER = ("lat_bin", "lon_bin", *CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS)
+
+
 def cube_order(cube: DataFrame, place: Sequence[str] = ("lat_bin", "lon_bin")) -> DataFrame:
     """O1: cube rows in their stored order, nulls last (a range-partitioned sort)."""
     keys = [*place, *CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occspark.functions.keys import match_key
-from occspark.operators.skew import lookup_join
+from occspark.operators.membership import anti_join, prefiltered, semi_join
 from occspark.schema import BUTTERFLY_FAMILIES, ensure_columns
 
 _SOURCE_KEY_COLUMNS = {
@@ -51,14 +51,12 @@ def _key(columns: dict[str, str]) -> Column:
 
 def candidate_duplicates(source: DataFrame, base: DataFrame) -> DataFrame:
     """Source rows whose key exists in the base table."""
-    known = base_keys(base).select("match_key").distinct()
-    return lookup_join(source_keys(source), known, ["match_key"], "left_semi").select(*source.columns)
+    return semi_join(source_keys(source), base_keys(base), "match_key").select(*source.columns)
 
 
 def candidate_new(source: DataFrame, base: DataFrame) -> DataFrame:
     """Source rows whose key does not."""
-    known = base_keys(base).select("match_key").distinct()
-    return lookup_join(source_keys(source), known, ["match_key"], "left_anti").select(*source.columns)
+    return anti_join(source_keys(source), base_keys(base), "match_key").select(*source.columns)
 
 
 def value_totals(df: DataFrame, column: str = "family") -> DataFrame:
@@ -80,27 +78,31 @@ def impact_summary(
 ) -> DataFrame:
     """One row of counts; ``base=None`` stands for an absent or unreadable table.
 
-    Both tables are counted per key before they meet, so the join sees each key once
-    and no key is hot. A source without a ``family`` column has no keys, as its
-    families cannot be checked: its rows count, none is a duplicate.
+    The source is counted per key. Of the base only rows whose key the source may have are
+    shuffled (``prefiltered``), and only as keys; its rows are counted where they are. A source
+    without a ``family`` column has no keys, as its families cannot be checked: its rows count, none
+    is a duplicate.
     """
     rows = in_families(source, families)
-    per_key = (
-        source_keys(rows).groupBy("match_key").agg(F.count(F.lit(1)).alias("source_n"))
-    )
-    if base is None:
-        joined = per_key.withColumn("base_n", F.lit(0).cast("long"))
+    per_key = source_keys(rows).groupBy("match_key").agg(F.count(F.lit(1)).alias("source_n"))
+    considered = None if base is None else in_families(base, families)
+    if considered is None or (families and "family" not in source.columns):
+        met = per_key.withColumn("known", F.lit(False))
     else:
-        considered = base_keys(in_families(base, families))
-        counted = considered.groupBy("match_key").agg(F.count(F.lit(1)).alias("base_n"))
-        joined = per_key.join(counted, ["match_key"], "full_outer")
-    comparable = F.lit(not families or "family" in source.columns)
-    duplicate = F.when(comparable & (F.col("base_n") > 0), F.col("source_n"))
-    totals = joined.agg(
-        F.coalesce(F.sum("base_n"), F.lit(0)).alias("existing_rows_considered"),
+        known = prefiltered(base_keys(considered).select("match_key"), per_key, "match_key").distinct()
+        met = per_key.join(known.withColumn("known", F.lit(True)), ["match_key"], "left")
+    totals = met.agg(
         F.coalesce(F.sum("source_n"), F.lit(0)).alias("source_rows"),
-        F.coalesce(F.sum(duplicate), F.lit(0)).alias("candidate_duplicate_rows"),
+        F.coalesce(F.sum(F.when(F.col("known"), F.col("source_n"))), F.lit(0)).alias("candidate_duplicate_rows"),
     )
+    if considered is None:
+        totals = totals.withColumn("existing_rows_considered", F.lit(0).cast("long"))
+    else:
+        # One row each: two counts stacked and added, so that neither table waits for a join.
+        counted = considered.agg(F.count(F.lit(1)).alias("existing_rows_considered"))
+        names = ["source_rows", "candidate_duplicate_rows", "existing_rows_considered"]
+        stacked = totals.unionByName(counted, allowMissingColumns=True)
+        totals = stacked.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
     fresh = F.col("source_rows") - F.col("candidate_duplicate_rows")
     ratio = F.when(
         F.col("source_rows") > 0,

@@ -4,27 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occspark.functions.text import count_text, duration_text
+from occspark.operators.rownumber import running_sums
 from occspark.operators.skew import lookup_join, top_n
 from occspark.operators.taxonomy import filter_text
-from occspark.schema import PAGE_SIZE, SEARCH_WINDOW
+from occspark.schema import PAGE_SIZE, SEARCH_WINDOW, ensure_columns
+from occspark.session import cut_lineage
 
 NO_YEARS = "truncated_no_year_facets"
 SPLIT_FAILED = "truncated_partition_split_failed"
 MISMATCH = "partition_total_mismatch"
-ISSUES_IN_TEXT = 10_000
 COMPLETE = "complete"
 
 
-def _total(window_keys: Sequence[str], *conditions: Column) -> Column:
-    """Rows of a parent group, counting only those that meet every condition."""
-    counted = F.col("n")
-    for condition in conditions:
-        counted = F.when(condition, counted)
-    return F.coalesce(F.sum(counted).over(Window.partitionBy(*window_keys)), F.lit(0))
+_FACETS = ("year", "month", "day", "lat_long")
+
+
+def calendar_totals(df: DataFrame, species: str = "query_species_key") -> DataFrame:
+    """K1: records per species, year, month and day in one grouping-sets aggregate, written once.
+
+    ``level`` is 0 for a species, 1 to 3 for its years, months and days. ``named`` counts the records
+    whose value of the next level is known, ``largest_day`` the largest known day.
+    """
+    keys = [species, "year", "month", "day"]
+    days = (
+        df.groupBy(species, *[F.col(c).cast("string").alias(c) for c in keys[1:]])
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col(species).isNotNull())
+    )
+    level = F.lit(3) - F.bit_count(F.grouping_id())
+    known = [F.sum(F.when(F.col(c).isNotNull(), F.col("n"))) for c in keys[1:]]
+    totals = days.groupingSets([keys[: i + 1] for i in range(4)], *keys).agg(
+        level.alias("level"),
+        F.sum("n").alias("total"),
+        F.coalesce(F.when(level == 0, known[0]).when(level == 1, known[1]).when(level == 2, known[2]), F.lit(0)).alias("named"),
+        F.max(F.when(F.col("day").isNotNull(), F.col("n"))).alias("largest_day"),
+    )
+    return cut_lineage(totals)
+
+
+def _label(*facets: str) -> Column:
+    return F.concat_ws(";", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in facets])
 
 
 def partition_plan(
@@ -39,120 +62,121 @@ def partition_plan(
     split by month, an oversized month by day, and a month with an oversized day by
     exact place. Values a facet cannot name (nulls) break the sums: parts that miss
     their parent's total make the split fail, and years that miss the species' total
-    are reported. Failed or impossible splits fall back to the first ``window`` rows.
+    are reported. Failed or impossible splits fall back to the first ``window`` rows;
+    ``split_failure`` names the level, value and totals of the first that failed.
 
-    All totals come from one count per calendar day; the table is counted per place
-    only for the months that need it.
+    The levels are rows of one aggregate and joined from it; the table is counted per place
+    only for the months that need it. The plan is checkpointed for its consumers.
     """
-    s = [species]
-    days = (
-        df.groupBy(species, *[F.col(c).cast("string").alias(c) for c in ("year", "month", "day")])
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col(species).isNotNull())
-    )
-    y, m, d = F.col("year").isNotNull(), F.col("month").isNotNull(), F.col("day").isNotNull()
-    by_year, by_month = [*s, "year"], [*s, "year", "month"]
-    months = (
-        days.withColumns({"species_total": _total(s), "year_facets": _total(s, y)})
-        .withColumns({"year_total": _total(by_year), "month_facets": _total(by_year, m)})
-        .withColumn("month_total", _total(by_month))
-        .withColumn("day_facets", _total(by_month, d))
-        .withColumn(
-            "largest_day", F.max(F.when(d, F.col("n"))).over(Window.partitionBy(*by_month))
-        )
-    )
-    oversized_species = F.col("species_total") > window
-    oversized_year = oversized_species & y & (F.col("year_total") > window)
-    oversized_month = oversized_year & m & (F.col("month_total") > window)
-    by_place = oversized_month & (F.col("largest_day") > window)
-
-    crowded = months.where(by_place).select(*by_month).distinct()
+    s, y, m = [species], [species, "year"], [species, "year", "month"]
+    totals = calendar_totals(df, species)
+    whole = totals.where("level = 0").select(*s, F.col("total").alias("species_total"), F.col("named").alias("in_years"))
+    years = totals.where("level = 1 AND year IS NOT NULL").select(*y, "total", "named")
+    months = totals.where("level = 2 AND year IS NOT NULL AND month IS NOT NULL").select(*m, "total", "named", "largest_day")
+    days = totals.where("level = 3 AND year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL").select(*m, "day", "total")
+
+    years = years.join(whole.where(F.col("species_total") > window), s, "left_semi")
+    large_years = years.where(F.col("total") > window)
+    months = months.join(large_years, y, "left_semi")
+    large_months = months.where(F.col("total") > window)
+    crowded = large_months.where(F.col("largest_day") > window)
     placed = df.select(
-        species, *[F.col(c).cast("string").alias(c) for c in ("year", "month")], place
-    ).where(F.col(place).isNotNull())
+        species, *[F.col(c).cast("string").alias(c) for c in ("year", "month")], F.col(place).alias("lat_long")
+    ).where("lat_long IS NOT NULL")
     places = (
-        lookup_join(placed, crowded, by_month, "left_semi")
-        .groupBy(*by_month, place)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    place_totals = places.groupBy(*by_month).agg(
-        F.sum("n").alias("place_total"), F.max("n").alias("largest_place")
+        lookup_join(placed, crowded.select(*m), m, "left_semi").groupBy(*m, "lat_long").agg(F.count(F.lit(1)).alias("total"))
     )
-    state = months.join(place_totals, by_month, "left")
-    places_fit = (F.col("place_total") == F.col("month_total")) & (F.col("largest_place") <= window)
-    month_fails = F.when(by_place, ~F.coalesce(places_fit, F.lit(False))).otherwise(
-        oversized_month & (F.col("day_facets") != F.col("month_total"))
+    divided = places.groupBy(*m).agg(F.sum("total").alias("in_places"), F.max("total").alias("largest_place"))
+
+    def failed(rows: DataFrame, text: Column) -> DataFrame:
+        place_of = F.struct(F.col("year"), F.col("month").isNull().alias("whole_year"), F.col("month"))
+        return rows.select(*s, place_of.alias("at"), text.alias("text"))
+
+    def missed(part: str, parts: str, *facets: str) -> Column:
+        none = F.concat(_label(*facets), F.lit(": "), count_text(F.col("total")), F.lit(f" records and no {part} values"))
+        some = F.concat(
+            _label(*facets), F.lit(f": {parts} sum to "), count_text(F.col("named")), F.lit(", expected "), count_text(F.col("total"))
+        )
+        return F.when(F.col("named") == 0, none).otherwise(some)
+
+    of_years = large_years.where("named <> total").withColumn("month", F.lit(None).cast("string"))
+    by_day = large_months.where((F.col("largest_day") <= window) | F.col("largest_day").isNull()).where("named <> total")
+    fits = (F.col("in_places") == F.col("total")) & (F.col("largest_place") <= window)
+    by_place = crowded.join(divided, m, "left").where(~F.coalesce(fits, F.lit(False)))
+    too_large = F.concat(
+        _label("year", "month"),
+        F.lit(": largest day "),
+        count_text(F.col("largest_day")),
+        F.lit(", places sum to "),
+        count_text(F.coalesce("in_places", F.lit(0))),
+        F.lit(" (largest "),
+        count_text(F.coalesce("largest_place", F.lit(0))),
+        F.lit("), expected "),
+        count_text(F.col("total")),
     )
-    year_fails = oversized_year & (F.col("month_facets") != F.col("year_total"))
-    state = state.withColumn(
-        "species_fails",
-        F.max((year_fails | month_fails).cast("int")).over(Window.partitionBy(*s)) == 1,
+    failures = (
+        failed(of_years, missed("month", "months", "year"))
+        .unionByName(failed(by_day, missed("day", "days", "year", "month")))
+        .unionByName(failed(by_place, too_large))
     )
+    reasons = failures.groupBy(*s).agg(F.min_by("text", "at").alias("split_failure"))
     status = (
-        F.when(~oversized_species, COMPLETE)
-        .when(F.col("year_facets") == 0, NO_YEARS)
-        .when(F.col("species_fails"), SPLIT_FAILED)
-        .when(F.col("year_facets") != F.col("species_total"), MISMATCH)
+        F.when(F.col("species_total") <= window, COMPLETE)
+        .when(F.col("in_years") == 0, NO_YEARS)
+        .when(F.col("split_failure").isNotNull(), SPLIT_FAILED)
+        .when(F.col("in_years") != F.col("species_total"), MISMATCH)
         .otherwise(COMPLETE)
     )
-    state = state.withColumn("coverage_status", status)
-    whole = ~oversized_species | F.col("coverage_status").isin(NO_YEARS, SPLIT_FAILED)
-
-    # Every calendar day belongs to exactly one partition, or to none when a facet
-    # cannot name it; so one aggregate over the days yields all partitions.
-    depth = (
-        F.when(whole, 0)
-        .when(y & ~oversized_year, 1)
-        .when(oversized_year & m & ~oversized_month, 2)
-        .when(oversized_month & ~by_place & d, 3)
-        .when(by_place, 4)
+    states = whole.join(reasons, s, "left").select(
+        *s, "species_total", status.alias("coverage_status"), F.when(status == SPLIT_FAILED, F.col("split_failure")).alias("split_failure")
     )
-    located = state.withColumn("_depth", depth).where(F.col("_depth").isNotNull())
-    named = ("year", "month", "day")
-    plain = (
-        located.where(F.col("_depth") < 4)
-        .withColumns({c: F.when(F.col("_depth") > i, F.col(c)) for i, c in enumerate(named)})
-        .groupBy(*s, *named, "coverage_status", "species_total")
-        .agg(F.sum("n").alias("n"))
-        .select(*s, *named, F.lit(None).cast("string").alias("lat_long"), "n", "coverage_status", "species_total")
+    split = (F.col("species_total") > window) & ~F.col("coverage_status").isin(NO_YEARS, SPLIT_FAILED)
+
+    def parts(rows: DataFrame) -> DataFrame:
+        named = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in _FACETS]
+        return rows.select(*s, *named, "total")
+
+    plain = large_months.where((F.col("largest_day") <= window) | F.col("largest_day").isNull())
+    split_parts = (
+        parts(years.where(F.col("total") <= window))
+        .unionByName(parts(months.where(F.col("total") <= window)))
+        .unionByName(parts(days.join(plain, m, "left_semi")))
+        .unionByName(parts(places))
+        .join(states.where(split), s)
     )
-    spread = (
-        located.where(F.col("_depth") == 4)
-        .select(*by_month, "coverage_status", "species_total")
-        .distinct()
-        .join(places, by_month)
-        .select(
-            *by_month,
-            F.lit(None).cast("string").alias("day"),
-            F.col(place).alias("lat_long"),
-            "n",
-            "coverage_status",
-            "species_total",
-        )
+    first = states.where(~split).select(
+        *s,
+        *[F.lit(None).cast("string").alias(c) for c in _FACETS],
+        F.least("species_total", F.lit(window)).alias("total"),
+        "species_total",
+        "coverage_status",
+        "split_failure",
     )
-    facets = (*named, "lat_long")
-    label = F.concat_ws(";", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in facets])
-    filters = F.array_compact(F.array(*[filter_text(c, F.col(c)) for c in facets]))
-    return plain.unionByName(spread).select(
+    label = _label(*_FACETS)
+    filters = F.array_compact(F.array(*[filter_text(c, F.col(c)) for c in _FACETS]))
+    plan = split_parts.unionByName(first).select(
         *s,
         F.when(label == "", "all").otherwise(label).alias("label"),
         filters.alias("filters"),
-        F.when(label == "", F.least("n", F.lit(window))).otherwise(F.col("n")).alias("total_records"),
+        F.col("total").alias("total_records"),
         "coverage_status",
         "species_total",
+        "split_failure",
     )
+    return cut_lineage(plan)
 
 
 def coverage_detail(plan: DataFrame, species: str = "query_species_key") -> DataFrame:
     """K1: planned and expected totals per species, with a status text."""
-    totals = plan.groupBy(species, "coverage_status").agg(
+    totals = ensure_columns(plan, {"split_failure": "string"}).groupBy(species, "coverage_status").agg(
         F.max("species_total").alias("expected_total_records"),
         F.sum("total_records").alias("planned_partition_records"),
         F.count(F.lit(1)).alias("partitions"),
+        F.max("split_failure").alias("_failure"),
     )
     detail = (
         F.when(F.col("coverage_status") == NO_YEARS, F.lit("no year values to split by"))
-        .when(F.col("coverage_status") == SPLIT_FAILED, F.lit("partition split failed"))
+        .when(F.col("coverage_status") == SPLIT_FAILED, F.concat_ws(": ", F.lit("partition split failed"), "_failure"))
         .when(
             F.col("coverage_status") == MISMATCH,
             F.concat(
@@ -163,18 +187,19 @@ def coverage_detail(plan: DataFrame, species: str = "query_species_key") -> Data
             ),
         )
     )
-    return totals.withColumn("coverage_detail", detail)
+    return totals.withColumn("coverage_detail", detail).drop("_failure")
 
 
 def page_tasks(
     plan: DataFrame, species: str = "query_species_key", size: int = PAGE_SIZE
 ) -> DataFrame:
-    """K2: pages of at most ``size`` rows; the page index runs on across partitions."""
-    pages = F.ceil(F.col("total_records") / size).cast("long")
-    running = Window.partitionBy(species).orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
-    indexed = plan.withColumn("_pages", pages).withColumn(
-        "_before", F.coalesce(F.sum("_pages").over(running), F.lit(0))
-    )
+    """K2: pages of at most ``size`` rows; the page index runs on across partitions.
+
+    The index is a running sum over range partitions, so a species with most of all
+    partitions is numbered by many tasks.
+    """
+    pages = plan.withColumn("_pages", F.ceil(F.col("total_records") / size).cast("long"))
+    indexed = running_sums(pages, [species], ["label"], "_pages", "_before")
     numbered = indexed.where(F.col("_pages") > 0).withColumn(
         "_page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pages") - 1))
     )
@@ -252,33 +277,30 @@ def cap_per_species(
     return ranked.drop("_rank")
 
 
+def page_issues(validated: DataFrame, species: str = "query_species_key") -> DataFrame:
+    """Every page that isn't complete as a row, numbered per species in page order; none is left out."""
+    bad = validated.where("validation_status <> 'complete'").withColumn("_one", F.lit(1).cast("long"))
+    numbered = running_sums(bad, [species], ["page_index"], "_one", "_before")
+    return numbered.select(
+        species,
+        (F.col("_before") + 1).alias("issue"),
+        "page_index",
+        F.coalesce("validation_detail", "validation_status").alias("detail"),
+    )
+
+
 def species_results(
     validated: DataFrame, plan: DataFrame, species: str = "query_species_key"
 ) -> DataFrame:
-    """One row per species with its page issues, written rows and pages.
+    """One row per species with its number of page issues, written rows and pages.
 
-    The joined text names the first ``ISSUES_IN_TEXT`` issues and says how many more
-    there are; the validation table itself lists every issue as a row.
+    The issues themselves are rows (``page_issues``): a species may have any number of them.
     """
-    bad = F.col("validation_status") != "complete"
     pages = validated.groupBy(species).agg(
-        F.count_if(bad).alias("page_validation_issue_count"),
+        F.count_if(F.col("validation_status") != "complete").alias("page_validation_issue_count"),
         F.sum("rows_written").alias("rows_written"),
         F.count(F.lit(1)).alias("pages_written"),
     )
-    first = top_n(validated.where(bad), [species], [F.col("page_index")], ISSUES_IN_TEXT, "_rank")
-    issue = F.struct("_rank", F.coalesce("validation_detail", "validation_status").alias("text"))
-    listed = F.transform(F.array_sort(F.collect_list(issue)), lambda i: i["text"])
-    details = first.groupBy(species).agg(F.array_join(listed, " | ").alias("_detail"))
-    more = F.col("page_validation_issue_count") - ISSUES_IN_TEXT
-    text = F.when(
-        more > 0, F.concat("_detail", F.lit(" | and "), count_text(more), F.lit(" more"))
-    ).otherwise(F.col("_detail"))
-    pages = (
-        pages.join(details, [species], "left")
-        .withColumn("page_validation_detail", text)
-        .drop("_detail")
-    )
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("page_validation_issue_count", "rows_written", "pages_written")}
     return (
         coverage_detail(plan, species)

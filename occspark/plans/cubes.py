@@ -95,10 +95,12 @@ def run_report(
     plan: DataFrame,
     targets: DataFrame,
     group: Sequence[str] = ("source_family",),
+    merged: DataFrame | None = None,
 ) -> DataFrame:
     """Run metrics and coverage status per family, from plan and landed rows.
 
-    A species none of whose pages landed counts as failed.
+    A species none of whose pages landed counts as failed. ``merged`` (A32: group,
+    ``output_rows``, ``dropped_rows``) adds what the dedupe of the run kept and dropped.
     """
     validated = planning.page_validation(tasks, landed)
     results = planning.species_results(validated, plan)
@@ -107,4 +109,10 @@ def run_report(
     named = results.join(
         targets.select(F.col("key").alias("query_species_key"), *group), ["query_species_key"], "left"
     )
-    return planning.coverage_rollup(named, *group)
+    report = planning.coverage_rollup(named, *group)
+    if merged is None:
+        return report
+    kept = {"output_rows": "rows_kept_after_dedupe", "dropped_rows": "rows_dropped"}
+    counts = merged.select(*group, *kept).withColumnsRenamed(kept)
+    zero = {c: F.coalesce(c, F.lit(0)) for c in kept.values()}
+    return report.join(counts, [*group], "left").withColumns(zero)

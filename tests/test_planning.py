@@ -171,3 +171,39 @@ def test_fingerprint_ignores_column_order(spark):
     first = planning.config_fingerprint("a", "b", "c")
     assert df.select(first == planning.config_fingerprint("c", "b", "a")).first()[0]
     assert df.select(first != planning.config_fingerprint("a", "b")).first()[0]
+
+
+def test_reason_of_a_failed_split_names_level_value_and_totals(spark):
+    def reason(*groups):
+        (row,) = records(planning.coverage_detail(planning.partition_plan(dated(spark, *groups))))
+        return row["coverage_detail"]
+
+    head = "partition split failed: "
+    assert reason(("s", 2020, None, "1", "p", 5319)) == f"{head}year=2020: 5,319 records and no month values"
+    months = [("s", 2019, "1", "1", "p", 1), ("s", 2020, "01", "1", "p", 5000), ("s", 2020, None, "1", "p", 319)]
+    assert reason(*months) == f"{head}year=2020: months sum to 5,000, expected 5,319"
+    days = [("s", 2020, "01", None, "p", 1), ("s", 2020, "01", "2", "p", 5000)]
+    assert reason(*days) == f"{head}year=2020;month=01: days sum to 5,000, expected 5,001"
+    assert reason(("s", 2020, "01", None, "p", 5001)) == f"{head}year=2020;month=01: 5,001 records and no day values"
+    places = [("s", 2020, "01", "1", "p", 5100), ("s", 2020, "01", "1", None, 219)]
+    assert reason(*places) == (
+        f"{head}year=2020;month=01: largest day 5,319, places sum to 5,100 (largest 5,100), expected 5,319"
+    )
+
+
+def test_every_page_issue_is_a_row(spark):
+    tasks = planning.page_tasks(_plan_frame(spark, ("s", "all", 12_000), ("t", "all", 5)), size=1)
+    landed = spark.createDataFrame([("t", 0)], f"{SPECIES} string, page_index long")
+    issues = records(planning.page_issues(planning.page_validation(tasks, landed)))
+    of_s = sorted((r["issue"], r["page_index"]) for r in issues if r[SPECIES] == "s")
+    assert of_s == [(i + 1, i) for i in range(12_000)]
+    assert sorted((r["issue"], r["page_index"]) for r in issues if r[SPECIES] == "t") == [(i, i) for i in range(1, 5)]
+
+
+def test_run_report_with_kept_and_dropped_rows(spark):
+    plan = _plan_frame(spark, ("s", "year=2019", 1200))
+    targets = spark.createDataFrame([("s", "Pieridae")], "key string, source_family string")
+    merged = spark.createDataFrame([("Pieridae", 1100, 300)], "source_family string, output_rows long, dropped_rows long")
+    landed = spark.range(1200).select(F.lit("s").alias(SPECIES), F.floor(F.col("id") / 500).alias("page_index"))
+    (report,) = records(run_report(planning.page_tasks(plan), landed, plan, targets, merged=merged))
+    assert (report["rows_kept_after_dedupe"], report["rows_dropped"], report["coverage_status"]) == (1100, 300, "complete")

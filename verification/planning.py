@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.operators import planning
+from occspark.operators.dedupe import dedupe_metrics
 from occspark.plans.cubes import run_report
 from occspark.sources.star_view import LINE_KEY, occurrences, read_table
 from verification.inputs import with_occ
@@ -13,6 +14,8 @@ from verification.registry import query
 
 _SPECIES = "query_species_key"
 _WINDOW = 20
+#: A species none of whose pages land in the run report.
+_NEVER = "NATION_7"
 _SIZE = 8
 
 # Species differ in what their dates lack, so that every way to split or fail occurs.
@@ -52,6 +55,19 @@ plan AS (
   UNION ALL SELECT sp, 'year=' || y || ';month=' || m || ';lat_long=' || ll, pl.n, status FROM pl JOIN ms USING (sp, y, m)
     JOIN live USING (sp) WHERE spread)"""
 
+_REASON = f"""misses AS (
+  SELECT yr.sp, yr.y, '~' AS m, CASE WHEN sum(ms.n) IS NULL THEN 'year=' || yr.y || ': ' || format('{{:,}}', yr.n) || ' records and no month values'
+      ELSE 'year=' || yr.y || ': months sum to ' || format('{{:,}}', sum(ms.n)::BIGINT) || ', expected ' || format('{{:,}}', yr.n) END AS why
+    FROM yr LEFT JOIN ms USING (sp, y) WHERE yr.n > {_WINDOW} GROUP BY yr.sp, yr.y, yr.n HAVING coalesce(sum(ms.n), 0) <> yr.n
+  UNION ALL SELECT ms.sp, ms.y, ms.m, CASE WHEN dsum IS NULL THEN 'year=' || ms.y || ';month=' || ms.m || ': ' || format('{{:,}}', ms.n)
+      || ' records and no day values' WHEN NOT spread THEN 'year=' || ms.y || ';month=' || ms.m || ': days sum to '
+      || format('{{:,}}', dsum::BIGINT) || ', expected ' || format('{{:,}}', ms.n)
+      ELSE 'year=' || ms.y || ';month=' || ms.m || ': largest day ' || format('{{:,}}', ms.dmax) || ', places sum to '
+      || format('{{:,}}', coalesce(psum, 0)::BIGINT) || ' (largest ' || format('{{:,}}', coalesce(pmax, 0)) || '), expected '
+      || format('{{:,}}', ms.n) END
+    FROM ms LEFT JOIN dst USING (sp, y, m) LEFT JOIN pst USING (sp, y, m) WHERE big AND NOT ok),
+reason AS (SELECT sp, arg_min(why, (y, m)) AS why FROM misses GROUP BY sp)"""
+
 _TASKS = f"""numbered AS (SELECT *, CAST(ceil(total / {_SIZE}) AS BIGINT) AS pages FROM plan),
 before AS (SELECT *, CAST(coalesce(sum(pages) OVER (PARTITION BY sp ORDER BY label
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b FROM numbered),
@@ -124,12 +140,13 @@ def k1_partition_plan(spark: SparkSession, folder: str) -> DataFrame:
         """SELECT plan.sp AS query_species_key, plan.status AS coverage_status, st.n AS expected_total_records,
         CAST(sum(total) AS BIGINT) AS planned_partition_records, count(*) AS partitions,
         CASE plan.status WHEN 'truncated_no_year_facets' THEN 'no year values to split by'
-          WHEN 'truncated_partition_split_failed' THEN 'partition split failed'
+          WHEN 'truncated_partition_split_failed' THEN 'partition split failed: ' || why
           WHEN 'partition_total_mismatch' THEN 'year partition coverage total=' || format('{:,}', sum(total)::BIGINT)
             || ', expected=' || format('{:,}', st.n) END AS coverage_detail
-        FROM plan JOIN st USING (sp) GROUP BY plan.sp, plan.status, st.n""",
+        FROM plan JOIN st USING (sp) LEFT JOIN reason USING (sp) GROUP BY plan.sp, plan.status, st.n, why""",
         _ROWS,
         _PLAN,
+        _REASON,
     ),
 )
 def k1_coverage_detail(spark: SparkSession, folder: str) -> DataFrame:
@@ -216,13 +233,11 @@ def k5_cap_per_species(spark: SparkSession, folder: str) -> DataFrame:
     "a31_j11_species_manifest",
     with_occ(
         """SELECT sp AS key, 'Region ' || n_regionkey AS common_name, r.issues AS page_validation_issue_count,
-        r.rows AS rows_written, r.pages AS pages_written, r.detail AS page_validation_detail,
+        r.rows AS rows_written, r.pages AS pages_written,
         st.n AS reported_total_records, st.status AS partition_coverage_status,
         format('{:.1f}s', (n_nationkey + 0.5)::DOUBLE) AS elapsed_human
         FROM st JOIN nation ON sp = n_name JOIN (SELECT sp, count(*) FILTER (v <> 'complete') AS issues,
-          CAST(sum(got) AS BIGINT) AS rows, count(*) AS pages, string_agg(CASE WHEN v <> 'complete' THEN
-            'page=' || page_index || ' start=' || start || ' rows=' || got || ', expected=' || page_size END, ' | '
-            ORDER BY page_index) AS detail FROM checked GROUP BY sp) r USING (sp)""",
+          CAST(sum(got) AS BIGINT) AS rows, count(*) AS pages FROM checked GROUP BY sp) r USING (sp)""",
         _ROWS,
         _PLAN,
         _TASKS,
@@ -238,24 +253,65 @@ def a31_j11_species_manifest(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_nationkey") + 0.5).alias("elapsed_seconds"),
     )
     return planning.manifest(results, targets).select(
-        *"key common_name page_validation_issue_count rows_written pages_written page_validation_detail "
+        *"key common_name page_validation_issue_count rows_written pages_written "
         "reported_total_records partition_coverage_status elapsed_human".split()
     )
 
 
+@query(
+    "a31_page_issues",
+    with_occ(
+        """SELECT sp AS query_species_key, row_number() OVER (PARTITION BY sp ORDER BY page_index) AS issue, page_index,
+        'page=' || page_index || ' start=' || start || ' rows=' || got || ', expected=' || page_size AS detail
+        FROM checked WHERE v <> 'complete'""",
+        _ROWS,
+        _PLAN,
+        _TASKS,
+    ),
+)
+def a31_page_issues(spark: SparkSession, folder: str) -> DataFrame:
+    tasks = _tasks(spark, folder)
+    return planning.page_issues(planning.page_validation(tasks, _landed(tasks)))
+
+
+@query(
+    "k2_one_species",
+    with_occ(
+        f"""SELECT sp, before + unnest(range(0, pages)) AS page_index, label FROM (SELECT *, CAST(coalesce(sum(pages) OVER (
+          PARTITION BY sp ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+          FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'one' ELSE family END AS sp,
+            'order=' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS label, CAST(ceil(count(*) / 2.0) AS BIGINT) AS pages
+            FROM occ GROUP BY ALL))"""
+    ),
+)
+def k2_one_species(spark: SparkSession, folder: str) -> DataFrame:
+    """A partition per order, a third of them of one species."""
+    rows = occurrences(spark, folder, ["l_orderkey", "family"])
+    sp = F.when(F.col("l_orderkey") % 3 == 0, "one").otherwise(F.col("family"))
+    label = F.concat(F.lit("order="), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"))
+    plan = rows.groupBy(sp.alias("sp"), label.alias("label")).agg(F.count(F.lit(1)).alias("total_records"))
+    return planning.page_tasks(plan, "sp", 2).select("sp", "page_index", F.col("partition_label").alias("label"))
+
+
 @query(
     "a29_a30_x10_run_report",
     with_occ(
         """SELECT family AS source_family, CAST(sum(n) AS BIGINT) AS records_reported, CAST(sum(rows) AS BIGINT) AS rows_fetched,
-        CAST(0 AS BIGINT) AS failed_species_count, CAST(sum(issues) AS BIGINT) AS failed_page_count,
-        CASE WHEN sum(issues) > 0 THEN 'incomplete_failed_or_partial_pages' WHEN bool_or(status <> 'complete')
+        count(*) FILTER (rows = 0) AS failed_species_count, CAST(sum(issues) AS BIGINT) AS failed_page_count,
+        kept AS rows_kept_after_dedupe, input - kept AS rows_dropped,
+        CASE WHEN bool_or(rows = 0) THEN 'incomplete_failed_species' WHEN sum(issues) > 0 THEN 'incomplete_failed_or_partial_pages' WHEN bool_or(status <> 'complete')
           THEN 'best_effort_partition_limited' ELSE 'complete' END AS coverage_status,
         string_agg(DISTINCT status, ' | ' ORDER BY status) AS partition_coverage_statuses
         FROM st JOIN (SELECT sp, count(*) FILTER (v <> 'complete') AS issues, sum(got) AS rows FROM checked GROUP BY sp)
-          USING (sp) JOIN (SELECT DISTINCT sp, family FROM rws) USING (sp) GROUP BY family""",
+          USING (sp) JOIN (SELECT DISTINCT sp, family FROM rws) USING (sp)
+          JOIN (SELECT family, count(*) AS input, count(DISTINCT CASE WHEN uuid <> '' THEN 'u' || uuid ELSE
+            "scientificName" || '|' || "eventDate" END) AS kept FROM occ GROUP BY family) USING (family)
+        GROUP BY family, input, kept""",
         _ROWS,
         _PLAN,
-        _TASKS,
+        _TASKS.replace("CASE page_index % 7 WHEN 0", f"CASE WHEN sp = '{_NEVER}' THEN 0 ELSE CASE page_index % 7 WHEN 0").replace(
+            "ELSE page_size END AS got", "ELSE page_size END END AS got"
+        ),
     ),
 )
 def a29_a30_x10_run_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,4 +319,7 @@ def a29_a30_x10_run_report(spark: SparkSession, folder: str) -> DataFrame:
     plan = planning.partition_plan(rows, window=_WINDOW)
     tasks = planning.page_tasks(plan, size=_SIZE)
     targets = rows.select(F.col(_SPECIES).alias("key"), F.col("family").alias("source_family")).distinct()
-    return run_report(tasks, _landed(tasks), plan, targets)
+    records = occurrences(spark, folder, ["uuid", "scientificName", "eventDate", "family"])
+    merged = dedupe_metrics(records.withColumn("source_family", F.col("family")), "source_family")
+    landed = _landed(tasks).where(F.col(_SPECIES) != _NEVER)
+    return run_report(tasks, landed, plan, targets, merged=merged)

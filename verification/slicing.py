@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.operators import grid, slicer
+from occspark.operators.rownumber import row_numbers
 from occspark.operators.slicer import SlicerState
 from occspark.sources.star_view import occurrences
 from verification.inputs import (
@@ -65,15 +66,28 @@ def a1_grid_cube_enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "o1_cube_order",
-    f"""WITH {CUBE}, ordered AS (SELECT row_number() OVER (ORDER BY lat_bin NULLS LAST, lon_bin NULLS LAST,
+    f"""WITH {CUBE} SELECT row_number() OVER (ORDER BY lat_bin NULLS LAST, lon_bin NULLS LAST,
       family NULLS LAST, genus NULLS LAST, species NULLS LAST, "scientificName" NULLS LAST,
-      year NULLS LAST, "stateProvince" NULLS LAST) AS rn, * FROM cube)
-    SELECT lat_bin, lon_bin, family, genus, species, "scientificName", year, "stateProvince", record_count
-    FROM ordered ORDER BY rn""",
+      year NULLS LAST, "stateProvince" NULLS LAST) AS place, lat_bin, lon_bin, family, genus, species, "scientificName",
+      year, "stateProvince", record_count FROM cube""",
 )
 def o1_cube_order(spark: SparkSession, folder: str) -> DataFrame:
-    ordered = grid.cube_order(plain_cube(spark, folder))
-    return ordered.select("lat_bin", "lon_bin", *grid.CUBE_DIMENSIONS, "record_count")
+    """The cube in its stored order, with each row's place in it."""
+    placed = row_numbers(plain_cube(spark, folder), grid.CUBE_ORDER, "place")
+    return placed.select("place", "lat_bin", "lon_bin", *grid.CUBE_DIMENSIONS, "record_count")
+
+
+@query(
+    "w6_row_numbers",
+    with_occ(
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY family NULLS LAST,
+        genus NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_number FROM occ"""
+    ),
+)
+def w6_row_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    rows = occurrences(spark, folder, [*keys, "family", "genus"])
+    return row_numbers(rows, ["family", "genus", *keys]).select(*keys, "row_number")
 
 
 @query(
