@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+import types
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -39,6 +41,7 @@ _AHEAD, _SHORT = 2, 3
 STRETCH = 1 << 20
 #: Pieces whose tokens a worker remembers, and the longest such piece in code points.
 MEMO, MEMO_POINTS = 400_000, 64
+_KEPT = "byte_bpe_codecs_of_this_worker"
 
 
 def tokenizer_path(name: str) -> str:
@@ -73,6 +76,7 @@ class Codec:
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     # Which tokens may stand side by side
 
@@ -191,10 +195,12 @@ class Codec:
         for piece in pieces:
             found = memo.get(piece)
             if found is None:
-                found = self.encode_piece(piece.encode())
+                found = self.older.get(piece) or self.encode_piece(piece.encode())
                 if len(piece) <= MEMO_POINTS:
                     if len(memo) >= MEMO:
-                        memo.clear()
+                        # The full one steps back; what is asked for again returns from it.
+                        self.older, self.memo = memo, {}
+                        memo = self.memo
                     memo[piece] = found
             ids += found
         return ids
@@ -314,7 +320,16 @@ class Encoded:
 
 
 def _codec(path: str, pattern: str) -> Codec:
-    return Codec(read_ranks(path), pattern)
+    """The codec of a worker process, with the pieces it remembers from earlier tasks.
+
+    Functions that travel to a task bring their module's variables along anew, so it is kept beside
+    the process's modules instead.
+    """
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
+    name = f"{path}|{pattern}"
+    if name not in kept:
+        kept[name] = Codec(read_ranks(path), pattern)
+    return kept[name]
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -71,7 +71,7 @@ def same(a, b) -> bool:
 
 
 TURNS = (
-    "conv_id long, depth int, node string, parent string, root string, position long, length long, role string, "
+    "conv_id string, depth int, node string, parent string, root string, position long, length long, role string, "
     "loss_begin int, loss_end int, piece string, path string, last boolean"
 )
 
@@ -81,7 +81,8 @@ def keyed_turns(turns: DataFrame, measure: Callable[[str], int] = len) -> DataFr
     bound_batches(turns.sparkSession)
     ordered = (
         turns.select(
-            F.col("conv_id").cast("long").alias("conv_id"),
+            # Identifiers travel as text: a null beside it turns a long column into doubles in pandas.
+            F.col("conv_id").cast("string").alias("conv_id"),
             "turn",
             F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -110,19 +111,15 @@ def keyed_turns(turns: DataFrame, measure: Callable[[str], int] = len) -> DataFr
                 root = root or node
                 path.append(node[:16])
                 length = measure(piece)
-                owner = None if pd.isna(conv_id) else int(conv_id)
-                held = (owner, depth, node, parent, root, position, length, role, *loss_range(role, text), piece)
+                held = (conv_id, depth, node, parent, root, position, length, role, *loss_range(role, text), piece)
                 parent, position, depth = node, position + length, depth + 1
             if out:
-                yield _typed(pd.DataFrame(out, columns=names))
+                yield pd.DataFrame(out, columns=names)
         if held:
-            yield _typed(pd.DataFrame([(*held, "".join(path), True)], columns=names))
+            yield pd.DataFrame([(*held, "".join(path), True)], columns=names)
 
-    return ordered.select("conv_id", "role", "text").mapInPandas(stream, TURNS)
-
-
-def _typed(frame: pd.DataFrame) -> pd.DataFrame:
-    return frame.astype({"conv_id": "Int64"})
+    keyed = ordered.select("conv_id", "role", "text").mapInPandas(stream, TURNS)
+    return keyed.withColumn("conv_id", F.col("conv_id").cast(turns.schema["conv_id"].dataType))
 
 
 def build(turns: DataFrame, measure: Callable[[str], int] = len) -> tuple[DataFrame, DataFrame]:
@@ -184,7 +181,7 @@ def _intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 READ = (
-    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 )
 
 
@@ -202,8 +199,7 @@ def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
         turns, learnt = hashlib.sha256(), hashlib.sha256()
 
         def result() -> tuple:
-            owner = None if pd.isna(now) else int(now)
-            return owner, count, turns.hexdigest(), loss, learnt.hexdigest(), size
+            return now, count, turns.hexdigest(), loss, learnt.hexdigest(), size
 
         names = [c.split()[0] for c in READ.split(", ")]
         for batch in batches:
@@ -221,11 +217,13 @@ def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
                 learnt.update(masked.encode())
                 count, loss, size = count + 1, loss + len(masked), size + len(piece)
             if out:
-                yield _typed(pd.DataFrame(out, columns=names))
+                yield pd.DataFrame(out, columns=names)
         if begun:
-            yield _typed(pd.DataFrame([result()], columns=names))
+            yield pd.DataFrame([result()], columns=names)
 
-    return pieces.select("conv_id", "piece", "loss_begin", "loss_end").mapInPandas(digest, READ)
+    texts = pieces.select(F.col("conv_id").cast("string").alias("conv_id"), "piece", "loss_begin", "loss_end")
+    read = texts.mapInPandas(digest, READ)
+    return read.withColumn("conv_id", F.col("conv_id").cast(members.schema["conv_id"].dataType))
 
 
 def with_probe(turns: DataFrame) -> DataFrame:
@@ -234,7 +232,9 @@ def with_probe(turns: DataFrame) -> DataFrame:
     probe = turns.sparkSession.createDataFrame(
         [(-1, 0, "user", text), (-1, 1, LEARNT, text)], "conv_id long, turn int, role string, text string"
     )
-    return turns.select("conv_id", "turn", "role", "text").unionByName(probe)
+    kind = turns.schema["conv_id"].dataType
+    own = turns.select("conv_id", "turn", "role", "text")
+    return own.unionByName(probe.withColumn("conv_id", F.col("conv_id").cast(kind)))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ of 20,000 has a similarity near zero however it is partitioned. So the signature
 Items are partitioned by size. All items of a partition get a bottom-k MinHash signature whose
 length k exceeds the number of shingles that the partition's largest item may miss, so a document
 that contains the item has at least one signature shingle: the candidate search loses nothing.
-Candidates are verified by the exact containment of their shingles, as text.
+Only rows with a candidate are looked at again: the exact containment of the candidates' shingles,
+compared as text, decides.
 
-Items are joined in blocks of at most ``BLOCK_SHINGLES`` shingles (one item more at most); each
-block is broadcast and meets every document in one pass without a shuffle.
+Different item texts are joined in blocks of about ``BLOCK_SHINGLES`` words; each block is broadcast and
+meets every document in one pass without a shuffle. Item identifiers are joined to the hits.
 
 Defined cases: items and documents that are null or have no words match nothing; an item of fewer
 than five words has one shingle, all its words; a document that repeats a passage counts it once;
@@ -29,7 +30,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from occspark.llm.langid import fresh
 from occspark.llm.store import bound_batches
@@ -44,14 +44,12 @@ _FILTER_BITS = 20
 
 @dataclass
 class Index:
-    """A block of items: signature hashes, all shingle hashes, and the shingles as text with their items."""
+    """A block of different item texts: signature hashes with their items, and each item's shingles with their hashes."""
 
-    ids: list
-    totals: np.ndarray
+    texts: list[str]
     signature: np.ndarray
-    every: np.ndarray
     signature_items: list[list[int]]
-    shingles: dict[bytes, list[int]]
+    shingles: list[dict[bytes, int]]
     sizes: list[int]
     threshold: float
 
@@ -102,14 +100,11 @@ def shingle_hashes(shingles: list[bytes]) -> np.ndarray:
     return values
 
 
-def build(items: list[tuple], threshold: float) -> Index:
-    """The index of one block of (item_id, text)."""
-    listed = [(i, s) for (i, _), s in zip(items, item_shingles([t for _, t in items]), strict=True) if s]
-    by_text: dict[bytes, list[int]] = {}
-    for number, (_, own) in enumerate(listed):
-        for shingle in own:
-            by_text.setdefault(shingle, []).append(number)
-    hashes = dict(zip(by_text, shingle_hashes(list(by_text)).tolist(), strict=True))
+def build(texts: list[str], threshold: float) -> Index:
+    """The index of one block of different texts."""
+    listed = [(t, s) for t, s in zip(texts, item_shingles(texts), strict=True) if s]
+    different = list(dict.fromkeys(s for _, own in listed for s in own))
+    hashes = dict(zip(different, shingle_hashes(different).tolist(), strict=True))
     # Partitions by size double; the signature serves the largest item of its partition.
     partition = [len(own).bit_length() for _, own in listed]
     largest = {p: max(len(own) for (_, own), q in zip(listed, partition, strict=True) if q == p) for p in set(partition)}
@@ -120,66 +115,79 @@ def build(items: list[tuple], threshold: float) -> Index:
             chosen.setdefault(value, []).append(number)
     signature = sorted(chosen)
     return Index(
-        [i for i, _ in listed],
-        np.array([len(own) for _, own in listed]),
+        [t for t, _ in listed],
         np.array(signature, dtype=np.uint64),
-        np.unique(np.array(list(hashes.values()), dtype=np.uint64)),
         [chosen[v] for v in signature],
-        by_text,
-        sorted({s.count(b" ") + 1 for s in by_text}),
+        [{s: hashes[s] for s in own} for _, own in listed],
+        sorted({s.count(b" ") + 1 for s in different}),
         threshold,
     )
 
 
-def contained(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, float]]:
-    """(row, item number, containment) of the texts of a column that contain an item."""
+def candidates(index: Index, texts: pa.Array) -> dict[int, set[int]]:
+    """Rows that hold a signature hash, with the items it belongs to. Only hashes are looked at."""
+    found: dict[int, set[int]] = {}
     if not len(index.signature):
-        return
-    signature_sieve, every_sieve = sieve(index.signature), sieve(index.every)
-    candidates: set[tuple[int, int]] = set()
-    matched: dict[int, set[bytes]] = {}
+        return found
+    table = sieve(index.signature)
     for block in blocks(*lowered(texts), PUNCTUATION, SHINGLE - 1):
+        w = words(block, PUNCTUATION)
+        hashes = w.hashes()
+        for size in index.sizes:
+            heads, text = w.shingles(size)
+            for at, place in zip(*present(combined(hashes, heads, size), table, index.signature), strict=True):
+                found.setdefault(int(block.rows[text[at]]), set()).update(index.signature_items[place])
+    return found
+
+
+def contained(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, float]]:
+    """(row, item number, containment) of the texts of a column that contain an item.
+
+    Shingles are compared as text for candidate rows alone, and only with those of the row's candidates.
+    """
+    met = candidates(index, texts)
+    if not met:
+        return
+    rows = sorted(met)
+    near = set().union(*met.values())
+    wanted = np.unique(np.array([h for i in near for h in index.shingles[i].values()], dtype=np.uint64))
+    table = sieve(wanted)
+    matched: list[set[bytes]] = [set() for _ in rows]
+    for block in blocks(*lowered(texts.take(pa.array(rows))), PUNCTUATION, SHINGLE - 1):
         w = words(block, PUNCTUATION)
         hashes = w.hashes()
         # Parts of a long text share words, so short runs may be seen twice: matches are kept as sets.
         for size in index.sizes:
             heads, text = w.shingles(size)
-            values = combined(hashes, heads, size)
-            for at, place in zip(*present(values, signature_sieve, index.signature), strict=True):
-                row = int(block.rows[text[at]])
-                candidates.update((row, item) for item in index.signature_items[place])
-            at, _ = present(values, every_sieve, index.every)
+            at, _ = present(combined(hashes, heads, size), table, wanted)
             for head, row in zip(heads[at].tolist(), block.rows[text[at]].tolist(), strict=True):
-                matched.setdefault(row, set()).add(w.data[w.starts[head] : w.ends[head + size - 1]].tobytes())
-    for row in sorted({r for r, _ in candidates}):
-        counts: dict[int, int] = {}
-        for shingle in matched.get(row, ()):
-            for item in index.shingles.get(shingle, ()):
-                counts[item] = counts.get(item, 0) + 1
-        for item, count in sorted(counts.items()):
-            share = count / int(index.totals[item])
-            if (row, item) in candidates and share >= index.threshold:
+                matched[row].add(w.data[w.starts[head] : w.ends[head + size - 1]].tobytes())
+    for row, own in zip(rows, matched, strict=True):
+        for item in sorted(met[row]):
+            share = len(own & index.shingles[item].keys()) / len(index.shingles[item])
+            if share >= index.threshold:
                 yield row, item, share
 
 
-def item_blocks(items: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Iterator[list[tuple]]:
-    """Items in blocks of bounded size: the number of blocks follows the benchmark's word count."""
+def item_blocks(items: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Iterator[list[str]]:
+    """Different item texts in blocks of about this many words: the number of blocks follows the benchmark's.
+
+    Copies of an item are one text here, so a text that fills a third of the benchmark fills no block.
+    """
     bound_batches(items.sparkSession)
-    items = items.select("item_id", F.col("text").cast("string").alias("text"))
-    size = F.coalesce(F.size(F.split("text", r"\s+")), F.lit(0))
-    total = items.agg(F.sum(size)).first()[0] or 0
+    texts = items.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
+    size = F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    total = texts.agg(F.sum(size)).first()[0] or 0
     count = max(1, -(-total // block_shingles))
     block = F.pmod(F.xxhash64("text"), F.lit(count))
     for number in range(count):
-        yield [tuple(r) for r in items.where(F.coalesce(block, F.lit(0)) == number).collect()]
+        yield sorted(r[0] for r in texts.where(block == number).collect())
 
 
 def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, containment) of every item in every document of (doc_id, text)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kinds = {"doc_id": docs.schema["doc_id"].dataType, "item_id": items.schema["item_id"].dataType}
-    item_type = to_arrow_type(kinds["item_id"])
-    schema = ", ".join(f"{n} {t.simpleString()}" for n, t in kinds.items()) + ", containment double"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_text string, containment double"
     result = None
     for block in item_blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(build(block, threshold))
@@ -192,15 +200,16 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(rows),
-                        pa.array([index.ids[i] for _, i, _ in hits], item_type),
+                        pa.array([index.texts[i] for _, i, _ in hits], pa.string()),
                         pa.array([s for _, _, s in hits], pa.float64()),
                     ],
-                    ["doc_id", "item_id", "containment"],
+                    ["doc_id", "item_text", "containment"],
                 )
 
         part = docs.mapInArrow(search, schema)
         result = part if result is None else result.union(part)
-    return result
+    named = items.select("item_id", F.col("text").cast("string").alias("item_text"))
+    return result.join(named, "item_text").select("doc_id", "item_id", "containment")
 
 
 def leaks(index, text: Column) -> Column:

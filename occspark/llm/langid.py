@@ -130,16 +130,28 @@ def document_frequencies(rows: DataFrame, text: str) -> tuple[np.ndarray, int]:
     return df, texts
 
 
-def fit(rows: DataFrame, text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from all rows with a label. ``sample_rows`` bounds the rows of the gradient steps."""
+def fit(
+    rows: DataFrame,
+    text: str = "text",
+    label: str = "lang",
+    sample_rows: int = SAMPLE_ROWS,
+    max_languages: int = MAX_LANGUAGES,
+) -> Model:
+    """Learn from all rows with a label. ``sample_rows`` bounds the rows of the gradient steps.
+
+    A model has a column of weights per language, so ``max_languages`` bounds them: labels beyond that
+    many with most rows (ties by name) count for document frequencies but are never predicted.
+    """
     bound_batches(rows.sparkSession)
     rows = rows.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label")).where("label is not null")
     counts = {
         r["label"]: r["n"]
-        for r in rows.groupBy("label").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+        for r in rows.groupBy("label")
+        .agg(F.count("*").alias("n"))
+        .orderBy(F.col("n").desc(), "label")
+        .limit(max_languages)
+        .collect()
     }
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"More than {MAX_LANGUAGES} languages; clean the labels first.")
     languages = sorted(counts)
     df, texts = document_frequencies(rows, "text")
     idf = np.log((1 + texts) / (1 + df)) + 1

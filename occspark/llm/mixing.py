@@ -4,7 +4,8 @@ Documents are counted once into cells (source, language, topic) with their token
 iterative happens on the cells. A sweep rescales the cells' token weights so that each margin in
 turn meets its target; sweeps end when no factor differs from 1 by more than ``TOLERANCE``. A
 document's weight is its cell's fitted tokens over the cell's tokens, and its probability is that
-weight over the largest one, so the expected sample meets every margin exactly. A document is drawn
+weight over the largest one, so the expected sample meets every margin to within ``deviation``, which is
+returned: more than ``TOLERANCE`` only if targets contradict each other or the sweeps ran out. A document is drawn
 if a hash of its identifier and text falls below its probability: repeatable, and equal for equal rows.
 
 With a budget (tokens of the sample over tokens of the input) a document is expected weight * budget times: the whole
@@ -71,7 +72,10 @@ def measures(text: Column) -> Column:
 
 
 def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
-    """(margin, share): token shares raised to ``power`` and made to add up to 1 again."""
+    """(margin, share): token shares raised to ``power`` and made to add up to 1 again.
+
+    Each margin is tempered by itself, so where cells are missing the targets may contradict each other.
+    """
     totals = cells.groupBy(margin).agg(F.pow(F.sum("tokens").cast("double"), power).alias("raw"))
     whole = totals.agg(F.sum("raw").alias("whole"))
     # One row; a join with it is a broadcast of 8 bytes.
@@ -85,12 +89,16 @@ def rake(
     sweeps: int = SWEEPS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Cells with ``weight``, the tokens that meet all targets. ``cells`` has the margins (no nulls) and tokens."""
+    """Cells with ``weight``, the tokens that meet all targets. ``cells`` has the margins (no nulls) and tokens.
+
+    ``deviation`` is the largest share by which a margin still missed its target in the last sweep: at most
+    ``tolerance``, unless the targets contradict each other or ``sweeps`` ran out.
+    """
     targets = targets or {}
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
-        return now
+        return now.withColumn("deviation", F.lit(0.0))
     shares = {m: fresh(cells, f"_share_{m}") for m in margins}
     for m in margins:
         target = targets.get(m) or tempered(cells, m)
@@ -110,7 +118,7 @@ def rake(
         now = now.drop(*factors)
         if moved is None or moved <= tolerance:
             break
-    return now.drop(*shares.values())
+    return now.drop(*shares.values()).withColumn("deviation", F.lit(float(moved or 0.0)))
 
 
 def probabilities(
@@ -138,9 +146,9 @@ def probabilities(
     cells = cut(base.groupBy(*keys).agg(F.sum("tokens").alias("tokens")))
     fitted = rake(cells, keys, targets)
     weight = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0)
-    fitted = cut(fitted.select(*keys, weight.alias("weight")))
+    fitted = cut(fitted.select(*keys, weight.alias("weight"), "deviation"))
     most = fitted.agg(F.max("weight")).first()[0] or 1.0
-    times = F.col("weight") * (rate / most if budget is None else rate * budget)
+    times = F.col("weight") / most * rate if budget is None else F.col("weight") * (rate * budget)
     found = base.join(fitted, keys).withColumn("probability", F.least(F.lit(1.0), times))
     draws = (F.floor(times) + (F.col("_draw") < times - F.floor(times)).cast("long")).alias("draws")
     kept = (F.col("_draw") < F.col("probability")).alias("kept")
@@ -150,6 +158,7 @@ def probabilities(
         F.col("_topic").alias("topic"),
         "tokens",
         "weight",
+        "deviation",
         "probability",
         kept,
         *([] if budget is None else [draws]),
@@ -164,16 +173,15 @@ def mix(docs: DataFrame, budget: float | None = None) -> DataFrame:
 def sample(docs: DataFrame, rate: float = 1.0, budget: float | None = None) -> DataFrame:
     """The drawn documents, with ``budget`` once per draw; columns unchanged. Equal rows are drawn or left together."""
     drawn = probabilities(docs, rate=rate, budget=budget).where("kept")
-    names = {n: fresh(docs, f"_{n}") for n in ("doc_id", "source", "lang", "_draw", "draws")}
+    taken = {n: fresh(docs, f"_{n}_drawn") for n in ("doc_id", "source", "lang", "_draw", "draws")}
+    draw, number = fresh(docs, "_draw"), fresh(docs, "_number")
     copies = F.lit(1).cast("long") if budget is None else F.col("draws")
-    chosen = drawn.withColumn("draws", copies).select(*[F.col(n).alias(f"{m}c") for n, m in names.items()]).distinct()
-    draw = names["_draw"]
+    chosen = drawn.withColumn("draws", copies).select(*[F.col(n).alias(m) for n, m in taken.items()]).distinct()
     own = F.pmod(F.xxhash64("doc_id", F.col("text").cast("string")), F.lit(1 << 50)) / float(1 << 50)
-    same = F.col(draw) == F.col(f"{draw}c")
-    same = same & F.col("doc_id").eqNullSafe(F.col(f"{names['doc_id']}c"))
+    same = (F.col(draw) == F.col(taken["_draw"])) & F.col("doc_id").eqNullSafe(F.col(taken["doc_id"]))
     for n in ("source", "lang"):
-        same = same & F.col(n).cast("string").eqNullSafe(F.col(f"{names[n]}c"))
+        same = same & F.col(n).cast("string").eqNullSafe(F.col(taken[n]))
     found = docs.withColumn(draw, own).join(chosen, same)
     if budget is not None:
-        found = found.withColumn(names["draws"], F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{names['draws']}c"))))
-    return found.drop(draw, names["draws"], *[f"{m}c" for m in names.values()])
+        found = found.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col(taken["draws"]))))
+    return found.drop(draw, number, *taken.values())

@@ -188,17 +188,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     with its smallest identifier the one with the smallest fingerprint and then the smallest text is kept; a group with
     null identifiers only is treated likewise.
     """
-    key, fp, root = (fresh(docs, name) for name in ("_id", "_fp", "_root"))
+    key, fp, root, first, first_fp = (fresh(docs, name) for name in ("_id", "_fp", "_root", "_first_id", "_first_fp"))
     # Nulls come last; every group has one leader.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp")
     leaders = groups(docs).groupBy("root").agg(F.min(order).alias("_first"))
-    leaders = leaders.select(F.col("root").alias(root), F.col("_first.doc_id").alias(f"{key}l"), F.col("_first.fp").alias(f"{fp}l"))
+    leaders = leaders.select(F.col("root").alias(root), F.col("_first.doc_id").alias(first), F.col("_first.fp").alias(first_fp))
     base = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(fp, fingerprints_column(F.col("text")))
-    found = base.join(leaders, (F.col(fp) == F.col(f"{fp}l")) & F.col(key).eqNullSafe(F.col(f"{key}l")))
+    found = base.join(leaders, (F.col(fp) == F.col(first_fp)) & F.col(key).eqNullSafe(F.col(first)))
     # Rows equal in identifier and fingerprint are left to choose from.
     total = ["text", *[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]]
     place = Window.partitionBy(root).orderBy(*total)
-    return found.withColumn(key, F.row_number().over(place)).where(F.col(key) == 1).drop(key, fp, root, f"{key}l", f"{fp}l")
+    return found.withColumn(key, F.row_number().over(place)).where(F.col(key) == 1).drop(key, fp, root, first, first_fp)
 
 
 def fingerprints_column(text):

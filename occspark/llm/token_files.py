@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,8 +39,8 @@ FILE_TOKENS = 1 << 27
 _WIDTH = 2
 
 
-@lru_cache(maxsize=1)
 def encoding(path: str):
+    """The tokenizer; a plain function, as it travels to executors that need no copy of this package."""
     import tiktoken
 
     with open(path, "rb") as lines:
@@ -72,12 +71,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, file_tokens:
             upload.close()
             yield _names(ids, upload.name)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(texts.mapInPandas(encode, "doc_id long, file string, ordinal long"))
+    # Identifiers travel as text: a null beside it turns a long column into doubles in pandas.
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = texts.mapInPandas(encode, "doc_id string, file string, ordinal long")
+    return stored(named.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
 def _names(ids: list, name: str) -> pd.DataFrame:
-    return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "file": name, "ordinal": np.arange(len(ids))})
+    return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "file": name, "ordinal": np.arange(len(ids))})
 
 
 def token_blocks(spark: SparkSession, folder: str, names: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:

@@ -33,20 +33,20 @@ READ_BYTES = 1 << 21
 GAP_BYTES = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 
-INDEX = "page_id long, url string, file string, offset long, length long, digest string, record_type string"
+INDEX = "page_id string, url string, file string, offset long, length long, digest string, record_type string"
 
 
 def typed(pages: DataFrame) -> DataFrame:
     """(page_id, url, html, digest, record_type, refers_to) of every page."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     base = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html")
+        "page_id", F.col("url").cast("string").alias("url"), payload.alias("html")
     ).withColumns({"digest": F.sha1("html"), "bytes": F.octet_length("html")})
     # Rows of the same page and payload are told apart by a number that a repeated task draws alike.
     base = base.withColumn("row", F.xxhash64("page_id", "url", "digest"))
     large = base.where(F.col("bytes") >= REVISIT_BYTES).select("digest", "page_id", "row")
     last = large.groupBy("digest").agg(
-        F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 63))), "row")).alias("last"), F.max("page_id").alias("refers")
+        F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "row")).alias("last"), F.max("page_id").alias("refers")
     )
     last = last.select("digest", F.col("last.row").alias("last_row"), "refers")
     revisit = F.col("last_row").isNotNull() & (F.col("row") != F.col("last_row")) & (F.col("bytes") >= REVISIT_BYTES)
@@ -93,7 +93,7 @@ def parsed(data: bytes) -> dict:
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if fields["WARC-Type"] == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"The payload of {fields['WARC-Record-ID']} doesn't match its digest.")
-    number = lambda name: int(fields[name][10:-1]) if fields.get(name, "<urn:page:>")[10:-1] else None
+    number = lambda name: fields.get(name, "<urn:page:>")[10:-1] or None
     return {
         "page_id": number("WARC-Record-ID"),
         "url": fields["WARC-Target-URI"],
@@ -114,8 +114,7 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
         upload, index = None, []
         for batch in batches:
             for page in batch.itertuples(index=False):
-                page_id = None if pd.isna(page.page_id) else int(page.page_id)
-                refers = None if pd.isna(page.refers_to) else int(page.refers_to)
+                page_id, refers = page.page_id, page.refers_to
                 url = "about:blank" if page.url is None else " ".join(page.url.split("\r\n"))
                 plain = record(page_id, url, page.html.encode(), page.digest, page.record_type, refers)
                 pack = zlib.compressobj(6, wbits=31)
@@ -132,12 +131,14 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
             upload.close()
             yield _rows(index)
 
-    return stored(typed(pages).mapInPandas(archive, INDEX))
+    # Identifiers travel as text: a null beside it turns a long column into doubles in pandas.
+    named = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    index = typed(pages).withColumns(named).mapInPandas(archive, INDEX)
+    return stored(index.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType)))
 
 
 def _rows(index: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(index, columns=[c.split()[0] for c in INDEX.split(", ")])
-    return frame.astype({"page_id": "Int64"})
+    return pd.DataFrame(index, columns=[c.split()[0] for c in INDEX.split(", ")])
 
 
 def ranges(offsets: np.ndarray, lengths: np.ndarray, gap: int, most: int) -> list[tuple[int, int]]:
@@ -176,15 +177,17 @@ def read(index: DataFrame, folder: str, read_bytes: int = READ_BYTES, gap_bytes:
                         data = reader.read(name, base, int(offsets[b - 1] + lengths[b - 1]) - base)
                         cuts = zip((offsets[a:b] - base).tolist(), lengths[a:b].tolist(), strict=True)
                         found = [parsed(zlib.decompress(data[o : o + n], wbits=31)) for o, n in cuts]
-                        frame = pd.DataFrame(found)
-                        yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                        yield pd.DataFrame(found)
         finally:
             reader.close()
 
-    return dealt.select("file", "offset", "length").mapInPandas(
+    records = dealt.select("file", "offset", "length").mapInPandas(
         fetch,
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
+        "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, "
+        "payload binary",
     )
+    kind = index.schema["page_id"].dataType
+    return records.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

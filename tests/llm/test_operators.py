@@ -146,7 +146,7 @@ def test_block_max_search_equals_brute_force():
         best, cosines = index.nearest(t, weights[at, t])
         brute = weights @ weights[at]
         order = np.lexsort((np.arange(examples), -np.round(brute, 12)))[: len(best)]
-        assert np.allclose(np.sort(brute[order])[::-1], cosines) and len(best) == min(15, (brute > 0).sum())
+        assert np.allclose(np.sort(brute[order])[::-1], cosines) and len(best) == min(toxicity.NEAREST, (brute > 0).sum())
 
 
 def test_toxic_near_copies_are_found_by_words_no_label_depends_on(spark):
@@ -579,3 +579,101 @@ def test_nothing_to_learn_from(spark):
     docs = documents(spark, [(1, "abc", None, None), (2, None, None, None)])
     assert {(r["lang_pred"], r["score"]) for r in langid.identify(docs).collect()} == {("und", 0.0)}
     assert langid.identify(docs.limit(0)).count() == 0
+
+
+# Identifiers, clashing names and other defined cases
+
+
+LARGE = 1 << 53
+
+
+def test_large_identifiers_stay_exact_beside_a_null(spark):
+    ids = [LARGE + 1, LARGE + 3, None, LARGE + 2]
+    docs = spark.createDataFrame([(i, "a b " * (n + 1)) for n, i in enumerate(ids)], "doc_id long, text string").coalesce(1)
+    counted = {r["doc_id"] for r in token_files.count_tokens(docs).collect()}
+    assert counted == set(ids)
+    turns = spark.createDataFrame([(i, 0, "user", f"say {i}") for i in ids], "conv_id long, turn int, role string, text string")
+    found = {r["conv_id"]: r["n_turns"] for r in chat_tree.format_conversations(turns.coalesce(1)).collect()}
+    assert found == {-1: 2} | dict.fromkeys(ids, 1)
+    html = "x" * 2_000
+    pages = spark.createDataFrame([(i, "u", html) for i in ids] + [(LARGE + 9, "u", "y")], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.round_trip(pages.coalesce(1)).collect()}
+    revisit = ("revisit", LARGE + 3)
+    assert got == {None: revisit, LARGE + 1: revisit, LARGE + 2: revisit, LARGE + 3: ("response", None), LARGE + 9: ("response", None)}
+
+
+def test_identifiers_may_be_text(spark):
+    docs = spark.createDataFrame([("a-1", "x y"), (None, "z")], "doc_id string, text string")
+    assert {(r["doc_id"]) for r in token_files.count_tokens(docs).collect()} == {"a-1", None}
+    pages = spark.createDataFrame([("p", "u", "h" * 1_500), ("q", "u", "h" * 1_500)], "page_id string, url string, html string")
+    assert {(r["page_id"], r["refers_to"]) for r in warc.round_trip(pages).collect()} == {("p", "q"), ("q", None)}
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, [])
+    items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    assert token_files.count_tokens(docs).count() == 0
+    assert simhash.near_duplicates(docs.select("doc_id", "text")).count() == 0
+    assert secrets.scan(docs).count() == 0
+    assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert decontaminate.find(docs, items).count() == 0
+    assert decontaminate.find(documents(spark, [(1, "a b c d e f", "x", "y")]), items.limit(0)).count() == 0
+    turns = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
+    assert [r["conv_id"] for r in chat_tree.format_conversations(turns).collect()] == [-1]
+
+
+def test_columns_named_like_the_operators_own(spark):
+    rows = [(i, prose(i % 3, 40), "de", "s") for i in range(6)]
+    docs = documents(spark, rows)
+    for name in ("_idl", "_fpl", "_root", "_first_id", "_first_fp", "_doc_idc", "_doc_id_drawn", "_draw", "_number", "_leak"):
+        docs = docs.withColumn(name, F.lit(1))
+    assert simhash.keep_one(docs).columns == docs.columns and simhash.keep_one(docs).count() == 3
+    drawn = mixing.sample(docs, budget=1.0)
+    assert drawn.columns == docs.columns and drawn.count() > 0
+    items = spark.createDataFrame([(1, prose(0, 40))], "item_id long, text string")
+    assert decontaminate.keep_clean(docs, items).columns == docs.columns
+
+
+def test_more_labels_than_languages_are_learnt(spark):
+    rows = [(i, f"wort und satz {i}", "de") for i in range(40)] + [(100 + i, f"word and line {i}", "en") for i in range(40)]
+    rows += [(1_000 + i, f"zz{i} qq", f"dirt{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, max_languages=2)
+    assert model.languages == ["de", "en"]
+    with_all = langid.fit(docs)
+    assert len(with_all.languages) == 32
+
+
+def test_what_default_targets_miss_with_structural_zeros_is_returned(spark):
+    rows = [("A", "de", 500), ("B", "de", 200), ("C", "en", 300)]
+    cells = spark.createDataFrame(rows, "source string, lang string, tokens long")
+    assert mixing.rake(cells, ["source", "lang"], sweeps=6).first()["deviation"] > 0.01
+    full = spark.createDataFrame([*rows, ("A", "en", 400), ("B", "en", 300), ("C", "de", 350)], cells.schema)
+    assert mixing.rake(full, ["source", "lang"]).first()["deviation"] <= mixing.TOLERANCE
+
+
+def test_what_contradicting_targets_miss_is_returned(spark):
+    cells = spark.createDataFrame([("A", "de", 500), ("C", "en", 500)], "source string, lang string, tokens long")
+    targets = {
+        "source": spark.createDataFrame([("A", 0.9), ("C", 0.1)], "source string, share double"),
+        "lang": spark.createDataFrame([("de", 0.5), ("en", 0.5)], "lang string, share double"),
+    }
+    assert mixing.rake(cells, ["source", "lang"], targets, sweeps=4).first()["deviation"] > 0.1
+
+
+def test_only_rows_with_a_signature_hash_are_verified():
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    texts = [f"{prose(i, 300)} {' '.join(item.split()[3:8])} {prose(i + 50, 300)}" for i in range(20)] + [f"a {item} b", None, ""]
+    index = decontaminate.build([item], 0.8)
+    column = pa.array(texts, pa.string())
+    met = decontaminate.candidates(index, column)
+    assert 20 in met and len(met) < len(texts)
+    assert [(r, i) for r, i, _ in decontaminate.contained(index, column)] == [(20, 0)]
+
+
+def test_copies_of_an_item_are_one_text_of_a_block(spark):
+    item = "one two three four five six seven"
+    items = spark.createDataFrame([(i, item) for i in range(50)] + [(99, None)], "item_id long, text string")
+    assert list(decontaminate.item_blocks(items)) == [[item]]
+    docs = documents(spark, [(1, f"x {item} y", "a", "b")])
+    assert {r["item_id"] for r in decontaminate.find(docs, items).collect()} == set(range(50))
