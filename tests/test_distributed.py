@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
-from occspark.operators import membership
+from occspark.operators import membership, profile
 from occspark.operators.rownumber import row_numbers, running_sums
 
 
@@ -70,3 +71,44 @@ def test_without_keys_or_beyond_the_bound(spark):
     assert membership.prefiltered(large, none, "key").count() == 0
     assert membership.prefiltered(large, large, "key", most_blocks=0).count() == 2
     assert membership.semi_join(none, large, "key").count() == 0
+
+
+def _cells(draw, rows=1_500):
+    kinds = [draw.choice(["a", "b", "c", None]) for _ in range(rows)]
+    skewed = [f"v{min(int(draw.expovariate(0.05)), 400)}" for _ in range(rows)]
+    unique = [f"u{i}" for i in range(rows)]
+    flag = [draw.choice([True, False, None]) for _ in range(rows)]
+    group = [draw.choice(["x", "y"]) for _ in range(rows)]
+    return list(zip(group, kinds, skewed, unique, flag, strict=True))
+
+
+@pytest.mark.parametrize("keys", [(), ("group",)])
+@pytest.mark.parametrize("most", [None, 20])
+def test_leading_values_equal_a_full_count(spark, keys, most, monkeypatch):
+    monkeypatch.setattr(profile.leading_values, "__defaults__", (64,))
+    rows = _cells(random.Random(3))
+    df = spark.createDataFrame(rows, "group string, kind string, skewed string, unique string, flag boolean").repartition(5)
+    full: dict = defaultdict(Counter)
+    for group, *cells in rows:
+        if not keys:
+            full[(), "group"][group] += 1
+        for column, value in zip(("kind", "skewed", "unique", "flag"), cells, strict=True):
+            text = str(value).lower() if isinstance(value, bool) else value
+            full[(group,) if keys else (), column][text] += 1
+    wanted = {}
+    for (key, column), counts in full.items():
+        if most is None or len(counts) <= most:
+            order = sorted(counts.items(), key=lambda c: (-c[1], c[0] is None, c[0] or ""))
+            wanted |= {(*key, column, i + 1): c for i, c in enumerate(order[:10])}
+    found = records(profile.top_values(df, keys=keys, max_categories=most))
+    assert {(*[r[k] for k in keys], r["column"], r["rank"]): (r["value"], r["count"]) for r in found} == wanted
+
+
+def test_only_buckets_that_reach_the_bound_are_counted(spark):
+    rows = [(f"hot{i % 12}",) for i in range(6_000)] + [(f"rare{i}",) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "v string")
+    counted = profile.leading_values(df, (), ["v"], 10)
+    assert counted.count() < 200  # of 3,012 values
+    assert profile.top_values(df.limit(0)).count() == 0
+    assert profile.top_values(df.limit(0), max_categories=5).count() == 0
+    assert profile.top_values(spark.range(3)).count() == 0
