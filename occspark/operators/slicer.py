@@ -13,7 +13,7 @@ from occspark.functions.keys import round_coordinate
 from occspark.functions.text import count_text, null_label, percent_text, share, year_range
 from occspark.operators.areas import area_columns
 from occspark.operators.grid import TAXON_DIMENSIONS
-from occspark.operators.skew import top_n
+from occspark.operators.skew import lookup_join, top_n
 from occspark.schema import CUBE_CONSERVATION_FIELDS, ensure_columns
 
 OTHER = "Other"
@@ -345,6 +345,17 @@ def all_share_bins(
     )
 
 
+def cell_shares(cube: DataFrame, color_by: str = "family", place: Sequence[str] = CELL) -> DataFrame:
+    """Records per place and value beside the place's total, with the value's share of it.
+
+    Totals are joined from the counts per (place, value), of which a place has one row per value.
+    """
+    counts = cube.groupBy(*place, F.col(color_by).alias("color_value")).agg(F.sum("record_count").alias("record_count"))
+    totals = counts.groupBy(*place).agg(F.sum("record_count").alias("total_record_count"))
+    joined = lookup_join(counts, totals, list(place), "inner")
+    return joined.withColumn("share", share(F.col("record_count"), F.col("total_record_count")))
+
+
 def _composition_rows(
     rows: DataFrame, place: Sequence[str], limit: int | None, top: int | None
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occspark.functions.text import is_probable_scientific_name, is_valid_facet_label, safe_key
+from occspark.schema import ensure_columns
 from occspark.operators.skew import lookup_join, reference_join, top_n
 
 # Ranks an authority may fill from, and its acceptance rule.
@@ -230,16 +231,18 @@ def discover_families(
 def name_facets(
     df: DataFrame, fields: Sequence[str] = ("species", "subspecies"), strict: bool = True
 ) -> DataFrame:
-    """X9 input: name facets of each field within order and family, from one scan."""
+    """X9 input: name facets of each field within class, order and family, from one scan."""
+    place = ["class", "order", "family"]
+    df = ensure_columns(df, {"classs": "string"}).withColumn("class", F.col("classs"))
     present = [f for f in fields if f in df.columns]
     pairs = F.array(
         *[F.struct(F.lit(f).alias("facet_field"), F.col(f).alias("scientific_name")) for f in present]
     )
     return (
-        df.select("order", "family", F.explode(pairs).alias("p"))
-        .select("order", "family", "p.*")
+        df.select(*place, F.explode(pairs).alias("p"))
+        .select(*place, "p.*")
         .where(F.col("scientific_name").isNotNull())
-        .groupBy("order", "family", "facet_field", "scientific_name")
+        .groupBy(*place, "facet_field", "scientific_name")
         .agg(F.count(F.lit(1)).alias("occurrence_count"))
         .where(is_probable_scientific_name("scientific_name", strict=strict))
         .withColumn(
@@ -257,9 +260,10 @@ def name_facets(
 def merge_taxa(facets: DataFrame, by_family: bool = False) -> DataFrame:
     """A5: one row per name; sorted sets joined by `` | ``, counts added up.
 
-    ``by_family`` is the family-scoped variant, where order and family are plain
+    ``by_family`` is the family-scoped variant, where class, order and family are plain
     values of the name and not sets.
     """
+    facets = ensure_columns(facets, {"class": "string"})
 
     def joined(c: str) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(c), F.lit("")))), " | ")
@@ -268,13 +272,14 @@ def merge_taxa(facets: DataFrame, by_family: bool = False) -> DataFrame:
     sets = [joined("facet_field"), joined("facet_fq")]
     total = F.sum("occurrence_count").alias("occurrence_count")
     if by_family:
-        place = [F.min(F.struct("order", "family")).alias("_place")]
+        place = [F.min(F.struct("order", "family", "class")).alias("_place")]
         grouped = facets.groupBy("scientific_name").agg(
             *place, sets[0].alias("facet_fields"), total, sets[1].alias("facet_fq")
         )
         return grouped.select(
             key.alias("key"),
             "scientific_name",
+            F.col("_place.class").alias("class"),
             F.col("_place.order").alias("order"),
             F.col("_place.family").alias("family"),
             "facet_fields",

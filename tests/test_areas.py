@@ -159,11 +159,11 @@ def test_unknown_level():
 
 def _area_bins(spark):
     rows = [
-        ("20101", "Ballarat", "A", "Alpha", "Alpha one", 2010, "Victoria", 6),
-        ("20101", "Ballarat", "A", "Alpha", "Alpha two", 2011, "Victoria", 2),
-        ("20101", "Ballarat", "B", "Beta", "Beta one", 2010, "Victoria", 3),
+        ("20101", "Ballarat", "A", "Norba", "Norba prima", 2010, "Victoria", 6),
+        ("20101", "Ballarat", "A", "Norba", "Norba sexta", 2011, "Victoria", 2),
+        ("20101", "Ballarat", "B", "Tessa", "Tessa minor", 2010, "Victoria", 3),
         ("20102", "Bendigo", "B", None, None, 2012, "Victoria", 4),
-        ("30101", "Cairns", "A", "Alpha", "Alpha one", 2010, "Queensland", 9),
+        ("30101", "Cairns", "A", "Norba", "Norba prima", 2010, "Queensland", 9),
     ]
     bins = spark.createDataFrame(
         rows,
@@ -193,10 +193,10 @@ def test_area_compositions(spark):
     genus = records(slicer.area_compositions(bins, shapes, SlicerState(include_families=["B"])))
     assert [(r["color_level"], r["dominant_value"]) for r in genus] == [
         ("genus", "not supplied"),
-        ("genus", "Beta"),
+        ("genus", "Tessa"),
     ]
     (top,) = records(slicer.area_compositions(bins, shapes, state, locked="species", top=1, limit=1))
-    assert [c["value"] for c in top["composition"]] == ["Alpha one", "Other"]
+    assert [c["value"] for c in top["composition"]] == ["Norba prima", "Other"]
     with pytest.raises(ValueError, match="identifier"):
         slicer.area_compositions(bins, shapes, state, code_column="x; drop")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from occspark.operators import grid, slicer
 from occspark.operators.slicer import SlicerState
+from occspark.sources import clustered
 
 CUBE_SCHEMA = (
     "lat_bin double, lon_bin double, family string, genus string, species string, scientificName string, "
@@ -32,15 +33,15 @@ def cube(spark, *rows):
 def shares(spark):
     return cube(
         spark,
-        (-37.8, 145.0, "A", "Alpha", "Alpha one", 2010, "Victoria", 6),
-        (-37.8, 145.0, "A", "Alpha", "Alpha two", 2011, "Victoria", 1),
-        (-37.8, 145.0, "B", "Beta", "Beta one", 2010, "Victoria", 3),
-        (-33.9, 151.2, "A", "Alpha", "Alpha one", 2010, "New South Wales", 5),
+        (-36.4, 146.3, "A", "Norba", "Norba prima", 2010, "Victoria", 6),
+        (-36.4, 146.3, "A", "Norba", "Norba sexta", 2011, "Victoria", 1),
+        (-36.4, 146.3, "B", "Tessa", "Tessa minor", 2010, "Victoria", 3),
+        (-31.2, 152.7, "A", "Norba", "Norba prima", 2010, "New South Wales", 5),
     )
 
 
 def many_genera(spark, n=10):
-    rows = [(-37.8, 145.0, "A", f"Genus {i}", f"Genus {i} x", 2010, "Victoria", n - i) for i in range(n)]
+    rows = [(-36.4, 146.3, "A", f"Genus {i}", f"Genus {i} x", 2010, "Victoria", n - i) for i in range(n)]
     return cube(spark, *rows)
 
 
@@ -49,11 +50,11 @@ def many_genera(spark, n=10):
 
 def test_grid_cube_counts_mapped_rows(spark):
     rows = [
-        ("A", "Alpha", "Alpha one", "Alpha one", "t1", "Victoria", 2010, -37.811, 144.961),
-        ("A", "Alpha", "Alpha one", "Alpha one", None, "Victoria", 2010, -37.812, 144.962),
-        ("A", "Alpha", "Alpha one", "Alpha one", "t1", "Victoria", 2011, -37.811, 144.961),
+        ("A", "Norba", "Norba prima", "Norba prima", "t1", "Victoria", 2010, -36.411, 146.261),
+        ("A", "Norba", "Norba prima", "Norba prima", None, "Victoria", 2010, -36.412, 146.262),
+        ("A", "Norba", "Norba prima", "Norba prima", "t1", "Victoria", 2011, -36.411, 146.261),
         ("B", None, None, None, None, None, None, 0.001, -0.001),
-        ("B", None, None, None, None, None, None, None, 145.0),
+        ("B", None, None, None, None, None, None, None, 146.3),
     ]
     df = spark.createDataFrame(
         rows,
@@ -62,12 +63,12 @@ def test_grid_cube_counts_mapped_rows(spark):
     )
     got = {(r["lat_bin"], r["year"]): r for r in records(grid.grid_cube(df))}
     assert len(got) == 3
-    first = got[-37.81, 2010]
+    first = got[-36.41, 2010]
     assert (first["record_count"], first["distinct_taxon_concepts"]) == (2, 2)  # null counts here
     assert (first["distinct_scientific_names"], first["Status"]) == (1, None)
     assert str(got[0.0, None]["lon_bin"]) == "0.0"
     ordered = records(grid.cube_order(grid.grid_cube(df)))
-    assert [r["lat_bin"] for r in ordered] == [-37.81, -37.81, 0.0]
+    assert [r["lat_bin"] for r in ordered] == [-36.41, -36.41, 0.0]
     values = {(r["dimension"], r["value"]) for r in records(grid.dimension_values(df))}
     assert ("year_values", "2011") in values and ("state_values", "Victoria") in values
     (bounds,) = records(grid.dimension_bounds(df))
@@ -77,14 +78,14 @@ def test_grid_cube_counts_mapped_rows(spark):
 def test_rebin(spark):
     fine = cube(
         spark,
-        (-37.81, 144.96, "A", "g", "s", 2010, "V", 2),
-        (-37.82, 144.97, "A", "g", "s", 2010, "V", 3),
-        (-33.86, 151.21, "A", "g", "s", 2010, "N", 5),
+        (-36.41, 146.26, "A", "g", "s", 2010, "V", 2),
+        (-36.42, 146.27, "A", "g", "s", 2010, "V", 3),
+        (-31.16, 152.71, "A", "g", "s", 2010, "N", 5),
     )
     cells = {d: grid.rebin(fine, d).select("lat_bin", "lon_bin", "record_count").collect() for d in (2, 1, 0)}
     assert {d: len(rows) for d, rows in cells.items()} == {2: 3, 1: 2, 0: 2}
-    assert {tuple(r) for r in cells[1]} == {(-37.8, 145.0, 5), (-33.9, 151.2, 5)}
-    merged = grid.rebin(fine, 1).where("lat_bin = -37.8").first()
+    assert {tuple(r) for r in cells[1]} == {(-36.4, 146.3, 5), (-31.2, 152.7, 5)}
+    merged = grid.rebin(fine, 1).where("lat_bin = -36.4").first()
     assert merged["distinct_scientific_names"] == 2  # measures of bins are added up
 
 
@@ -144,7 +145,7 @@ def listed(spark):
         spark,
         (-33.49, 150.11, "L", "P", "P spinifera", 2020, "New South Wales", 2),
         (-33.51, 150.12, "L", "P", "P spinifera", 2021, "New South Wales", 3),
-        (-41.0, 145.0, "H", "A", "A chaostola", 2020, "Tasmania", 4),
+        (-41.0, 146.3, "H", "A", "A chaostola", 2020, "Tasmania", 4),
         (-27.0, 153.0, "L", "J", "J eubulus", 2020, "Queensland", 5),
     )
     national = F.when(F.col("genus") == "P", "Vulnerable").when(F.col("genus") == "A", "Endangered")
@@ -183,7 +184,7 @@ def test_option_values(listed, shares):
     got = defaultdict(list)
     for r in records(cascade):
         got[r["option"]].append(r["value"])
-    assert got["families"] == ["A", "B"] and got["genera"] == ["Beta"] and got["years"] == ["2010"]
+    assert got["families"] == ["A", "B"] and got["genera"] == ["Tessa"] and got["years"] == ["2010"]
 
 
 # --- results ---------------------------------------------------------------------------
@@ -204,8 +205,8 @@ def test_share_bins(shares):
     state = SlicerState(include_states=["Victoria"])
     (row,) = records(slicer.share_bins(shares, state, "A", locked="family"))
     assert row == {
-        "lat_bin": -37.8,
-        "lon_bin": 145.0,
+        "lat_bin": -36.4,
+        "lon_bin": 146.3,
         "family": "A",
         "genus": None,
         "species": None,
@@ -218,11 +219,11 @@ def test_share_bins(shares):
         "color_value": "A",
         "composition_text": "A: 7\nB: 3",
     }
-    (species,) = records(slicer.share_bins(shares, state, "Alpha", locked="genus", top_competitors=1))
-    assert species["composition_text"] == "Alpha: 7"
+    (species,) = records(slicer.share_bins(shares, state, "Norba", locked="genus", top_competitors=1))
+    assert species["composition_text"] == "Norba: 7"
     assert slicer.share_bins(shares, state, "").count() == 0
     filtered = SlicerState(include_families=["A"], include_states=["Victoria"], year_min=2011, year_max=2011)
-    (late,) = records(slicer.share_bins(shares, filtered, "Alpha"))
+    (late,) = records(slicer.share_bins(shares, filtered, "Norba"))
     assert (late["color_level"], late["record_count"], late["share"]) == ("genus", 1, 1.0)
 
 
@@ -308,3 +309,32 @@ def test_year_summary_and_color_options(shares, spark):
         ("B", 3),
         ("not supplied", 2),
     ]
+
+
+def test_slices_of_a_stored_cube_read_only_their_files(spark, tmp_path):
+    draw = random.Random(8)
+    rows = [
+        (float(i % 40), float(i % 30), f"F{i % 6}", draw.choice([None, f"G{i % 6}{i % 3}"]), f"S{i % 50}", 1990 + i % 20, draw.choice("VQN"), 1)
+        for i in range(1_200)
+    ]
+    names = "lat_bin double, lon_bin double, family string, genus string, species string, year long, stateProvince string, record_count long"
+    cube, path = spark.createDataFrame(rows, names), str(tmp_path / "cube")
+    clustered.write_clustered(cube, path, files=12)
+    every = clustered.files_of(spark, path, SlicerState())
+    assert len(every) > 8
+    states = [
+        SlicerState(include_families=["F2"]),
+        SlicerState(include_families=["F2"], include_genera=["G20"], year_min=1995, year_max=1996),
+        SlicerState(include_families=["F1"], exclude_genera=["G11"], include_states=["V"]),
+        SlicerState(include_families=["none"]),
+        SlicerState(exclude_families=["F0"]),
+        SlicerState(),
+    ]
+    for state in states:
+        part = clustered.read_slice(spark, path, state)
+        assert sorted(map(repr, part.collect())) == sorted(map(repr, cube.where(slicer.predicate(state)).collect()))
+        options = sorted(map(tuple, clustered.stored_options(spark, path, state).collect()))
+        assert options == sorted(map(tuple, slicer.option_values(cube, state).collect()))
+    assert len(clustered.read_slice(spark, path, states[0]).inputFiles()) <= 4
+    assert len(clustered.files_of(spark, path, states[1])) <= len(clustered.files_of(spark, path, states[0]))
+    assert clustered.files_of(spark, path, states[3]) == []

@@ -247,8 +247,8 @@ def test_ambiguous_names_are_not_filled(spark):
 
 def test_merge_taxa(spark):
     rows = [
-        ("Lepidoptera", "Pieridae", "species", "Delias harpalyce", 5, 'species:"Delias harpalyce"'),
-        ("Lepidoptera", None, "subspecies", "Delias harpalyce", 2, None),
+        ("Lepidoptera", "Pieridae", "species", "Sarona tumida", 5, 'species:"Sarona tumida"'),
+        ("Lepidoptera", None, "subspecies", "Sarona tumida", 2, None),
         ("Lepidoptera", "Pieridae", "species", "Aporia agathon", 1, 'species:"Aporia agathon"'),
     ]
     schema = (
@@ -256,10 +256,10 @@ def test_merge_taxa(spark):
         "occurrence_count long, facet_fq string"
     )
     merged = records(taxonomy.merge_taxa(spark.createDataFrame(rows, schema)))
-    assert [r["species_key"] for r in merged] == ["aporia_agathon", "delias_harpalyce"]
+    assert [r["species_key"] for r in merged] == ["aporia_agathon", "sarona_tumida"]
     assert merged[1]["facet_fields"] == "species | subspecies"
     assert merged[1]["occurrence_count"] == 7
-    assert (merged[1]["family"], merged[1]["facet_fq"]) == ("Pieridae", 'species:"Delias harpalyce"')
+    assert (merged[1]["family"], merged[1]["facet_fq"]) == ("Pieridae", 'species:"Sarona tumida"')
 
 
 def test_facet_labels_keep_the_first_of_a_key(occurrences):
@@ -329,8 +329,8 @@ PROFILE_SCHEMA = (
 
 def test_profile(spark):
     rows = [
-        ("u1", "Testus alpha", "Testus alpha", "F", "O", "HUMAN", -37.0, 145.0, 2000),
-        ("u1", "Testus alpha", "Testus alpha", "F", "O", "HUMAN", -37.0, 145.0, 2001),
+        ("u1", "Testus alpha", "Testus alpha", "F", "O", "HUMAN", -37.0, 146.3, 2000),
+        ("u1", "Testus alpha", "Testus alpha", "F", "O", "HUMAN", -37.0, 146.3, 2001),
         ("u3", "Testus beta", None, "F", "O", None, 95.0, 181.0, None),
         (None, None, None, "F", "O", None, None, None, 2001),
     ]
@@ -384,16 +384,16 @@ def test_profile_of_an_empty_table(spark):
 def _impact_tables(spark):
     base = spark.createDataFrame(
         [
-            ("1", "Delias harpalyce", "Pieridae", -33.123456, 151.0, "2020-01-02T00:00:00+00:00"),
-            ("2", "Delias nigrina", "Pieridae", -33.0, 151.0, "2020-01-03T00:00:00+00:00"),
+            ("1", "Sarona tumida", "Pieridae", -33.123456, 151.0, "2020-01-02T00:00:00+00:00"),
+            ("2", "Sarona nigrina", "Pieridae", -33.0, 151.0, "2020-01-03T00:00:00+00:00"),
         ],
         "uuid string, scientificName string, family string, decimalLatitude double, decimalLongitude double, "
         "eventDate_iso string",
     )
     source = spark.createDataFrame(
         [
-            ("DELIAS harpalyce", "Pieridae", "2020-01-02", -33.123459, 151.0),
-            ("Delias aganippe", "Pieridae", "2021-05-06", -34.0, 150.0),
+            ("DELIAS tumida", "Pieridae", "2020-01-02", -33.123459, 151.0),
+            ("Sarona aganippe", "Pieridae", "2021-05-06", -34.0, 150.0),
         ],
         "scientific_name string, family string, event_date_start string, decimal_latitude double, "
         "decimal_longitude double",
@@ -441,7 +441,7 @@ def test_pages_to_records(spark, tmp_path):
             {
                 "uuid": "record-1",
                 "scientificName": "Testus species",
-                "decimalLatitude": "-37.81",
+                "decimalLatitude": "-36.41",
                 "eventDate": "1000",
                 "spatiallyValid": "true",
                 "unusedExtraField": "ignored",
@@ -454,18 +454,18 @@ def test_pages_to_records(spark, tmp_path):
     tagged = found.withColumn("query_species_key", F.lit("testus"))
     (row,) = records(pages.normalise_records(tagged))
     assert row["query_species_key"] == "testus" and row["target_match_suspect"] is False
-    assert (row["decimalLatitude"], row["eventDate"], row["spatiallyValid"]) == (-37.81, 1000, True)
+    assert (row["decimalLatitude"], row["eventDate"], row["spatiallyValid"]) == (-36.41, 1000, True)
     assert row["eventDate_iso"] == "1970-01-01T00:00:01+00:00" and row["vernacularName"] is None
     assert "unusedExtraField" not in row
 
 
 def test_suspect_flag_follows_the_first_record(spark):
     rows = [
-        ("a", "Papilio aegeus", None, "f0", 0, '{"species": "Papilio (Princeps) aegeus"}'),
-        ("a", "Papilio aegeus", None, "f0", 1, '{"species": "Other"}'),
-        ("b", "Papilio aegeus", None, "f0", 1, '{"species": "Papilio aegeus"}'),
-        ("b", "Papilio aegeus", None, "f0", 0, '{"species": "Other"}'),
-        ("c", "Papilio aegeus", "id", "f0", 0, '{"species": "Other"}'),
+        ("a", "Ornitha vexans", None, "f0", 0, '{"species": "Ornitha (Lirida) vexans"}'),
+        ("a", "Ornitha vexans", None, "f0", 1, '{"species": "Other"}'),
+        ("b", "Ornitha vexans", None, "f0", 1, '{"species": "Ornitha vexans"}'),
+        ("b", "Ornitha vexans", None, "f0", 0, '{"species": "Other"}'),
+        ("c", "Ornitha vexans", "id", "f0", 0, '{"species": "Other"}'),
     ]
     df = spark.createDataFrame(
         rows,
@@ -503,12 +503,12 @@ def test_second_source_in_catalogue_order(spark, tmp_path):
 def test_targets(spark, tmp_path):
     path = tmp_path / "targets.json"
     given = [
-        {"scientific_name": " Delias harpalyce ", "facet_fq": 'species:"a" | subspecies:"b"', "order": "L"},
-        {"scientific_name": "Delias nigrina", "key": "nig", "taxon_class": "Insecta"},
+        {"scientific_name": " Sarona tumida ", "facet_fq": 'species:"a" | subspecies:"b"', "order": "L"},
+        {"scientific_name": "Sarona nigrina", "key": "nig", "taxon_class": "Insecta"},
     ]
     path.write_text(json.dumps(given))
     got = {r["key"]: r for r in records(reference.read_targets(spark, str(path)))}
-    assert got["delias_harpalyce"]["facet_fq_filters"] == ['species:"a"', 'subspecies:"b"']
+    assert got["sarona_tumida"]["facet_fq_filters"] == ['species:"a"', 'subspecies:"b"']
     assert got["nig"]["source_class"] == "Insecta" and got["nig"]["facet_fq_filters"] == []
     path.write_text(json.dumps([{"scientific_name": "A b", "facet_fq": ["x", " "]}]))
     assert records(reference.read_targets(spark, str(path)))[0]["facet_fq_filters"] == ["x"]

@@ -9,12 +9,12 @@ from occspark.functions.keys import dedupe_key, fingerprint
 from occspark.operators import conservation, impact, profile, taxonomy
 from occspark.operators.dedupe import dedupe, dedupe_metrics, union_tables
 from occspark.plans.tables import target_list
-from occspark.sources.star_view import LINE_KEY, OCCURRENCE_VIEW_COLUMNS, occurrences
+from occspark.schema import CONSERVATION_REFERENCE_FIELDS, ensure_columns
+from occspark.sources.star_view import LINE_KEY, OCCURRENCE_VIEW_COLUMNS, occurrences, read_table
 from verification.inputs import (
     ENRICHED,
     OCC,
     REFERENCE,
-    conservation_reference,
     enriched,
     with_occ,
 )
@@ -287,26 +287,26 @@ def a8_discover_families(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Names as a data provider writes them: "Nation blue bolt", a genus and two epithets.
-_NAMED = """named AS (SELECT "order", family, 'Nation ' || lower("vernacularName") AS species,
+_NAMED = """named AS (SELECT classs, "order", family, 'Nation ' || lower("vernacularName") AS species,
     CASE WHEN l_linenumber % 2 = 0 THEN 'Nation ' || "vernacularName" || ' ' || lower(r) END AS subspecies
   FROM (SELECT *, replace(family, ' ', '-') AS r FROM occ))"""
 
 
 def _named(spark: SparkSession, folder: str) -> DataFrame:
-    rows = occurrences(spark, folder, ["order", "family", "vernacularName", "l_linenumber"])
+    rows = occurrences(spark, folder, ["classs", "order", "family", "vernacularName", "l_linenumber"])
     name = F.concat(F.lit("Nation "), F.col("vernacularName"))
     epithet = F.lower(F.replace(F.col("family"), F.lit(" "), F.lit("-")))
     return rows.select(
+        "classs",
         "order",
         "family",
-        F.lower(name).alias("_low"),
         F.concat(F.lit("Nation "), F.lower("vernacularName")).alias("species"),
         F.when(F.col("l_linenumber") % 2 == 0, F.concat_ws(" ", name, epithet)).alias("subspecies"),
-    ).drop("_low")
+    )
 
 
-_TAXA = """fc AS (SELECT "order", family, 'species' AS f, species AS n, count(*) AS c FROM named GROUP BY ALL
-  UNION ALL SELECT "order", family, 'subspecies', subspecies, count(*) FROM named WHERE subspecies IS NOT NULL GROUP BY ALL),
+_TAXA = """fc AS (SELECT classs, "order", family, 'species' AS f, species AS n, count(*) AS c FROM named GROUP BY ALL
+  UNION ALL SELECT classs, "order", family, 'subspecies', subspecies, count(*) FROM named WHERE subspecies IS NOT NULL GROUP BY ALL),
 named_ok AS (SELECT * FROM fc WHERE regexp_matches(n, '^[A-Z][a-zA-Z-]+( [a-z][a-z-]+)+$'))"""
 
 
@@ -331,7 +331,7 @@ def a5_merge_taxa(spark: SparkSession, folder: str) -> DataFrame:
     "x9_family_target_list",
     with_occ(
         """SELECT regexp_replace(lower(n), '[^a-z0-9]+', '_', 'g') AS key, n AS scientific_name,
-        min("order") AS "order", min(family) AS family, string_agg(DISTINCT f, ' | ' ORDER BY f) AS facet_fields,
+        min(classs) AS class, min("order") AS "order", min(family) AS family, string_agg(DISTINCT f, ' | ' ORDER BY f) AS facet_fields,
         CAST(sum(c) AS BIGINT) AS occurrence_count,
         string_agg(DISTINCT f || ':"' || n || '"', ' | ' ORDER BY f || ':"' || n || '"') AS facet_fq
         FROM fc WHERE "order" = 'Order SMALL' AND family = 'EUROPE' GROUP BY n""",
@@ -348,10 +348,23 @@ def x9_family_target_list(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "u4_f21_match_names",
-    f"WITH {REFERENCE} SELECT match_name, accepted_taxon FROM names",
+    """SELECT match_name, arg_min(accepted_taxon, place) AS accepted_taxon FROM (
+      SELECT s_name AS match_name, s_name AS accepted_taxon, (s_suppkey, 0) AS place FROM supplier
+      UNION ALL SELECT 'Group ' || s_suppkey % 7, s_name, (s_suppkey, 1) FROM supplier
+      UNION ALL SELECT s_name, 'Early ' || s_suppkey, (-s_suppkey, 1) FROM supplier WHERE s_suppkey % 3 = 0
+      UNION ALL SELECT 'Early ' || s_suppkey, 'Early ' || s_suppkey, (-s_suppkey, 0) FROM supplier WHERE s_suppkey % 3 = 0)
+    GROUP BY match_name""",
 )
 def u4_f21_match_names(spark: SparkSession, folder: str) -> DataFrame:
-    matches = conservation.match_table(conservation_reference(spark, folder), "row_order")
+    """A reference row per supplier; group names are listed by many rows, some names by an earlier one as well."""
+    suppliers, key = read_table(spark, folder, "supplier"), F.col("s_suppkey")
+    group = F.concat(F.lit("Group "), (key % 7).cast("string"))
+    listed = suppliers.select(F.col("s_name").alias("accepted_taxon"), group.alias("match_names"), key.alias("row_order"))
+    early = suppliers.where(key % 3 == 0).select(
+        F.concat(F.lit("Early "), key.cast("string")).alias("accepted_taxon"), F.col("s_name").alias("match_names"), -key
+    )
+    rows = ensure_columns(listed.union(early), dict.fromkeys(CONSERVATION_REFERENCE_FIELDS, "string"))
+    matches = conservation.match_table(rows, "row_order")
     return matches.select("match_name", F.col("ref.accepted_taxon").alias("accepted_taxon"))
 
 

@@ -172,29 +172,35 @@ _REFERENCE_FIELDS = (
 
 @query(
     "s7_conservation_reference",
-    """SELECT n_nationkey + 1 AS place, n_name || ' ' || t AS accepted_taxon,
-      n_name || ' ' || t || '| ' || n_name || ' LARGE Brand#' || (n_nationkey % 25 + 1) || ' |' AS match_names,
-      'species' AS rank, 'Common ' || n_name AS common_name,
-      CASE n_nationkey % 4 WHEN 0 THEN 'Endangered' WHEN 1 THEN 'Vulnerable' WHEN 3 THEN 'Critically Endangered' END
+    """SELECT s_name AS accepted_taxon, s_name || '| Synonym ' || s_suppkey || ' |' AS match_names,
+      'species' AS rank, 'Common ' || s_name AS common_name,
+      CASE s_suppkey % 4 WHEN 0 THEN 'Endangered' WHEN 1 THEN 'Vulnerable' WHEN 3 THEN 'Critically Endangered' END
         AS epbc_status,
-      CAST(n_nationkey AS VARCHAR) AS epbc_listed_id, CAST(NULL AS VARCHAR) AS epbc_sprat_url,
-      CASE n_nationkey % 5 WHEN 0 THEN 'NSW: Critically Endangered; QLD: Vulnerable' WHEN 1 THEN 'Endangered'
-        WHEN 2 THEN 'VIC: Rare - under review; Extinct' WHEN 4 THEN 'TAS: Presumed Extinct' END AS state_status,
-      'https://example.org/' || n_nationkey AS state_source_url, 'derived' AS source_dataset,
-      '2026-01-01' AS source_date, 'two' || chr(10) || 'lines' AS notes
-    FROM (SELECT *, CASE n_nationkey % 3 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'SMALL' ELSE 'PROMO' END AS t FROM nation)""",
+      CAST(s_suppkey AS VARCHAR) AS epbc_listed_id, CAST(NULL AS VARCHAR) AS epbc_sprat_url,
+      CASE s_suppkey % 3 WHEN 0 THEN 'NSW: Critically Endangered; QLD: Vulnerable' WHEN 1 THEN 'Endangered' END AS state_status,
+      'https://example.org/' || s_suppkey AS state_source_url, 'derived' AS source_dataset,
+      '2026-01-01' AS source_date, 'two' || chr(10) || 'lines' AS notes FROM supplier""",
 )
 def s7_conservation_reference(spark: SparkSession, folder: str) -> DataFrame:
-    """The reference through a CSV file with multi-line and blank cells, in its file order."""
-    path = scratch(spark, "reference")
-    listed = conservation_reference(spark, folder).withColumns(
-        {"notes": F.lit(" two\nlines "), "epbc_sprat_url": F.lit("  ")}
+    """A reference row per supplier through CSV files with multi-line and blank cells."""
+    path, n = scratch(spark, "reference"), F.col("s_suppkey")
+    text = n.cast("string")
+    listed = read_table(spark, folder, "supplier").repartition(5).select(
+        F.concat(F.lit(" "), "s_name").alias("accepted_taxon"),
+        F.concat("s_name", F.lit("| Synonym "), text, F.lit(" |")).alias("match_names"),
+        F.lit("species").alias("rank"),
+        F.concat(F.lit("Common "), "s_name").alias("common_name"),
+        F.when(n % 4 == 0, "Endangered").when(n % 4 == 1, "Vulnerable").when(n % 4 == 3, "Critically Endangered").alias("epbc_status"),
+        text.alias("epbc_listed_id"),
+        F.lit("  ").alias("epbc_sprat_url"),
+        F.when(n % 3 == 0, "NSW: Critically Endangered; QLD: Vulnerable").when(n % 3 == 1, "Endangered").alias("state_status"),
+        F.concat(F.lit("https://example.org/"), text).alias("state_source_url"),
+        F.lit("derived").alias("source_dataset"),
+        F.lit("2026-01-01").alias("source_date"),
+        F.lit(" two\nlines ").alias("notes"),
     )
-    tables.write_csv(listed.orderBy("row_order").drop("row_order").coalesce(1), path)
-    read = reference.read_conservation_reference(spark, path)
-    # The reference has one row per nation, so one window over it is small.
-    place = F.row_number().over(Window.orderBy("row_order")).cast("long")
-    return read.select(place.alias("place"), *_REFERENCE_FIELDS)
+    tables.write_csv(listed, path)
+    return reference.read_conservation_reference(spark, path).select(*_REFERENCE_FIELDS)
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.functions import coerce, keys, status, text
-from occspark.schema import CANONICAL_SCHEMA, conform
+from occspark.schema import CANONICAL_SCHEMA, OCCURRENCE_SCHEMA, conform
 from occspark.session import checkpoint_dir
 from occspark.sources import merged, pages
 from occspark.sources.star_view import LINE_KEY, occurrences, read_table
@@ -16,6 +16,16 @@ from occspark.streaming import ingest
 from verification.inputs import with_occ
 from verification.registry import query
 
+_SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+
+
+def _absent(schema, given: str) -> str:
+    """The columns of a schema that a query's input lacks, as typed nulls."""
+    held = given.split()
+    nulls = [f for f in schema.fields if f.name not in held]
+    return ", ".join(f'CAST(NULL AS {_SQL_TYPES[f.dataType.simpleString()]}) AS "{f.name}"' for f in nulls)
+
+
 _SPACES = r"[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]"
 
 
@@ -313,6 +323,13 @@ def _landed(spark: SparkSession, folder: str, where: str = "TRUE", earlier: int
     return rows.select("query_species_key", "query_scientific_name", page.alias("page"))
 
 
+_LANDED_FIELDS = (
+    "query_species_key query_scientific_name target_match_suspect uuid scientificName family genus species "
+    "stateProvince decimalLatitude decimalLongitude year eventDate eventDate_iso month recordNumber assertions "
+    "speciesGroups spatiallyValid vernacularName"
+)
+
+
 @query(
     "s5_p1_f2_normalised_records",
     with_occ(
@@ -321,17 +338,14 @@ def _landed(spark: SparkSession, folder: str, where: str = "TRUE", earlier: int
         "eventDate_iso", month, CAST(l_orderkey AS VARCHAR) AS "recordNumber",
         '{"l_suppkey":' || l_suppkey || ',"l_partkey":' || l_partkey || ',"l_linenumber":' || l_linenumber
           || ',"l_orderkey":' || l_orderkey || '}' AS assertions,
-        concat_ws(' | ', family, genus) AS "speciesGroups", year > 1998 AS "spatiallyValid", CAST(NULL AS VARCHAR) AS license
-        FROM occ"""
+        concat_ws(' | ', family, genus) AS "speciesGroups", year > 1998 AS "spatiallyValid", "vernacularName", """
+        + _absent(OCCURRENCE_SCHEMA, _LANDED_FIELDS)
+        + " FROM occ"
     ),
 )
 def s5_p1_f2_normalised_records(spark: SparkSession, folder: str) -> DataFrame:
     rows = pages.normalise_records(pages.page_records(_landed(spark, folder)))
-    return rows.select(
-        *"query_species_key query_scientific_name target_match_suspect uuid scientificName family genus species "
-        "stateProvince decimalLatitude decimalLongitude year eventDate eventDate_iso month recordNumber assertions "
-        "speciesGroups spatiallyValid license".split()
-    )
+    return rows.select(*OCCURRENCE_SCHEMA.fieldNames())
 
 
 _LANDED_KEY = """CASE WHEN uuid <> '' THEN uuid ELSE "scientificName" || '|' ||
@@ -457,17 +471,89 @@ def s6_p2_second_source(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_CONFORMED = "family genus scientific_name state_province year decimal_latitude individual_count sensitive_record"
+
+
 @query(
     "p3_canonical_schema",
     with_occ(
-        """SELECT family, CAST(year AS BIGINT) AS year, CAST(NULL AS VARCHAR) AS source,
-        CAST(NULL AS DOUBLE) AS decimal_latitude, CAST(NULL AS BOOLEAN) AS sensitive_record FROM occ"""
+        f"""SELECT family, genus, "scientificName" AS scientific_name, "stateProvince" AS state_province,
+        CAST(year AS BIGINT) AS year, "decimalLatitude" AS decimal_latitude, CAST(l_linenumber AS DOUBLE) AS individual_count,
+        l_linenumber = 2 AS sensitive_record, {_absent(CANONICAL_SCHEMA, _CONFORMED)} FROM occ"""
     ),
 )
 def p3_canonical_schema(spark: SparkSession, folder: str) -> DataFrame:
-    rows = occurrences(spark, folder, ["family", "year", "uuid"])
-    conformed = conform(rows.withColumn("year", F.col("year").cast("string")), CANONICAL_SCHEMA)
-    return conformed.select("family", "year", "source", "decimal_latitude", "sensitive_record")
+    """Rows with other types and extra columns, conformed to all 48 columns."""
+    names = "family genus scientificName stateProvince year uuid decimalLatitude l_linenumber".split()
+    rows = occurrences(spark, folder, names)
+    given = rows.select(
+        "family",
+        "uuid",
+        F.col("decimalLatitude").cast("string").alias("decimal_latitude"),
+        F.col("year").cast("string").alias("year"),
+        "genus",
+        F.col("scientificName").alias("scientific_name"),
+        F.col("stateProvince").alias("state_province"),
+        F.col("l_linenumber").alias("individual_count"),
+        (F.col("l_linenumber") == 2).cast("string").alias("sensitive_record"),
+    )
+    return conform(given, CANONICAL_SCHEMA)
+
+
+_SECOND_GIVEN = (
+    "source source_jurisdiction ingested_at_utc source_record_id catalog_number scientific_name class_name order family "
+    "state_province decimal_latitude event_date event_date_start year sensitive_record spatially_generalised "
+    "raw_source_payload raw_record_hash canonical_record_hash"
+)
+_CATALOGUE = "'c' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+_SECOND_PAYLOAD = f"""'{{"catalogNumber":"' || {_CATALOGUE} || '","class":"Insecta","decimalLatitude":'
+  || coalesce(CAST("decimalLatitude" AS VARCHAR), 'null') || ',"eventDate":"' || substr("eventDate_iso", 1, 10)
+  || '","family":"' || family || '","order":"Lepidoptera","scientificName":" ' || "scientificName" || ' ","stateProvince":"NSW"}}'"""
+
+
+@query(
+    "s6_ingest_second_source",
+    with_occ(
+        f"""SELECT * FROM (SELECT 'nsw_bionet' AS source, 'NSW' AS source_jurisdiction, '2026-01-01T00:00:00+00:00' AS ingested_at_utc,
+        {_CATALOGUE} AS source_record_id, {_CATALOGUE} AS catalog_number, "scientificName" AS scientific_name,
+        'Insecta' AS class_name, 'Lepidoptera' AS "order", family, 'NSW' AS state_province, "decimalLatitude" AS decimal_latitude,
+        substr("eventDate_iso", 1, 10) AS event_date, substr("eventDate_iso", 1, 10) AS event_date_start, year,
+        FALSE AS sensitive_record, FALSE AS spatially_generalised, {_SECOND_PAYLOAD} AS raw_source_payload,
+        sha256({_SECOND_PAYLOAD}) AS raw_record_hash, {_absent(CANONICAL_SCHEMA, _SECOND_GIVEN)}
+        FROM occ WHERE family IN ('ASIA', 'EUROPE') AND l_linenumber <> 4) ORDER BY catalog_number LIMIT 700"""
+    ),
+)
+def s6_ingest_second_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed page files of many records: filter, catalogue order and ``max_records``; all columns but the combined hash."""
+    names = [*LINE_KEY, "scientificName", "family", "decimalLatitude", "eventDate_iso"]
+    rows = occurrences(spark, folder, names)
+    catalogue = F.concat(
+        F.lit("c"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), *[
+            part for c in ("l_linenumber", "l_partkey", "l_suppkey") for part in (F.lit("-"), F.col(c).cast("string"))
+        ]
+    )
+    record = F.struct(
+        F.lit("dropped").alias("unknownField"),
+        F.concat(F.lit(" "), F.col("scientificName"), F.lit(" ")).alias("scientificName"),
+        "family",
+        F.lit("Insecta").alias("class"),
+        F.lit("Lepidoptera").alias("order"),
+        F.when(F.col("l_linenumber") == 4, "VIC").otherwise("NSW").alias("stateProvince"),
+        F.substring("eventDate_iso", 1, 10).alias("eventDate"),
+        catalogue.alias("catalogNumber"),
+        "decimalLatitude",
+    )
+    text = F.to_json(record, {"ignoreNullFields": "false"})
+    # Some 500 records a page, and each page is a file.
+    page = F.pmod(F.xxhash64("l_orderkey"), F.lit(max(1, rows.count() // 500)))
+    landed = rows.groupBy(page.alias("page_number")).agg(F.array_join(F.collect_list(text), ",").alias("held"))
+    path = f"{checkpoint_dir(spark)}/second-{uuid.uuid4().hex}"
+    body = landed.select("page_number", F.concat(F.lit('{"value":['), "held", F.lit("]}")).alias("value"))
+    body.repartition("page_number").write.partitionBy("page_number").text(path)
+    found = pages.ingest_second_source(
+        spark, path, families=["ASIA", "EUROPE"], max_records=700, ingested_at="2026-01-01T00:00:00+00:00"
+    )
+    return found.drop("canonical_record_hash")
 
 
 @query(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occspark.operators import grid, slicer
 from occspark.operators.rownumber import row_numbers
 from occspark.operators.slicer import SlicerState
+from occspark.session import checkpoint_dir
+from occspark.sources import clustered, tables
 from occspark.sources.star_view import occurrences
 from verification.inputs import (
     CUBE,
@@ -269,29 +273,22 @@ def a22_color_options(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _share_sql(focus: str, level: str, shown: list[str], limit: int, n: int) -> str:
-    names = ["family", "genus", "species", "scientificName", "stateProvince"]
-    displayed = ", ".join(
-        f"""CASE WHEN count(DISTINCT "{c}") = 1 THEN min("{c}")
-          WHEN count(DISTINCT "{c}") > 1 THEN 'multiple' END AS "{c}" """
-        if c in shown
-        else f'CAST(NULL AS VARCHAR) AS "{c}"'
-        for c in names
+    """A value's part of every cell it occurs in: all values of a cell are one row each, seen through windows."""
+    bounds = ", ".join(f'min("{c}") AS "least_{c}", max("{c}") AS "most_{c}"' for c in shown)
+    one = {c: f"""CASE WHEN "least_{c}" <> "most_{c}" THEN 'multiple' ELSE "least_{c}" END""" for c in shown}
+    columns = ", ".join(
+        f'{one.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in ("family", "genus", "species", "scientificName", "stateProvince")
     )
-    return f"""WITH {CUBE}, f AS (SELECT round(lat_bin, 0) + 0.0 AS lat_bin, round(lon_bin, 0) + 0.0 AS lon_bin,
-      coalesce({level}, 'not supplied') AS v, * EXCLUDE (lat_bin, lon_bin) FROM cube
-      WHERE family IN ('ASIA', 'EUROPE')),
-    tot AS (SELECT lat_bin, lon_bin, CAST(sum(record_count) AS BIGINT) AS total_cell_records FROM f GROUP BY ALL),
-    foc AS (SELECT lat_bin, lon_bin, {displayed}, CAST(sum(record_count) AS BIGINT) AS record_count
-      FROM f WHERE v = '{focus}' GROUP BY lat_bin, lon_bin),
-    top AS (SELECT foc.*, total_cell_records FROM foc JOIN tot USING (lat_bin, lon_bin)
-      ORDER BY record_count DESC, lat_bin, lon_bin LIMIT {limit}),
-    cat AS (SELECT lat_bin, lon_bin, v, CAST(sum(record_count) AS BIGINT) AS n FROM f
-      JOIN (SELECT lat_bin, lon_bin FROM top) USING (lat_bin, lon_bin) GROUP BY ALL),
-    rk AS (SELECT *, row_number() OVER (PARTITION BY lat_bin, lon_bin ORDER BY n DESC, v) AS r FROM cat),
-    txt AS (SELECT lat_bin, lon_bin, string_agg(v || ': ' || format('{{:,}}', n), chr(10) ORDER BY r)
-      AS composition_text FROM rk WHERE r <= {n} GROUP BY ALL)
-    SELECT top.*, record_count::DOUBLE / total_cell_records AS share, '{level}' AS color_level,
-      '{focus}' AS color_value, composition_text FROM top JOIN txt USING (lat_bin, lon_bin)"""
+    return f"""WITH {CUBE}, valued AS (
+      SELECT round(lat_bin, 0) + 0.0 AS lat_bin, round(lon_bin, 0) + 0.0 AS lon_bin, coalesce({level}, 'not supplied') AS v,
+        CAST(sum(record_count) AS BIGINT) AS n, {bounds}
+      FROM cube WHERE family IN ('ASIA', 'EUROPE') GROUP BY 1, 2, 3),
+    seen AS (SELECT *, CAST(sum(n) OVER cell AS BIGINT) AS total_cell_records, list({{'less': -n, 'v': v}}) OVER cell AS others
+      FROM valued WINDOW cell AS (PARTITION BY lat_bin, lon_bin))
+    SELECT lat_bin, lon_bin, {columns}, n AS record_count, total_cell_records, n::DOUBLE / total_cell_records AS share,
+      '{level}' AS color_level, v AS color_value, array_to_string(list_transform(list_sort(others)[1:{n}],
+        lambda o: o.v || ': ' || format('{{:,}}', -o.less)), chr(10)) AS composition_text
+    FROM seen WHERE v = '{focus}' QUALIFY row_number() OVER (ORDER BY n DESC, lat_bin, lon_bin) <= {limit}"""
 
 
 @query(
@@ -380,18 +377,23 @@ def o5_composition_markers(spark: SparkSession, folder: str) -> DataFrame:
     SELECT lat_bin, lon_bin, family, n, total, n::DOUBLE / total AS share FROM c JOIN t USING (lat_bin, lon_bin)""",
 )
 def j5_cell_shares(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql import Window
+    shares = slicer.cell_shares(plain_cube(spark, folder), "family")
+    names = {"color_value": "family", "record_count": "n", "total_record_count": "total"}
+    return shares.withColumnsRenamed(names)
 
-    counts = (
-        plain_cube(spark, folder)
-        .groupBy("lat_bin", "lon_bin", "family")
-        .agg(F.sum("record_count").alias("n"))
-    )
-    # A cell has at most one row per family here, so the window is small.
-    total = F.sum("n").over(Window.partitionBy("lat_bin", "lon_bin"))
-    return counts.withColumn("total", total).withColumn(
-        "share", F.col("n").cast("double") / F.col("total")
-    )
+
+@query(
+    "o5_composition_array",
+    f"""WITH {_MARKER_CTES} SELECT lat_bin, lon_bin, row_number() OVER (PARTITION BY lat_bin, lon_bin
+      ORDER BY category_order, color_value) AS place, color_value AS value, record_count,
+      record_count::DOUBLE / total_record_count AS share FROM flat""",
+)
+def o5_composition_array(spark: SparkSession, folder: str) -> DataFrame:
+    """The nested compositions of cells, element by element."""
+    state = SlicerState(include_families=["ASIA", "EUROPE", "AFRICA"])
+    markers = slicer.composition_markers(plain_cube(spark, folder), state, limit=300, decimals=0, top=2)
+    rows = markers.select("lat_bin", "lon_bin", F.posexplode("composition").alias("place", "c"))
+    return rows.select("lat_bin", "lon_bin", (F.col("place") + 1).cast("long").alias("place"), "c.*")
 
 
 @query(
@@ -428,6 +430,37 @@ def a26_option_values(spark: SparkSession, folder: str) -> DataFrame:
     return slicer.option_values(enriched_cube(spark, folder), MIXED)
 
 
+def _stored_cube(spark: SparkSession, folder: str) -> str:
+    path = f"{checkpoint_dir(spark)}/cube-{uuid.uuid4().hex}"
+    clustered.write_clustered(enriched_cube(spark, folder), path, files=12)
+    return path
+
+
+@query(
+    "x8_stored_options",
+    f"""WITH {ENRICHED_CUBE}, kept AS (SELECT * FROM cube)
+    SELECT DISTINCT option, value FROM ({_OPTIONS_SQL}) WHERE value IS NOT NULL""",
+)
+def x8_stored_options(spark: SparkSession, folder: str) -> DataFrame:
+    """All option lists of a stored cube, from its inventory."""
+    return clustered.stored_options(spark, _stored_cube(spark, folder), SlicerState())
+
+
+@query(
+    "x8_stored_slice",
+    f"""WITH {ENRICHED_CUBE} SELECT family, genus, year, CAST(sum(record_count) AS BIGINT) AS record_count FROM cube
+    WHERE family = 'ASIA' AND genus IN ('NATION_8', 'NATION_9') AND year >= 1996 GROUP BY ALL""",
+)
+def x8_stored_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """A narrow slice of a stored cube, which must not read all of its files."""
+    path = _stored_cube(spark, folder)
+    state = SlicerState(include_families=["ASIA"], include_genera=["NATION_8", "NATION_9"], year_min=1996)
+    rows = clustered.read_slice(spark, path, state)
+    if len(rows.inputFiles()) >= len(tables.read_table(spark, f"{path}/rows").inputFiles()):
+        raise AssertionError("The slice reads every file.")
+    return rows.groupBy("family", "genus", "year").agg(F.sum("record_count").alias("record_count"))
+
+
 def _cascade_sql() -> str:
     conservation = "\"Status\" IN ('Endangered', 'Vulnerable')"
     family, genus = "family IN ('ASIA', 'EUROPE')", "(genus IS NULL OR genus NOT IN ('NATION_8'))"

@@ -230,6 +230,23 @@ def o7_j8_area_compositions(spark: SparkSession, folder: str) -> DataFrame:
     return shapes.drop("composition", "geometry_geojson")
 
 
+@query(
+    "o7_composition_array",
+    with_occ(
+        """SELECT code AS area_code_2021, rn AS place, v AS value, n AS record_count,
+        n::DOUBLE / total_record_count AS share FROM rk JOIN box ON code = sa3_code_2021""",
+        AREAS,
+        _composition_sql("genus", '"stateProvince" IN (\'Victoria\', \'Queensland\') AND family = \'ASIA\'', 20),
+    ),
+)
+def o7_composition_array(spark: SparkSession, folder: str) -> DataFrame:
+    """The nested compositions of areas, element by element."""
+    state = SlicerState(include_states=["Victoria", "Queensland"], include_families=["ASIA"])
+    shapes = slicer.area_compositions(_cube(spark, folder), boundaries(spark, folder), state, AREA_LEVEL, limit=20)
+    rows = shapes.select("area_code_2021", F.posexplode("composition").alias("place", "c"))
+    return rows.select("area_code_2021", (F.col("place") + 1).cast("long").alias("place"), "c.*")
+
+
 @query(
     "w5_o4_area_composition_top",
     with_occ(
