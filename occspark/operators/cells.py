@@ -11,7 +11,8 @@ the east; a cell between two crossings with odd parity is inside and needs no ed
 edges are split, and a part's corner is a point of the cell it comes from. Points find their cell
 by an equi-join on (depth, column, row), one key per depth in use.
 
-The grid is shifted by ``ORIGIN``, so that coordinates with few decimals don't lie on its lines.
+The grid is shifted by ``ORIGIN``, differently along both axes, so that coordinates with few decimals don't
+lie on its lines, nor its corners on lines between such coordinates.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from occspark.session import cut_lineage
 CELL_DEGREES = 0.5
 CELL_EDGES = 64
 MAX_DEPTH = 16
-ORIGIN = 0.001234567890123
+ORIGIN = {"x": 0.001234567890123, "y": 0.002718281828459}
 KEY = ("depth", "ix", "iy")
 _MARGIN = 1e-9
 _SPLIT = 3
@@ -41,12 +42,12 @@ class Held(NamedTuple):
     depths: list[int]
 
 
-def index(value: Column, size: Column) -> Column:
-    return F.floor((value - ORIGIN) / size)
+def index(value: Column, size: Column, axis: str) -> Column:
+    return F.floor((value - ORIGIN[axis]) / size)
 
 
-def side(i: Column, size: Column) -> Column:
-    return i * size + ORIGIN
+def side(i: Column, size: Column, axis: str) -> Column:
+    return i * size + ORIGIN[axis]
 
 
 def _size(cell: float, depth: Column | int) -> Column:
@@ -112,17 +113,17 @@ def _base_cells(boundaries: DataFrame, code: str, name: str, cell: float) -> Dat
     owner = [code, "shape"]
     edges = areas.select(*owner, name, F.explode("edges").alias("e"))
     low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    rows = edges.withColumn("iy", F.explode(F.sequence(index(low - _MARGIN, size), index(high + _MARGIN, size))))
-    bottom, top = side(F.col("iy"), size), side(F.col("iy") + 1, size)
+    rows = edges.withColumn("iy", F.explode(F.sequence(index(low - _MARGIN, size, "y"), index(high + _MARGIN, size, "y"))))
+    bottom, top = side(F.col("iy"), size, "y"), side(F.col("iy") + 1, size, "y")
     first, last = _x_span(F.col("e"), bottom - _MARGIN, top + _MARGIN)
     touched = (
-        rows.withColumn("ix", F.explode(F.sequence(index(first, size), index(last, size))))
+        rows.withColumn("ix", F.explode(F.sequence(index(first, size, "x"), index(last, size, "x"))))
         .groupBy(*owner, "ix", "iy")
         .agg(F.first(name).alias(name), F.collect_list("e").alias("edges"))
     )
     # Edges that cross the upper line of a cell row: they count for every corner west of them.
     crossed = rows.where((F.col("e.y1") > top) != (F.col("e.y2") > top)).withColumn(
-        "c", F.ceil((_x_at(F.col("e"), top) - ORIGIN) / size) - 1
+        "c", F.ceil((_x_at(F.col("e"), top) - ORIGIN["x"]) / size) - 1
     )
     events = crossed.groupBy(*owner, "iy", "c").agg(F.first(name).alias(name), F.count(F.lit(1)).alias("n"))
     of_row = Window.partitionBy(*owner, "iy")
@@ -148,7 +149,7 @@ def _split(crowded: DataFrame, cell: float) -> DataFrame:
     steps = F.greatest(F.lit(1), F.least(F.lit(_SPLIT), F.ceil(F.log(4.0, F.col("n") / CELL_EDGES)).cast("int")))
     size = _size(cell, F.col("depth"))
     rows = crowded.withColumns(
-        {"steps": steps, "right": side(F.col("ix") + 1, size), "top": side(F.col("iy") + 1, size)}
+        {"steps": steps, "right": side(F.col("ix") + 1, size, "x"), "top": side(F.col("iy") + 1, size, "y")}
     )
     per_axis = F.pow(F.lit(2.0), F.col("steps")).cast("long")
     parts = F.sequence(F.lit(0).cast("long"), per_axis - 1)
@@ -157,8 +158,8 @@ def _split(crowded: DataFrame, cell: float) -> DataFrame:
     # The parts' depth is a column of its own before it is used: a name given and used in one projection is ambiguous.
     rows = rows.withColumn("depth", F.col("depth") + F.col("steps"))
     part_size = _size(cell, F.col("depth"))
-    left, bottom = side(F.col("ix"), part_size), side(F.col("iy"), part_size)
-    right, top = side(F.col("ix") + 1, part_size), side(F.col("iy") + 1, part_size)
+    left, bottom = side(F.col("ix"), part_size, "x"), side(F.col("iy"), part_size, "y")
+    right, top = side(F.col("ix") + 1, part_size, "x"), side(F.col("iy") + 1, part_size, "y")
 
     def touches(e: Column) -> Column:
         first, last = _x_span(e, bottom - _MARGIN, top + _MARGIN)
@@ -205,7 +206,7 @@ def located(points: DataFrame, depths: list[int], cell: float, x: str, y: str) -
     def key(depth: int) -> Column:
         size = _size(cell, depth)
         return F.struct(
-            F.lit(depth).alias("depth"), index(F.col(x), size).alias("ix"), index(F.col(y), size).alias("iy")
+            F.lit(depth).alias("depth"), index(F.col(x), size, "x").alias("ix"), index(F.col(y), size, "y").alias("iy")
         )
 
     number = ~F.isnan(x) & ~F.isnan(y)
@@ -215,4 +216,4 @@ def located(points: DataFrame, depths: list[int], cell: float, x: str, y: str) -
 def corner_of(cell: float) -> tuple[Column, Column]:
     """Right side and top of the cell of a row with the columns of ``KEY``."""
     size = _size(cell, F.col("depth"))
-    return side(F.col("ix") + 1, size), side(F.col("iy") + 1, size)
+    return side(F.col("ix") + 1, size, "x"), side(F.col("iy") + 1, size, "y")

@@ -145,6 +145,19 @@ def test_same_shape_twice_and_same_code_on_two_shapes(spark):
     assert sorted(r["id"] for r in records(got)) == [0, 1, 2]
 
 
+@pytest.mark.parametrize("cell", [0.25, 0.5, 1.0])
+def test_slanted_sides_through_round_coordinates(spark, cell):
+    shapes = {
+        "D": {"type": "Polygon", "coordinates": [[[0, 0], [5, 0], [5, 5], [0, 0]]]},
+        "E": {"type": "Polygon", "coordinates": [[[-6, 0], [0, 3], [-6, 3], [-6, 0]]]},
+        "F": {"type": "Polygon", "coordinates": [[[0, -4], [4, -1], [0, -1], [0, -4]]]},
+    }
+    points = [(x / 20 + 0.01, y / 20) for x in range(-130, 110, 3) for y in range(-90, 110, 3)]
+    got = areas.assign_areas(point_frame(spark, points), boundary_rows(spark, shapes), "SA2", cell)
+    wanted = {i: c for i, (x, y) in enumerate(points) for c in shapes if contains(shapes[c], x, y)}
+    assert {r["id"]: r["sa2_code_2021"] for r in records(got)} == wanted
+
+
 def test_no_boundaries(spark):
     empty = boundary_rows(spark).limit(0)
     for in_place in (True, False):
