@@ -81,3 +81,32 @@ def running_sums(
     return summed.join(bases, same).select(
         *[F.col(f"`{c}`") for c in df.columns], (F.col(run) + F.col(base)).alias(name)
     )
+
+
+#: Rows that a sort with a limit may merge in one task.
+ONE_TASK_ROWS = 10_000
+
+
+def largest_rows(
+    df: DataFrame, measure: str, ties: Sequence[str | Column], limit: int, one_task: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """The ``limit`` rows with the largest measure in order; ``ties`` decide between equals.
+
+    A sort with a limit merges that many rows in one task. Beyond ``one_task`` rows are counted per
+    measure value instead, which gives the value at the limit: all rows above it are in, and of the rows
+    that have just this value the first by ``ties``, by their distributed row numbers.
+    """
+    order = [F.col(measure).desc(), *map(_column, ties)]
+    if limit <= one_task:
+        return df.orderBy(*order).limit(limit)
+    df = cut_lineage(df)
+    number, before = free_name(df, "_number"), free_name(df, "_before")
+    counts = df.groupBy(measure).agg(F.count(F.lit(1)).alias(number))
+    reached = running_sums(counts, [], [F.col(measure).desc()], number, before)
+    at = reached.where((F.col(before) < limit) & (F.col(before) + F.col(number) >= limit)).first()
+    if at is None:
+        return df.orderBy(*order)
+    above = df.where(F.col(measure) > at[measure])
+    equal = row_numbers(df.where(F.col(measure) == at[measure]), ties, number)
+    equal = equal.where(F.col(number) <= limit - at[before]).drop(number)
+    return above.unionByName(equal).orderBy(*order)

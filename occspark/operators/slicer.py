@@ -13,6 +13,7 @@ from occspark.functions.keys import round_coordinate
 from occspark.functions.text import count_text, null_label, percent_text, share, year_range
 from occspark.operators.areas import area_columns
 from occspark.operators.grid import TAXON_DIMENSIONS
+from occspark.operators.rownumber import largest_rows
 from occspark.operators.skew import lookup_join, top_n
 from occspark.schema import CUBE_CONSERVATION_FIELDS, ensure_columns
 
@@ -192,8 +193,11 @@ def grid_bins(
     displayed = [
         F.col(c) if c in group else F.lit(None).cast("string").alias(c) for c in DISPLAY_COLUMNS
     ]
-    order = [F.col("record_count").desc(), *[F.col(c).asc_nulls_last() for c in group]]
-    ranked = _first(totals.orderBy(*order), limit)
+    ties = [F.col(c).asc_nulls_last() for c in group]
+    if limit is None:
+        ranked = totals.orderBy(F.col("record_count").desc(), *ties)
+    else:
+        ranked = largest_rows(totals, "record_count", ties, limit)
     return ranked.select(
         *CELL,
         *displayed,
@@ -257,7 +261,7 @@ def share_bins(
         .where((F.col("_focus_rows") > 0) & F.lit(bool(focus_value)))
     )
     if limit is not None:
-        cells = cells.orderBy(F.col("record_count").desc(), *CELL).limit(limit)
+        cells = largest_rows(cells, "record_count", CELL, limit)
     texts = composition_text(rows, cells.select(*CELL), top_competitors)
     return cells.join(texts, list(CELL), "left").select(
         *CELL,
@@ -370,7 +374,7 @@ def _composition_rows(
         .agg(F.sum("record_count").alias("total_record_count"), F.count(F.lit(1)).alias("_categories"))
     )
     if limit is not None:
-        places = places.orderBy(F.col("total_record_count").desc(), *place).limit(limit)
+        places = largest_rows(places, "total_record_count", place, limit)
     chosen = counts.join(places, list(place))
     if top is None:
         # Full mode lists every category anyway, in descending order of its count.

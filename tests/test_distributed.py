@@ -10,7 +10,7 @@ from conftest import records
 from pyspark.sql import functions as F
 
 from occspark.operators import membership, profile
-from occspark.operators.rownumber import row_numbers, running_sums
+from occspark.operators.rownumber import largest_rows, row_numbers, running_sums
 
 
 def test_row_numbers_follow_the_order_over_many_partitions(spark):
@@ -112,3 +112,14 @@ def test_only_buckets_that_reach_the_bound_are_counted(spark):
     assert profile.top_values(df.limit(0)).count() == 0
     assert profile.top_values(df.limit(0), max_categories=5).count() == 0
     assert profile.top_values(spark.range(3)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 60, 200, 999, 1_000, 5_000])
+def test_largest_rows_beyond_one_task(spark, limit):
+    draw = random.Random(9)
+    rows = [(i, draw.choice([1, 1, 1, 2, 3, 40, 50])) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "id int, n long").repartition(6)
+    found = largest_rows(df, "n", ["id"], limit, one_task=50)
+    assert [(r["id"], r["n"]) for r in found.collect()] == sorted(rows, key=lambda r: (-r[1], r[0]))[:limit]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("TakeOrderedAndProject" in plan) == (limit <= 50)
