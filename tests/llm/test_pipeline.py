@@ -9,7 +9,7 @@ from occspark.llm import decontaminate, simhash
 
 def test_every_operator_has_one_query():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
