@@ -392,7 +392,7 @@ def _impact_tables(spark):
     )
     source = spark.createDataFrame(
         [
-            ("DELIAS tumida", "Pieridae", "2020-01-02", -33.123459, 151.0),
+            ("SARONA tumida", "Pieridae", "2020-01-02", -33.123459, 151.0),
             ("Sarona aganippe", "Pieridae", "2021-05-06", -34.0, 150.0),
         ],
         "scientific_name string, family string, event_date_start string, decimal_latitude double, "
