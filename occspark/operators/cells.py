@@ -11,17 +11,23 @@ the east; a cell between two crossings with odd parity is inside and needs no ed
 edges are split, and a part's corner is a point of the cell it comes from. Points find their cell
 by an equi-join on (depth, column, row), one key per depth in use.
 
+A point belongs to the first area by code that covers it. Of areas with the same edges only the first
+is cut, and an area that covers a cell whole ends the cell's list: no area with a later code is held there
+or in the cell's parts. Areas that lie upon each other therefore don't multiply cells and edges.
+
 The grid is shifted by ``ORIGIN``, differently along both axes, so that coordinates with few decimals don't
 lie on its lines, nor its corners on lines between such coordinates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from occspark.operators.skew import lookup_join
 from occspark.session import cut_lineage
 
 CELL_DEGREES = 0.5
@@ -106,21 +112,24 @@ def covers(area: Column, right: Column, top: Column, x: Column, y: Column) -> Co
     return _parity(area["corner"], area["edges"], right, top, x, y) | touches
 
 
+def _until_whole(rows: DataFrame, whole: DataFrame, key: Sequence[str], code: str) -> DataFrame:
+    """The rows that can hold a cell's first area: up to the smallest code of ``whole``, which covers it all."""
+    least = whole.groupBy(*key).agg(F.min(code).alias("_least"))
+    return lookup_join(rows, least, key).where(F.col("_least").isNull() | (F.col(code) <= F.col("_least"))).drop("_least")
+
+
 def _base_cells(boundaries: DataFrame, code: str, name: str, cell: float) -> DataFrame:
     """The coarsest cells of every area, from its edges as rows: no task holds an area."""
     size = F.lit(float(cell))
-    areas = boundaries.select(code, name, "edges", F.xxhash64("edges").alias("shape")).dropDuplicates([code, "shape"])
+    first_of = boundaries.groupBy("edges").agg(F.min(F.struct(code, name)).alias("area"))
+    areas = first_of.select(f"area.{code}", f"area.{name}", "edges", F.xxhash64("edges").alias("shape"))
     owner = [code, "shape"]
     edges = areas.select(*owner, name, F.explode("edges").alias("e"))
     low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
     rows = edges.withColumn("iy", F.explode(F.sequence(index(low - _MARGIN, size, "y"), index(high + _MARGIN, size, "y"))))
     bottom, top = side(F.col("iy"), size, "y"), side(F.col("iy") + 1, size, "y")
     first, last = _x_span(F.col("e"), bottom - _MARGIN, top + _MARGIN)
-    touched = (
-        rows.withColumn("ix", F.explode(F.sequence(index(first, size, "x"), index(last, size, "x"))))
-        .groupBy(*owner, "ix", "iy")
-        .agg(F.first(name).alias(name), F.collect_list("e").alias("edges"))
-    )
+    placed = rows.withColumn("ix", F.explode(F.sequence(index(first, size, "x"), index(last, size, "x"))))
     # Edges that cross the upper line of a cell row: they count for every corner west of them.
     crossed = rows.where((F.col("e.y1") > top) != (F.col("e.y2") > top)).withColumn(
         "c", F.ceil((_x_at(F.col("e"), top) - ORIGIN["x"]) / size) - 1
@@ -132,6 +141,14 @@ def _base_cells(boundaries: DataFrame, code: str, name: str, cell: float) -> Dat
     inside = between.where("odd AND before IS NOT NULL").select(
         *owner, F.explode(F.sequence("before", F.col("c") - 1)).alias("ix"), "iy", F.col(name).alias("_name")
     )
+    # Keys alone tell which cells are covered whole, before any edges are collected.
+    whole = inside.join(placed.select(*owner, "ix", "iy"), [*owner, "ix", "iy"], "left_anti")
+    inside = _until_whole(inside, whole, ["ix", "iy"], code)
+    touched = (
+        _until_whole(placed, whole, ["ix", "iy"], code)
+        .groupBy(*owner, "ix", "iy")
+        .agg(F.first(name).alias(name), F.collect_list("e").alias("edges"))
+    )
     joined = touched.join(inside.withColumn("corner", F.lit(True)), [*owner, "ix", "iy"], "full")
     return joined.select(
         F.lit(0).alias("depth"),
@@ -176,13 +193,16 @@ def _split(crowded: DataFrame, cell: float) -> DataFrame:
 
 
 def area_cells(boundaries: DataFrame, code: str, name: str, cell: float = CELL_DEGREES, most: int = CELL_EDGES) -> Held:
-    """All areas' cells: ``depth, ix, iy``, code, name, ``corner`` (its parity) and ``edges`` (null: none touches it).
+    """The areas' cells: ``depth, ix, iy``, code, name, ``corner`` (its parity) and ``edges`` (null: none touches it).
+
+    Every area is there that is the first by code for some point of the cell.
 
     A cell and its parts are never both present: a point lies in exactly one.
     """
     done, open_cells = None, _base_cells(boundaries, code, name, cell)
     while True:
         open_cells = cut_lineage(open_cells)
+        open_cells = _until_whole(open_cells, open_cells.where("corner AND edges IS NULL"), KEY, code)
         counts = open_cells.groupBy(*KEY).agg(F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("n"))
         crowded = counts.where((F.col("n") > most) & (F.col("depth") + _SPLIT <= MAX_DEPTH))
         # Keys alone are counted and joined, never edges.

@@ -127,6 +127,27 @@ def test_edges_held_follow_the_boundary_not_the_width(spark):
     assert crowded == 0
 
 
+@pytest.mark.parametrize("in_place", [True, False])
+def test_areas_upon_each_other_do_not_multiply_cells(spark, in_place):
+    """Copies of a shape and areas behind one that covers the cell whole are not held; results stay those of all areas."""
+    draw = random.Random(3)
+    tops = {f"A{i}": {"type": "Polygon", "coordinates": [star(0, 0, 9, draw)]} for i in range(3)}
+    behind = {f"B{i:02d}": {"type": "Polygon", "coordinates": [square(-6, -6, 6, 6 if i % 2 else 5)]} for i in range(40)}
+    rows = boundary_rows(spark, tops | behind)
+    few = boundary_rows(spark, tops | {k: behind[k] for k in ("B00", "B01")})
+    names = ("sa2_code_2021", "sa2_name_2021", 1.0)
+    all_held, few_held = cells.area_cells(rows, *names), cells.area_cells(few, *names)
+    assert (all_held.rows, all_held.edges) == (few_held.rows, few_held.edges)
+    points = [(x / 2, y / 2) for x in range(-13, 14) for y in range(-13, 14)]
+    got = areas.assign_areas(point_frame(spark, points), rows, "SA2", 1.0, in_place=in_place)
+    wanted = {}
+    for i, (x, y) in enumerate(points):
+        codes = [c for c, shape in (tops | behind).items() if contains(shape, x, y)]
+        if codes:
+            wanted[i] = min(codes)
+    assert {r["id"]: r["sa2_code_2021"] for r in records(got)} == wanted and len(wanted) > 400
+
+
 def test_cells_and_their_parts_are_disjoint(spark):
     draw = random.Random(5)
     shapes = {f"P{i}": {"type": "Polygon", "coordinates": [star(0, 0, 80, draw)]} for i in range(3)}
