@@ -338,3 +338,12 @@ def test_slices_of_a_stored_cube_read_only_their_files(spark, tmp_path):
     assert len(clustered.read_slice(spark, path, states[0]).inputFiles()) <= 4
     assert len(clustered.files_of(spark, path, states[1])) <= len(clustered.files_of(spark, path, states[0]))
     assert clustered.files_of(spark, path, states[3]) == []
+
+
+def test_sql_of_unlimited_bins_has_no_limit():
+    from verification import slicing  # noqa: F401
+    from verification.registry import ORACLES
+
+    for name in ("a21_grid_bins_by_family", "p12_national_status_bins", "p9_p10_p11_a21_filtered_bins"):
+        assert "LIMIT" not in ORACLES[name]
+    assert "LIMIT 500" in ORACLES["o2_top_bins_by_genus"]

@@ -187,26 +187,27 @@ def a20_dimension_bounds(spark: SparkSession, folder: str) -> DataFrame:
     return grid.dimension_bounds(occurrences(spark, folder, CUBE_COLUMNS))
 
 
-def _grid_bins_sql(where: str, level: str, shown: list[str], limit: int, cube: str = CUBE) -> str:
+def _grid_bins_sql(where: str, level: str, shown: list[str], limit: int | None = None, cube: str = CUBE) -> str:
     names = ["family", "genus", "species", "scientificName"]
     group = ["lat_bin", "lon_bin", *shown, "stateProvince"]
     selected = ", ".join(f'"{c}"' for c in group)
     blank = ", ".join(f'CAST(NULL AS VARCHAR) AS "{c}"' for c in names if c not in shown)
     order = ", ".join(f'"{c}" NULLS LAST' for c in group)
+    largest = f"LIMIT {limit}" if limit else ""
     return f"""WITH {cube}, t AS (SELECT {selected}, {_TOTALS} FROM cube WHERE {where} GROUP BY ALL
-      ORDER BY record_count DESC, {order} LIMIT {limit})
+      ORDER BY record_count DESC, {order} {largest})
     SELECT *{', ' + blank if blank else ''}, {_RANGE}, '{level}' AS color_level,
       coalesce("{level}", 'not supplied') AS color_value FROM t"""
 
 
-@query("a21_grid_bins_by_family", _grid_bins_sql("TRUE", "family", ["family"], 250000))
+@query("a21_grid_bins_by_family", _grid_bins_sql("TRUE", "family", ["family"]))
 def a21_grid_bins_by_family(spark: SparkSession, folder: str) -> DataFrame:
     return slicer.grid_bins(plain_cube(spark, folder), SlicerState())
 
 
 @query(
     "p9_p10_p11_a21_filtered_bins",
-    _grid_bins_sql(MIXED_SQL, "scientificName", ["family", "genus", "species", "scientificName"], 250000),
+    _grid_bins_sql(MIXED_SQL, "scientificName", ["family", "genus", "species", "scientificName"]),
 )
 def p9_p10_p11_a21_filtered_bins(spark: SparkSession, folder: str) -> DataFrame:
     return slicer.grid_bins(plain_cube(spark, folder), MIXED)
@@ -225,8 +226,8 @@ def o2_top_bins_by_genus(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "p12_national_status_bins",
     _grid_bins_sql(
-        "\"Status\" IN ('Endangered', 'Vulnerable')", "species", ["family", "genus", "species"], 250000,
-        ENRICHED_CUBE,
+        "\"Status\" IN ('Endangered', 'Vulnerable')", "species", ["family", "genus", "species"],
+        cube=ENRICHED_CUBE,
     ),
 )
 def p12_national_status_bins(spark: SparkSession, folder: str) -> DataFrame:
