@@ -16,8 +16,9 @@ _FACETS = ("facet_fq", "ala_facet_fq")
 def read_conservation_reference(spark: SparkSession, path: str) -> DataFrame:
     """The reference CSV as clean text, with ``row_order`` for first-wins matching."""
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    # File order: a multi-line CSV file is read by one task, and ids rise within it.
-    return clean_reference(raw.withColumn("row_order", F.monotonically_increasing_id()))
+    # File order: files by name; a multi-line CSV file is read by one task, and ids rise within it.
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return clean_reference(raw.withColumn("row_order", place))
 
 
 def read_targets(spark: SparkSession, path: str) -> DataFrame:

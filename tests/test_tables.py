@@ -617,3 +617,15 @@ def test_merge_into_counts(spark, occurrences, tmp_path):
     assert jobs.merge_into(spark, shards[:1], root, "s", 0) == jobs.MergeCounts(2, 2)
     assert jobs.merge_into(spark, shards[1:], root, "s", 1) == jobs.MergeCounts(4, 3)
     assert jobs.merge_into(spark, shards[1:], root, "s", 1) == jobs.MergeCounts(3, 3)
+
+
+def test_conservation_reference_in_the_order_of_its_files(spark, tmp_path):
+    """A later file is larger, so a scan may take it first; the order is that of the names."""
+    from occspark.sources.reference import read_conservation_reference
+
+    names = [f"T{i:03d}" for i in range(60)]
+    for part, rows in enumerate((names[:2], names[2:20], names[20:])):
+        lines = ["accepted_taxon,notes", *[f'{n},"two\nlines"' for n in rows]]
+        (tmp_path / f"part-{part:05d}.csv").write_text("\n".join(lines) + "\n")
+    read = read_conservation_reference(spark, str(tmp_path))
+    assert [r["accepted_taxon"] for r in read.orderBy("row_order").collect()] == names

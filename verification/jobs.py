@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from occspark.operators import slicer
 from occspark.operators.dedupe import union_tables
+from occspark.operators.rownumber import row_numbers
 from occspark.operators.slicer import SlicerState
 from occspark.operators.taxonomy import MISSING_REPORT_COLUMNS
 from occspark.plans import cubes
@@ -172,20 +173,21 @@ _REFERENCE_FIELDS = (
 
 @query(
     "s7_conservation_reference",
-    """SELECT s_name AS accepted_taxon, s_name || '| Synonym ' || s_suppkey || ' |' AS match_names,
+    """SELECT row_number() OVER (ORDER BY s_suppkey) AS place, s_name AS accepted_taxon, s_name || '| Synonym ' || s_suppkey || ' |' AS match_names,
       'species' AS rank, 'Common ' || s_name AS common_name,
       CASE s_suppkey % 4 WHEN 0 THEN 'Endangered' WHEN 1 THEN 'Vulnerable' WHEN 3 THEN 'Critically Endangered' END
         AS epbc_status,
       CAST(s_suppkey AS VARCHAR) AS epbc_listed_id, CAST(NULL AS VARCHAR) AS epbc_sprat_url,
-      CASE s_suppkey % 3 WHEN 0 THEN 'NSW: Critically Endangered; QLD: Vulnerable' WHEN 1 THEN 'Endangered' END AS state_status,
+      CASE s_suppkey % 5 WHEN 0 THEN 'NSW: Critically Endangered; QLD: Vulnerable' WHEN 1 THEN 'Endangered'
+        WHEN 2 THEN 'VIC: Rare - under review; Extinct' WHEN 4 THEN 'TAS: Presumed Extinct' END AS state_status,
       'https://example.org/' || s_suppkey AS state_source_url, 'derived' AS source_dataset,
       '2026-01-01' AS source_date, 'two' || chr(10) || 'lines' AS notes FROM supplier""",
 )
 def s7_conservation_reference(spark: SparkSession, folder: str) -> DataFrame:
-    """A reference row per supplier through CSV files with multi-line and blank cells."""
+    """A reference row per supplier through CSV files with multi-line and blank cells, numbered in file order."""
     path, n = scratch(spark, "reference"), F.col("s_suppkey")
     text = n.cast("string")
-    listed = read_table(spark, folder, "supplier").repartition(5).select(
+    listed = read_table(spark, folder, "supplier").repartitionByRange(5, n).sortWithinPartitions(n).select(
         F.concat(F.lit(" "), "s_name").alias("accepted_taxon"),
         F.concat("s_name", F.lit("| Synonym "), text, F.lit(" |")).alias("match_names"),
         F.lit("species").alias("rank"),
@@ -193,14 +195,19 @@ def s7_conservation_reference(spark: SparkSession, folder: str) -> DataFrame:
         F.when(n % 4 == 0, "Endangered").when(n % 4 == 1, "Vulnerable").when(n % 4 == 3, "Critically Endangered").alias("epbc_status"),
         text.alias("epbc_listed_id"),
         F.lit("  ").alias("epbc_sprat_url"),
-        F.when(n % 3 == 0, "NSW: Critically Endangered; QLD: Vulnerable").when(n % 3 == 1, "Endangered").alias("state_status"),
+        F.when(n % 5 == 0, "NSW: Critically Endangered; QLD: Vulnerable")
+        .when(n % 5 == 1, "Endangered")
+        .when(n % 5 == 2, "VIC: Rare - under review; Extinct")
+        .when(n % 5 == 4, "TAS: Presumed Extinct")
+        .alias("state_status"),
         F.concat(F.lit("https://example.org/"), text).alias("state_source_url"),
         F.lit("derived").alias("source_dataset"),
         F.lit("2026-01-01").alias("source_date"),
         F.lit(" two\nlines ").alias("notes"),
     )
     tables.write_csv(listed, path)
-    return reference.read_conservation_reference(spark, path).select(*_REFERENCE_FIELDS)
+    read = reference.read_conservation_reference(spark, path)
+    return row_numbers(read, ["row_order"], "place").select(F.col("place").cast("long"), *_REFERENCE_FIELDS)
 
 
 @query(
