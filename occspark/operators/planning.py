@@ -292,12 +292,16 @@ def page_issues(validated: DataFrame, species: str = "query_species_key") -> Dat
 def species_results(
     validated: DataFrame, plan: DataFrame, species: str = "query_species_key"
 ) -> DataFrame:
-    """One row per species with its number of page issues, written rows and pages.
+    """One row per species with its page issues, written rows and pages.
 
-    The issues themselves are rows (``page_issues``): a species may have any number of them.
+    The text names every issue in page order, some 45 bytes each; ``page_issues`` has them as rows.
     """
+    bad = F.col("validation_status") != "complete"
+    issue = F.struct("page_index", F.coalesce("validation_detail", "validation_status").alias("text"))
+    listed = F.transform(F.array_sort(F.collect_list(F.when(bad, issue))), lambda i: i["text"])
     pages = validated.groupBy(species).agg(
-        F.count_if(F.col("validation_status") != "complete").alias("page_validation_issue_count"),
+        F.count_if(bad).alias("page_validation_issue_count"),
+        F.nullif(F.array_join(listed, " | "), F.lit("")).alias("page_validation_detail"),
         F.sum("rows_written").alias("rows_written"),
         F.count(F.lit(1)).alias("pages_written"),
     )

@@ -200,6 +200,16 @@ def test_every_page_issue_is_a_row(spark):
     assert sorted((r["issue"], r["page_index"]) for r in issues if r[SPECIES] == "t") == [(i, i) for i in range(1, 5)]
 
 
+def test_species_results_name_every_page_issue(spark):
+    plan = _plan_frame(spark, ("s", "year=2019", 40), ("t", "all", 2))
+    tasks = planning.page_tasks(plan, size=2)
+    landed = spark.createDataFrame([("t", 0), ("t", 0)], f"{SPECIES} string, page_index long")
+    results = planning.species_results(planning.page_validation(tasks, landed), plan)
+    details = {r[SPECIES]: r["page_validation_detail"] for r in records(results)}
+    wanted = [f"page={i} start={2 * i} rows=0, expected=2" for i in range(20)]
+    assert details == {"s": " | ".join(wanted), "t": None}
+
+
 def test_run_report_with_kept_and_dropped_rows(spark):
     plan = _plan_frame(spark, ("s", "year=2019", 1200))
     targets = spark.createDataFrame([("s", "Pieridae")], "key string, source_family string")
