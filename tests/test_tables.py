@@ -629,3 +629,21 @@ def test_conservation_reference_in_the_order_of_its_files(spark, tmp_path):
         (tmp_path / f"part-{part:05d}.csv").write_text("\n".join(lines) + "\n")
     read = read_conservation_reference(spark, str(tmp_path))
     assert [r["accepted_taxon"] for r in read.orderBy("row_order").collect()] == names
+
+
+def test_first_merge_writes_a_bucket_once(spark, tmp_path):
+    """The staged files of empty buckets become their first parts; later merges add to them."""
+    from occspark.schema import OCCURRENCE_SCHEMA, conform
+    from occspark.sources import merged
+
+    def batch(first: int, last: int):
+        return conform(spark.range(first, last).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("uuid")), OCCURRENCE_SCHEMA)
+
+    root = str(tmp_path / "table")
+    done = merged.merge_batch(batch(0, 50), root, "a", 0, buckets=4)
+    assert done.added == done.first == [0, 1, 2, 3] and done.rewritten == []
+    assert len(list(tmp_path.rglob("part-*.parquet"))) == 4
+    again = merged.merge_batch(batch(25, 80), root, "b", 0, buckets=4)
+    assert again.first == [] and again.added and not list(tmp_path.rglob(f"{again.version}/staged"))
+    stored = [r["uuid"] for r in merged.read_merged(spark, root).collect()]
+    assert sorted(stored) == sorted(f"u{i}" for i in range(80))
