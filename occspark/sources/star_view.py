@@ -148,7 +148,7 @@ def occurrences(
 
     def column(name: str) -> Column:
         if name == "eventDate_iso":
-            return millis_to_iso(defined["eventDate"][0]).alias(name)
+            return millis_to_iso(defined["eventDate"][0], whole=True).alias(name)
         return defined[name][0].alias(name)
 
     return rows.select(*[column(n) for n in wanted])

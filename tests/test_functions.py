@@ -205,3 +205,15 @@ def test_durations_round_ties_to_even(spark):
     frame = spark.createDataFrame([(0.25,), (0.75,), (59.97,), (3600.25,)], "s double")
     got = [r[0] for r in frame.select(text.duration_text("s")).collect()]
     assert got == ["0.2s", "0.8s", "60.0s", "1h 0m 0.2s"]
+
+
+def test_iso_text_of_longs_is_not_parsed_and_stays_the_same(spark):
+    from occspark.functions.coerce import millis_to_iso
+
+    values = [(0,), (-1,), (1,), (946684799999,), (951782400000,), (-62135596800000,), (2**62,), (-(2**62),), (None,)]
+    rows = spark.createDataFrame(values, "ms long").select(
+        millis_to_iso("ms").alias("parsed"), millis_to_iso("ms", whole=True).alias("whole")
+    )
+    assert all(r["parsed"] == r["whole"] for r in rows.collect())
+    plan = rows.select("whole")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "cast(cast(ms" not in plan
