@@ -647,3 +647,23 @@ def test_first_merge_writes_a_bucket_once(spark, tmp_path):
     assert again.first == [] and again.added and not list(tmp_path.rglob(f"{again.version}/staged"))
     stored = [r["uuid"] for r in merged.read_merged(spark, root).collect()]
     assert sorted(stored) == sorted(f"u{i}" for i in range(80))
+
+
+def test_presets_build_the_cube_once(spark, monkeypatch):
+    from verification import jobs
+
+    built = []
+    cube = spark.createDataFrame(
+        [("Victoria", 1994, 2), ("Queensland", 1996, 3), ("Overseas", 1995, 4)], "stateProvince string, year long, record_count long"
+    )
+    executed = spark.sparkContext.accumulator(0)
+
+    def counted(*_):
+        built.append(1)
+        return cube.mapInPandas(lambda batches: (executed.add(len(b)) or b for b in batches), cube.schema)
+
+    monkeypatch.setattr(jobs, "plain_cube", counted)
+    rows = records(jobs.p15_p16_year_bounds_and_presets(spark, "unused"))
+    assert built == [1] and executed.value == 3
+    wanted = [("all years", 1994, 2), ("all years", 1996, 3), ("two years", 1994, 2)]
+    assert sorted((r["chosen"], r["year"], r["record_count"]) for r in rows) == wanted

@@ -298,7 +298,10 @@ def p4_privacy_projection(spark: SparkSession, folder: str) -> DataFrame:
 )
 def p15_p16_year_bounds_and_presets(spark: SparkSession, folder: str) -> DataFrame:
     """The whole range filters nothing; a preset names those of its states that occur."""
-    cube = plain_cube(spark, folder)
+    # The cube is built once and stored; the summaries below need these columns of it.
+    path = scratch(spark, "presets")
+    tables.write_table(plain_cube(spark, folder).select("stateProvince", "year", "record_count"), path)
+    cube = tables.read_table(spark, path)
     # One row per year and one per state of the map's fixed list.
     years = [r["year"] for r in slicer.year_summary(cube, SlicerState()).collect() if r["year"] is not None]
     states = [r[0] for r in cube.select("stateProvince").where("stateProvince is not null").distinct().collect()]
