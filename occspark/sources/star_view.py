@@ -133,18 +133,19 @@ def occurrences(
     for name in wanted:
         needs |= defined["eventDate" if name == "eventDate_iso" else name][1]
     rows = spread_scan(read_table(spark, folder, "lineitem"), f"{folder}/lineitem")
-    joins = {
-        "part": ("l_partkey", "p_partkey"),
-        "supplier": ("l_suppkey", "s_suppkey"),
-        "nation": ("s_nationkey", "n_nationkey"),
-        "region": ("n_regionkey", "r_regionkey"),
-        "orders": ("l_orderkey", "o_orderkey"),
-        "customer": ("o_custkey", "c_custkey"),
-    }
-    for table, (left, right) in joins.items():
-        if table in needs:
-            other = read_table(spark, folder, table)
-            rows = rows.join(other, F.col(left) == F.col(right))
+
+    def joined(left: DataFrame, table: str, key: str, other_key: str) -> DataFrame:
+        return left.join(read_table(spark, folder, table), F.col(key) == F.col(other_key)) if table in needs else left
+
+    # The segment meets its order first, and what adds only a key comes before what adds names: a line is
+    # shuffled once by order and once by part while it has little beside its own columns.
+    if "orders" in needs:
+        orders = joined(read_table(spark, folder, "orders"), "customer", "o_custkey", "c_custkey")
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = joined(rows, "supplier", "l_suppkey", "s_suppkey")
+    rows = joined(rows, "part", "l_partkey", "p_partkey")
+    rows = joined(rows, "nation", "s_nationkey", "n_nationkey")
+    rows = joined(rows, "region", "n_regionkey", "r_regionkey")
 
     def column(name: str) -> Column:
         if name == "eventDate_iso":

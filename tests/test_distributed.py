@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from occspark.operators import membership, profile
 from occspark.operators.rownumber import largest_rows, row_numbers, running_sums
+from occspark.sources.star_view import occurrences
 
 
 def test_row_numbers_follow_the_order_over_many_partitions(spark):
@@ -114,6 +115,25 @@ def test_only_buckets_that_reach_the_bound_are_counted(spark):
     assert profile.top_values(spark.range(3)).count() == 0
 
 
+def _first_scan_below(plan: str, exchange: str) -> str:
+    return plan.split(exchange, 1)[1].split("FileScan parquet", 1)[1].split("]", 1)[0]
+
+
+def test_order_lines_are_not_shuffled_by_customer_nor_with_names_of_parts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = occurrences(spark, "/root/testdata/sf0.001")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "o_custkey" in _first_scan_below(plan, "Exchange hashpartitioning(o_custkey")
+    by_supplier = plan.index("Exchange hashpartitioning(l_suppkey")
+    assert plan.index("Exchange hashpartitioning(l_partkey") < by_supplier < plan.index("Exchange hashpartitioning(l_orderkey")
+
+
 @pytest.mark.parametrize("limit", [1, 60, 200, 999, 1_000, 5_000])
 def test_largest_rows_beyond_one_task(spark, limit):
     draw = random.Random(9)
