@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occspark.operators.skew import lookup_join, top_n
+from occspark.operators.skew import lookup_join, reference_join, top_n
 from occspark.session import cut_lineage
 
 TOP_VALUES = 10
@@ -96,33 +96,17 @@ def _bucketed(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bucket
 
 
 def _counted(cells: DataFrame, chosen: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Counts of the values in the chosen buckets or columns, which are few and whose rows pass a semi-join unshuffled."""
-    met = lookup_join(cells, chosen.select(*by), by, "left_semi")
+    """Counts of the values in the chosen buckets, which are broadcast after a size check: the cells aren't shuffled."""
+    met = reference_join(cells, chosen.select(*by), by, "left_semi")
     return met.groupBy(*[c for c in cells.columns if c not in ("value", "bucket")], "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def few_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str], most: int) -> DataFrame:
-    """Value counts of the columns with at most ``most`` different values.
-
-    The first pass only notes which hash buckets of a column have a value: a column that fills more than
-    ``most`` buckets has more values, so none of them is ever shuffled. The rest are counted and checked.
-    """
-    cells = _bucketed(df, keys, columns, 4 * most + 1)
-    filled = cells.groupBy(*keys, "column", "bucket").agg(F.first(F.lit(1)).alias("one")).groupBy(*keys, "column")
-    possible = cut_lineage(filled.agg(F.count(F.lit(1)).alias("filled")).where(F.col("filled") <= most))
-    left = [r[0] for r in possible.select("column").distinct().collect()]  # at most the table's width
-    if not left:
-        return value_counts(df.limit(0), keys, columns)
-    counts = _counted(_bucketed(df, keys, left, 1), possible, [*keys, "column"])
-    few = counts.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") <= most)
-    return lookup_join(counts, few.select(*keys, "column"), [*keys, "column"], "left_semi")
-
-
 def leading_values(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], n: int, buckets: int = BUCKETS
 ) -> DataFrame:
     """Exact counts of values that include the ``n`` most frequent of every column; few others are counted.
 
+    For a stored table: it is read up to three times, which a table that is yet to be joined would pay by as many joins.
     A value occurs at most as often as all values of its hash bucket together. After one pass for the
     buckets' totals, the values of each column's largest buckets are counted. Their n-th largest count
     is a bound: a bucket with a smaller total has none of the leading values. Buckets that reach the bound
@@ -131,7 +115,7 @@ def leading_values(
     by = [*keys, "column"]
     cells = _bucketed(df, keys, columns, buckets)
     totals = cut_lineage(cells.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("total")))
-    largest = top_n(totals, by, [F.col("total").desc(), F.col("bucket")], LARGEST * n).drop("rank")
+    largest = cut_lineage(top_n(totals, by, [F.col("total").desc(), F.col("bucket")], LARGEST * n).drop("rank"))
     first = cut_lineage(_counted(cells, largest, [*by, "bucket"]))
     nth = top_n(first, by, [F.col("n").desc()], n).where(F.col("rank") == n).select(*by, F.col("n").alias("bound"))
     open_buckets = totals.join(largest.select(*by, "bucket"), [*by, "bucket"], "left_anti").join(nth, by, "left")
@@ -153,7 +137,7 @@ def top_values(
     """The most frequent values of every text or boolean column.
 
     With ``max_categories`` only of columns with that many different values at most. Value counts that
-    are there already (``counts``) are used; else only the values that can lead are counted.
+    are there already (``counts``) are used; else the values are counted in one pass over the table.
     """
     categorical = [
         f.name
@@ -162,18 +146,17 @@ def top_values(
     ]
     if counts is not None:
         kept = counts.where(F.col("column").isin(*categorical))
-        if max_categories is not None:
-            few = kept.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("values"))
-            few = few.where(F.col("values") <= max_categories).select(*keys, "column")
-            kept = lookup_join(kept, few, [*keys, "column"], "left_semi")
     elif not categorical:
         kept = value_counts(df.limit(0).withColumn("none", F.lit("")), keys, ["none"])
-    elif max_categories is not None:
-        kept = few_values(df, keys, categorical, max_categories)
     else:
-        kept = leading_values(df, keys, categorical, n)
+        kept = value_counts(df, keys, categorical)
     order = [F.col("n").desc(), F.col("value").asc_nulls_last()]
     ranked = top_n(kept, [*keys, "column"], order, n)
+    if max_categories is not None:
+        # The rows are summed so that this branch keeps the counts, as the other does: Spark then shuffles them once.
+        sizes = [F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")]
+        few = kept.groupBy(*keys, "column").agg(*sizes).where((F.col("rows") > 0) & (F.col("values") <= max_categories))
+        ranked = lookup_join(ranked, few.select(*keys, "column"), [*keys, "column"], "left_semi")
     return ranked.select(*keys, "column", "rank", "value", F.col("n").alias("count"))
 
 

@@ -115,6 +115,20 @@ def test_only_buckets_that_reach_the_bound_are_counted(spark):
     assert profile.top_values(spark.range(3)).count() == 0
 
 
+@pytest.mark.parametrize("most", [None, 20])
+def test_top_values_read_every_row_once(spark, most):
+    rows, read = _cells(random.Random(4)), spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    schema = "group string, kind string, skewed string, unique string, flag boolean"
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(counted), schema)
+    assert profile.top_values(df, max_categories=most).count()
+    assert read.value == len(rows)
+
+
 def _first_scan_below(plan: str, exchange: str) -> str:
     return plan.split(exchange, 1)[1].split("FileScan parquet", 1)[1].split("]", 1)[0]
 
