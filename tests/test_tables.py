@@ -500,6 +500,24 @@ def test_second_source_in_catalogue_order(spark, tmp_path):
     assert [r["catalog_number"] for r in records(capped)] == ["c1", "c2"]
 
 
+def test_second_source_of_pages_on_lines_and_of_pages_as_files(spark, tmp_path):
+    base = {"class": " Insecta", "order": "Lepidoptera ", "stateProvince": "NSW", "family": "Pieridae", "decimalLatitude": 1}
+    odd = [{"class": 1, "order": None}, {"class": "Insecta", "stateProvince": {"NSW": "NSW"}}, {}]
+    made = [base | {"catalogNumber": f"c{i % 7}", "eventDate": f"20{i:02}-01-01"} for i in range(30)] + odd
+    texts = [json.dumps({"value": made[i : i + 4]}) for i in range(0, len(made), 4)]
+    for folder, held in {"files": texts, "lines": ["\n".join(texts)]}.items():
+        (tmp_path / folder).mkdir()
+        for i, text in enumerate(held):
+            (tmp_path / folder / f"p{i}").write_text(text)
+    given = {"families": ["Pieridae"], "ingested_at": "2026-01-01"}
+    whole = records(pages.ingest_second_source(spark, str(tmp_path / "files"), **given))
+    order = sorted(whole, key=lambda r: (r["catalog_number"], r["canonical_record_hash"]))
+    assert len(order) == 30
+    for limit in (0, 11, 100):
+        capped = pages.ingest_second_source(spark, str(tmp_path / "lines"), max_records=limit, per_line=True, **given)
+        assert records(capped) == order[:limit]
+
+
 def test_targets(spark, tmp_path):
     path = tmp_path / "targets.json"
     given = [
