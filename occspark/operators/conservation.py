@@ -7,7 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from occspark.functions.status import match_confidence, match_names, match_type, state_status
+from occspark.functions.status import (
+    match_confidence,
+    match_names,
+    match_type,
+    status_in_state,
+    statuses_by_code,
+)
 from occspark.functions.text import clean_text, strip
 from occspark.operators.skew import lookup_join, small_enough
 from occspark.schema import CONSERVATION_REFERENCE_FIELDS, STATE_CODES
@@ -72,13 +78,14 @@ def annotate_conservation(
     """
     matches = match_table(reference, row_order)
     broadcast = small_enough(matches)
+    by_code = statuses_by_code(F.col("ref.state_status"), state_codes)
+    matches = matches.withColumn("ref", F.col("ref").withField("_by_code", by_code))
     joined = df
     for field in ("scientificName", "species"):
         joined = _with_match(joined, matches, field, broadcast)
     best = joined.withColumn("_best", F.coalesce(_candidate("scientificName"), _candidate("species")))
     ref = F.col("_best.ref")
-    status = state_status("stateProvince", ref["state_status"], state_codes)
-    best = best.withColumn("_state", status)
+    best = best.withColumn("_state", status_in_state("stateProvince", ref["_by_code"], state_codes))
 
     national = ref["epbc_status"].isNotNull()
     listed = F.col("_state.state_status_level").isNotNull()

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from occspark.functions import coerce, keys, status, text
+from occspark.operators.conservation import annotate_conservation
+from occspark.schema import CONSERVATION_REFERENCE_FIELDS
 
 
 def column(spark, values, expression, kind="string"):
@@ -217,3 +219,30 @@ def test_iso_text_of_longs_is_not_parsed_and_stays_the_same(spark):
     assert all(r["parsed"] == r["whole"] for r in rows.collect())
     plan = rows.select("whole")._jdf.queryExecution().optimizedPlan().toString()
     assert "RLIKE" not in plan and "cast(cast(ms" not in plan
+
+
+def test_statuses_by_code_are_those_of_each_state(spark):
+    given = [None, "", "Endangered", "NSW: Critically Endangered; QLD: Vulnerable", "VIC: Rare - under review; Extinct", "TAS:;x", ": a"]
+    places = [None, "", " New South Wales ", "NSW", "Queensland", "Victoria", "Tasmania", "Overseas"]
+    df = spark.createDataFrame([(s, p) for s in given for p in places], "s string, p string")
+    by_code = status.statuses_by_code("s")
+    rows = df.select(status.state_status("p", "s").alias("one"), status.status_in_state("p", by_code).alias("two")).collect()
+    assert len(rows) == len(given) * len(places)
+    assert [r["one"] for r in rows] == [r["two"] for r in rows]
+    assert status._unknown({}) == "?"
+
+
+def test_status_texts_are_not_taken_apart_for_every_record(spark):
+    fields = CONSERVATION_REFERENCE_FIELDS
+    reference = spark.range(1).select(*[F.lit("A b").alias(f) for f in fields])
+    records = spark.range(3).select(*[F.lit("A b").alias(c) for c in ("scientificName", "species", "stateProvince")], "id")
+    plan = annotate_conservation(records, reference)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" in plan and "lambdafunction" not in plan.split("Join")[0]
+
+
+def test_strip_removes_what_the_class_of_white_space_has(spark):
+    points = spark.range(0x3100).where("id < 55296").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    texts = points.select(F.concat("c", "c", F.lit("x y"), "c").alias("t"), F.lit("c"))
+    plain = F.regexp_replace("t", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    assert texts.where(text.strip("t") != plain).count() == 0
+    assert texts.where(text.strip("t") == "x y").count() >= 29

@@ -433,7 +433,9 @@ def a26_option_values(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_cube(spark: SparkSession, folder: str) -> str:
     path = f"{checkpoint_dir(spark)}/cube-{uuid.uuid4().hex}"
-    clustered.write_clustered(enriched_cube(spark, folder), path, files=12)
+    # As many files as a shuffle has partitions, and some even for a small cube.
+    files = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    clustered.write_clustered(enriched_cube(spark, folder), path, files=files)
     return path
 
 
