@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from occspark.operators.skew import lookup_join, reference_join, top_n
-from occspark.session import cut_lineage
+from occspark.session import cut_lineage, stored_once
 
 TOP_VALUES = 10
 HIGH_NULL_PERCENT = 90.0
@@ -210,8 +210,11 @@ def year_coverage(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, keys: Sequence[str] = ()) -> QualityProfile:
-    """The whole profile, per group of ``keys`` when given."""
-    counts = value_counts(df, keys)
+    """The whole profile, per group of ``keys`` when given.
+
+    Its tables are written by jobs of their own, so the value counts that three of them start from are stored.
+    """
+    counts = stored_once(value_counts(df, keys))
     columns = column_profile(df, counts, keys)
     has_places = {"decimalLatitude", "decimalLongitude"} <= set(df.columns)
     places = (

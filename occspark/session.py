@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +70,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored_once(df: DataFrame) -> DataFrame:
+    """``df`` as compressed files of the shared folder, for several jobs that read it, each only its columns."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

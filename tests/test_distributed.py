@@ -157,3 +157,17 @@ def test_largest_rows_beyond_one_task(spark, limit):
     assert [(r["id"], r["n"]) for r in found.collect()] == sorted(rows, key=lambda r: (-r[1], r[0]))[:limit]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert ("TakeOrderedAndProject" in plan) == (limit <= 50)
+
+
+def test_profile_counts_the_values_of_a_row_once(spark):
+    rows, read = _cells(random.Random(5)), spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    schema = "family string, basisOfRecord string, scientificName string, uuid string, flag boolean"
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(counted), schema)
+    report = profile.profile(df)
+    assert report.column_profile.count() == 5 and report.top_values.count() and report.top_values.collect()
+    assert read.value == len(rows)
