@@ -36,7 +36,7 @@ def merge_tables(
     """Deduplicate shards, species tables or families into one table.
 
     Counting and writing are one job: observations on both sides of the dedupe fill
-    while the table is written.
+    while the table is written. The CSV copy is of gzip files, which hold the same text in a fourth of the room.
     """
     tables.check_outputs(spark, [output, *([csv] if csv else [])], overwrite)
     kept, before, after = observed_dedupe(tables.read_files(spark, inputs))
@@ -44,7 +44,7 @@ def merge_tables(
     counts = MergeCounts(before.get["rows"], after.get["rows"])
     stored = tables.read_table(spark, output)
     if csv:
-        tables.write_csv(stored, csv, overwrite)
+        tables.write_csv(stored, csv, overwrite, compression="gzip")
     if view:
         tables.publish_view(stored, view)
     return counts

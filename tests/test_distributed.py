@@ -9,8 +9,12 @@ import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
-from occspark.operators import membership, profile
+from occspark.operators import marks, membership, profile
+from occspark.operators.dedupe import observed_dedupe
 from occspark.operators.rownumber import largest_rows, row_numbers, running_sums
+from occspark.plans import tables as jobs
+from occspark.schema import OCCURRENCE_SCHEMA, conform
+from occspark.sources import tables
 from occspark.sources.star_view import occurrences
 
 
@@ -171,3 +175,66 @@ def test_profile_counts_the_values_of_a_row_once(spark):
     report = profile.profile(df)
     assert report.column_profile.count() == 5 and report.top_values.count() and report.top_values.collect()
     assert read.value == len(rows)
+
+
+@pytest.mark.parametrize("files", [1, 7])
+def test_stored_rows_are_deduped_without_shuffling_them_whole(spark, tmp_path, files):
+    n = F.col("id")
+    rows = spark.range(20_000).select(
+        F.when(n % 3 == 0, "hot").when(n % 7 == 0, "").when(n % 5 > 0, (n % 9_000).cast("string")).alias("uuid"),
+        F.when(n % 11 != 0, F.xxhash64("id") % 50).alias("eventDate"),
+        (n % 4).cast("string").alias("query_species_key"),
+        (n % 6_000).cast("string").alias("scientificName"),
+        n.cast("string").alias("vernacularName"),
+    )
+    path = str(tmp_path / "odd name=%")
+    tables.write_table(rows.repartition(files), path, row_group_rows=3_000)
+    stored = tables.read_table(spark, path)
+    kept, before, after = observed_dedupe(stored)
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    found = kept.collect()
+    order = ("uuid", "eventDate", "query_species_key")
+
+    def ranked(r):
+        key = "uuid:" + r["uuid"] if r["uuid"] else f"fp:{r['scientificName']}|{r['eventDate']}"
+        return key, (r["eventDate"] is None, r["eventDate"], r["query_species_key"], r["uuid"] is None)
+
+    first = {}
+    for r in stored.collect():
+        key, place = ranked(r)
+        first[key] = min(first.get(key, place), place)
+    assert dict(map(ranked, found)) == first and len(found) == len(first)
+    assert (before.get["rows"], after.get["rows"]) == (20_000, len(first))
+    assert kept.columns == rows.columns and kept.exceptAll(stored).isEmpty()
+    whole, _, counted = observed_dedupe(stored, most_blocks=1)
+    assert sorted(map(str, whole.select(*order).collect())) == sorted(map(str, kept.select(*order).collect()))
+    whole.collect()
+    assert counted.get["rows"] == len(first)
+
+
+def test_places_at_the_edges_of_words_and_blocks(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    for n in (1, 4_096, 8_200):  # files of less, exactly and more than a block
+        spark.range(n).coalesce(1).write.mode("append").parquet(path)
+    rows = spark.read.parquet(path)
+    files = marks.file_blocks(rows)
+    assert files.selectExpr("max(_base)").first()[0] <= 4 and marks.file_blocks(rows, 4) is None
+    assert marks.file_blocks(rows, 5).count() == 3
+    placed = marks.with_place(rows, files, "at")
+    assert placed.select("at").distinct().count() == 12_297
+    wanted = [r["at"] for r in placed.where("id in (0, 31, 32, 63, 64, 4095, 4096, 8191, 8192, 8199)").collect()]
+    picked = marks.marked(placed, placed.where(F.col("at").isin(wanted)).select("at"), "at")
+    assert sorted(r["id"] for r in picked.collect()) == sorted(
+        [0] * 3 + [31, 32, 63, 64, 4095] * 2 + [4096, 8191, 8192, 8199]
+    )
+    assert marks.marked(placed, placed.limit(0).select("at"), "at").isEmpty()
+
+
+def test_csv_copy_of_a_merged_table_is_compressed(spark, tmp_path):
+    rows = spark.range(5_000).select(F.col("id").cast("string").alias("uuid"), F.lit('a "b", c').alias("genus"))
+    tables.write_table(conform(rows, OCCURRENCE_SCHEMA), str(tmp_path / "in"))
+    jobs.merge_tables(spark, [str(tmp_path / "in")], str(tmp_path / "out"), csv=str(tmp_path / "csv"))
+    parts = [p for p in (tmp_path / "csv").iterdir() if p.name.startswith("part-")]
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    read = spark.read.option("header", True).option("escape", '\\').csv(str(tmp_path / "csv"))
+    assert read.select("uuid", "genus").exceptAll(rows).isEmpty() and read.count() == 5_000
