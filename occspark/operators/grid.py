@@ -52,20 +52,28 @@ def with_cube_columns(df: DataFrame) -> DataFrame:
     return full.withColumns({c: F.col(c).cast("string") for c in CUBE_CONSERVATION_FIELDS})
 
 
-def aggregate_cube(df: DataFrame, place: Sequence[Column | str], count_null: bool) -> DataFrame:
+def aggregate_cube(
+    df: DataFrame, place: Sequence[Column | str], count_null: bool, order: Sequence[str] = ()
+) -> DataFrame:
     """Group by place and all dimensions.
 
     The name and the year are dimensions themselves, so their distinct count, minimum
     and maximum inside a group are known without aggregating. Only the taxon concepts
     need counting: per (group, concept) first, then per group. ``count_null`` tells
-    whether a null counts as a value.
+    whether a null counts as a value. With ``order``, groups meet in the range partitions of these places
+    and of all dimensions, so ``cube_order`` by them shuffles nothing more. A dimension that ``df`` lacks
+    is null in the cube and no key of its groups.
     """
-    dims = [*CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS]
+    every = (*CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS)
+    absent = {c: F.lit(None).cast(CUBE_SOURCE_COLUMNS.get(c, "string")) for c in every if c not in df.columns}
+    dims = [c for c in every if c not in absent]
     places = [p if isinstance(p, Column) else F.col(p) for p in place]
     named = df.select(*places, *dims, "taxonConceptID", *(["_n"] if "_n" in df.columns else []))
     names = [c for c in named.columns if c not in ("taxonConceptID", "_n")]
     n = F.sum("_n") if "_n" in df.columns else F.count(F.lit(1))
     concepts = named.groupBy(*names, "taxonConceptID").agg(n.alias("_rows"))
+    if order:
+        concepts = concepts.repartitionByRange(*_stored_order([*order, *dims]))
     known = F.count("taxonConceptID")
     if count_null:
         distinct_concepts = known + F.max(F.col("taxonConceptID").isNull().cast("int"))
@@ -76,8 +84,10 @@ def aggregate_cube(df: DataFrame, place: Sequence[Column | str], count_null: boo
     return (
         concepts.groupBy(*names)
         .agg(F.sum("_rows").alias("record_count"), distinct_concepts.alias("distinct_taxon_concepts"))
+        .withColumns(absent)
         .select(
-            *names,
+            *[c for c in names if c not in dims],
+            *every,
             "record_count",
             distinct_names.cast("long").alias("distinct_scientific_names"),
             F.col("distinct_taxon_concepts").cast("long").alias("distinct_taxon_concepts"),
@@ -87,23 +97,32 @@ def aggregate_cube(df: DataFrame, place: Sequence[Column | str], count_null: boo
     )
 
 
-def grid_cube(df: DataFrame, decimals: int = DEFAULT_GRID_DECIMALS) -> DataFrame:
-    """A1: records per rounded coordinate and dimension; half-way cases round to even."""
+def grid_cube(df: DataFrame, decimals: int = DEFAULT_GRID_DECIMALS, ordered: bool = False) -> DataFrame:
+    """A1: records per rounded coordinate and dimension; half-way cases round to even.
+
+    ``ordered`` prepares the cube for ``cube_order``.
+    """
     place = [
         round_coordinate("decimalLatitude", decimals, half_even=True).alias("lat_bin"),
         round_coordinate("decimalLongitude", decimals, half_even=True).alias("lon_bin"),
     ]
-    return aggregate_cube(mapped_rows(with_cube_columns(df)), place, count_null=True)
+    absent = [c for c in (*CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS) if c not in df.columns]
+    rows = mapped_rows(with_cube_columns(df)).drop(*absent)
+    return aggregate_cube(rows, place, count_null=True, order=CUBE_PLACE if ordered else ())
 
 
+CUBE_PLACE = ("lat_bin", "lon_bin")
 #: O1: the stored order of a grid cube, nulls last.
-CUBE_ORDER = ("lat_bin", "lon_bin", *CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS)
+CUBE_ORDER = (*CUBE_PLACE, *CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS)
+
+
+def _stored_order(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def cube_order(cube: DataFrame, place: Sequence[str] = ("lat_bin", "lon_bin")) -> DataFrame:
+def cube_order(cube: DataFrame, place: Sequence[str] = CUBE_PLACE) -> DataFrame:
     """O1: cube rows in their stored order, nulls last (a range-partitioned sort)."""
-    keys = [*place, *CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS]
-    return cube.orderBy(*[F.col(c).asc_nulls_last() for c in keys])
+    return cube.orderBy(*_stored_order([*place, *CUBE_DIMENSIONS, *CUBE_CONSERVATION_FIELDS]))
 
 
 def rebin(cube: DataFrame, decimals: int | None) -> DataFrame:

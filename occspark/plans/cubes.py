@@ -24,7 +24,8 @@ def build_grid_cube(
     """Grid bins, the dimension values and the bounds, each a table under ``output``."""
     tables.check_inputs(spark, [source])
     rows = tables.read_table(spark, source)
-    tables.write_table(grid.cube_order(grid.grid_cube(rows, decimals)), f"{output}/grid_bins", overwrite)
+    cube = grid.grid_cube(rows, decimals, ordered=True)
+    tables.write_table(grid.cube_order(cube), f"{output}/grid_bins", overwrite)
     tables.write_table(grid.dimension_values(rows), f"{output}/grid_dimension_values", overwrite)
     bounds = grid.dimension_bounds(rows).withColumn("grid_decimals", F.lit(decimals))
     tables.write_json(bounds, f"{output}/grid_bounds", overwrite)

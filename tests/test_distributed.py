@@ -9,9 +9,10 @@ import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
-from occspark.operators import marks, membership, profile
+from occspark.operators import grid, marks, membership, profile
 from occspark.operators.dedupe import observed_dedupe
 from occspark.operators.rownumber import largest_rows, row_numbers, running_sums
+from occspark.plans import cubes
 from occspark.plans import tables as jobs
 from occspark.schema import OCCURRENCE_SCHEMA, conform
 from occspark.sources import tables
@@ -238,3 +239,45 @@ def test_csv_copy_of_a_merged_table_is_compressed(spark, tmp_path):
     assert parts and all(p.name.endswith(".csv.gz") for p in parts)
     read = spark.read.option("header", True).option("escape", '\\').csv(str(tmp_path / "csv"))
     assert read.select("uuid", "genus").exceptAll(rows).isEmpty() and read.count() == 5_000
+
+
+@pytest.mark.parametrize("listed", [False, True])
+def test_stored_cube_is_shuffled_once_for_its_groups_and_their_order(spark, tmp_path, monkeypatch, listed):
+    n = F.col("id")
+    rows = spark.range(6_000).select(
+        F.when(n % 3 == 0, "hot").when(n % 11 != 0, (n % 41).cast("string")).alias("scientificName"),
+        F.when(n % 5 != 0, F.lit("f")).alias("family"),
+        F.when(n % 7 != 0, (n % 60).cast("string")).alias("taxonConceptID"),
+        (F.lit(1990) + n % 3).alias("year"),
+        F.when(n % 4 == 0, -0.04).when(n % 4 == 1, 0.04).when(n % 4 == 2, float("nan")).alias("decimalLatitude"),
+        F.when(n % 10 != 0, n % 2 * 100.0).alias("decimalLongitude"),
+        *([F.when(n % 3 == 0, "Rare").alias("state_status")] if listed else []),
+    )
+    tables.write_table(rows, str(tmp_path / "rows"))
+    plans, write = {}, tables.write_table
+
+    def watched(df, path, *more):
+        plans[path.rsplit("/", 1)[-1]] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, *more)
+
+    monkeypatch.setattr(tables, "write_table", watched)
+    cubes.build_grid_cube(spark, str(tmp_path / "rows"), str(tmp_path / "cube"), decimals=1)
+    assert plans["grid_bins"].count("Exchange ") == 2  # by concept, and by the order
+    stored = spark.read.parquet(str(tmp_path / "cube" / "grid_bins"))
+    plain = grid.grid_cube(rows, 1)
+    assert stored.schema.names == plain.schema.names and set(grid.CUBE_ORDER) <= set(stored.columns)
+    wanted = grid.cube_order(plain).collect()
+    parts = sorted(str(p) for p in (tmp_path / "cube" / "grid_bins").glob("part-*"))
+    in_files = [str(r) for p in parts for r in spark.read.parquet(p).coalesce(1).collect()]
+    assert len(wanted) > 100 and in_files == list(map(str, wanted))
+    counts, concepts = Counter(), defaultdict(set)
+    keys = ("scientificName", "family", "year", *(["state_status"] if listed else []))
+    for r in rows.where("decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL").collect():
+        place = (str(abs(round(r["decimalLatitude"], 1))), r["decimalLongitude"])
+        counts[place, *[r[k] for k in keys]] += 1
+        concepts[place, *[r[k] for k in keys]].add(r["taxonConceptID"])
+    found = {
+        ((str(abs(r["lat_bin"])), r["lon_bin"]), *[r[k] for k in keys]): (r["record_count"], r["distinct_taxon_concepts"])
+        for r in wanted
+    }
+    assert found == {k: (c, len(concepts[k])) for k, c in counts.items()} and len(found) == len(wanted)
