@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import duckdb
 import pytest
 
 import __spark_entry__ as contract
@@ -30,3 +31,15 @@ def test_flagship_query(spark):
 )
 def test_query_equals_its_sql(spark, name):
     assert compare(spark, FOLDER, [name]) == []
+
+
+def test_taxon_names_of_odd_texts_equal_their_sql(spark, tmp_path):
+    given = ["", " ", None, "()", "Aİb (İ) İ", "Ornitha (Lirida) vexans", "ΣKı"]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").coalesce(1).write.parquet(path)
+    name = "f9_normalise_taxon_name"
+    got = contract.queries()[name](spark, str(tmp_path)).collect()
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    wanted = connection.sql(contract.oracle_sql()[name]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(wanted) and len(wanted) == len(given)
