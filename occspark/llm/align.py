@@ -331,7 +331,8 @@ def aligned_shards(
 
     names = {"doc_id": id_type.simpleString()} | {c: k for c, k in (_DOC | _REST).items() if k}
     schema = ", ".join(["shard long", *[f"{c} array<{k}>" for c, k in names.items()]])
-    return stored(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(align, schema))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return stored(texts.mapInArrow(align, schema), rows_together=1)
 
 
 def pair_counts(shards: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -22,10 +22,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read back: computed once, safe against lost executors."""
+def stored(frame: DataFrame, rows_together: int | None = None) -> DataFrame:
+    """The frame written as Parquet to the shared folder and read back: computed once, safe against lost executors.
+
+    ``rows_together`` bounds a row group. A writer holds the whole group, though it asks for its size only after a
+    hundred rows, and a reader decodes all its lists at once: rows of many MB need groups of one. So small a group
+    gains nothing by dictionaries; zstd makes it smaller than both do.
+    """
     folder = shared_folder(frame.sparkSession)
-    frame.write.parquet(folder)
+    writer = frame.write
+    if rows_together is not None:
+        writer = writer.option("parquet.block.row.count.limit", rows_together)
+        writer = writer.option("parquet.enable.dictionary", "false").option("compression", "zstd")
+    writer.parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 

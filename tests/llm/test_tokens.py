@@ -9,6 +9,7 @@ from collections import Counter
 from itertools import permutations
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from occspark.llm import align, bpe, filter_audit, shards
@@ -281,3 +282,16 @@ def test_windows_are_remembered_by_their_ids():
     seen = align.Windows(a, b)
     ((first, second, third),) = seen.of(list(align.tokenised(["haingthon thntble haingthon"], a, b)))
     assert first == third != second and len(seen.texts) == 2
+
+
+def row_groups(frame):
+    """Rows of each row group of the frame's files."""
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in frame.inputFiles()]
+    return [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+
+
+def test_stored_alignment_shards_are_written_and_read_one_at_a_time(spark):
+    docs = table(spark, [(i, f"some words {i}", "web") for i in range(7)]).coalesce(1)
+    paths = [align.tokenizer_path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    held = align.aligned_shards(docs, *paths, shard_rows=2)
+    assert row_groups(held) == [1] * held.count() == [1] * 4
