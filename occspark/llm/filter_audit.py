@@ -123,7 +123,7 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_rows: in
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
         F.col("text").cast(StringType()).alias("text"),
     )
-    return stored(texts.mapInArrow(count, schema))
+    return stored(texts.mapInArrow(count, schema), rows_together=1)
 
 
 def term_numbers(shards: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -295,3 +295,9 @@ def test_stored_alignment_shards_are_written_and_read_one_at_a_time(spark):
     paths = [align.tokenizer_path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     held = align.aligned_shards(docs, *paths, shard_rows=2)
     assert row_groups(held) == [1] * held.count() == [1] * 4
+
+
+def test_stored_matrix_shards_are_written_and_read_one_at_a_time(spark):
+    docs = table(spark, [(i, f"some words {i}", "web") for i in range(7)]).coalesce(1)
+    held = filter_audit.local_shards(docs, shard_rows=2)
+    assert row_groups(held) == [1] * held.count() == [1] * 4
