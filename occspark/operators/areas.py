@@ -188,24 +188,16 @@ def area_cube(
 ) -> DataFrame:
     """A2: records per area and dimension. Nulls do not count as distinct values here.
 
-    When the boundaries are small every record finds its area where it is. Otherwise
-    records are counted per coordinate and dimension first, so that neither a popular
-    place nor a popular area is a hot key.
+    When the boundaries are small every record finds its area where it is. Otherwise each different
+    coordinate pair does, and records meet their pair once, as they are: records that differ in a dimension
+    are too many to gain by counting them first. A popular pair is split by adaptive execution, a popular
+    area is counted before it is shuffled.
     """
     recent = since(mapped_rows(with_cube_columns(df)), year)
     held = area_cells(boundaries, *area_columns(level), cell)
-    if _fits(held) if in_place is None else in_place:
-        assigned = _assign_in_place(recent, held, level, cell)
-    else:
-        dims = [
-            "decimalLongitude",
-            "decimalLatitude",
-            *CUBE_DIMENSIONS,
-            "taxonConceptID",
-            *CUBE_CONSERVATION_FIELDS,
-        ]
-        counted = recent.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
-        assigned = _assign_by_place(counted, held, level, cell)
+    way = _assign_in_place if (_fits(held) if in_place is None else in_place) else _assign_by_place
+    dims = ["decimalLongitude", "decimalLatitude", *CUBE_DIMENSIONS, "taxonConceptID", *CUBE_CONSERVATION_FIELDS]
+    assigned = way(recent.select(*dict.fromkeys(dims)), held, level, cell)
     return aggregate_cube(assigned, area_columns(level), count_null=False)
 
 

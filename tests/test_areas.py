@@ -291,3 +291,13 @@ def test_simplification_drops_small_detours(spark):
     (row,) = records(areas.simplify_boundaries(boundary_rows(spark, shape), 0.005))
     thinned = json.loads(row["geometry_geojson"])["coordinates"][0]
     assert [1, 0.001] not in thinned and [1, 2.5] in thinned and thinned[0] == thinned[-1]
+
+
+def test_names_are_shuffled_for_the_groups_of_the_area_cube_only(spark, occurrences):
+    rows = [{"uuid": str(i), "scientificName": f"N{i % 3}", "taxonConceptID": f"t{i % 2}", "year": 2000,
+             "decimalLatitude": 0.5 + i % 4, "decimalLongitude": 0.5} for i in range(24)]
+    cube = areas.area_cube(occurrences(*rows), boundary_rows(spark), "SA2", in_place=False)
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in x and "scientificName" in x for x in plan.split("\n")) == 2
+    found = {(r["scientificName"], r["record_count"], r["distinct_taxon_concepts"]) for r in records(cube)}
+    assert found == {(f"N{i}", 8, 2) for i in range(3)}
